@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from heliocat.functions.flux import class_letter, class_number, magnitude
+from heliocat.functions.flux import add_magnitude, class_letter, class_number
 from heliocat.functions.geomag import kp_to_ap
 from heliocat.functions.numeric import round2, round_to_int
 from heliocat.functions.times import TIME_BASE, iso_text, utc
@@ -44,23 +44,25 @@ def status_rows(events: DataFrame) -> DataFrame:
 
 def with_class_chars(rows: DataFrame) -> DataFrame:
     """Status rows with the class as an array of characters, as array files hold it."""
-    return rows.withColumn("flare_class", F.split(magnitude(F.col("xrsb_flux")), ""))
+    return add_magnitude(rows, "xrsb_flux", "flare_class").withColumn(
+        "flare_class", F.split("flare_class", "")
+    )
 
 
 def _order_times(orders: DataFrame) -> DataFrame:
     start = _plus(F.col("o_orderdate"), "MINUTE", F.col("o_orderkey") % 1440)
     x = F.col("o_totalprice") / 1e5
-    return orders.withColumns({"event_start": start, "flux": x * x * x * x * 1e-6})
+    return orders.withColumns({"event_start": start, "flux": x * x * 5e-6})
 
 
 def flares(orders: DataFrame) -> DataFrame:
     """Orders as events; some have no magnitude."""
-    return _order_times(orders).select(
+    return add_magnitude(_order_times(orders), "flux").select(
         F.col("o_orderkey").alias("id"),
         "event_start",
         _plus(F.col("event_start"), "MINUTE", 10).alias("event_peak"),
         _plus(F.col("event_start"), "MINUTE", 25).alias("event_end"),
-        F.when(F.col("o_orderkey") % 17 != 0, magnitude(F.col("flux"))).alias("magnitude"),
+        F.when(F.col("o_orderkey") % 17 != 0, F.col("magnitude")).alias("magnitude"),
         F.col("flux").alias("xrsb_flux_peak"),
         F.col("o_totalprice").alias("integrated_flux"),
         F.col("o_orderpriority").alias("instrument"),
@@ -209,9 +211,9 @@ def documents(events: DataFrame) -> DataFrame:
             (F.col("value") / 2.0).alias("current_int_xrlong"),
         )
 
-    text = F.to_json(F.array(element(0), element(1)))
-    cut = F.when(kind == "purchase", F.substr(text, F.lit(1), F.length(text) - 1))
-    return events.select("event_id", F.coalesce(cut, text).alias("value"))
+    open_text = F.rtrim(F.to_json(F.array(element(0), element(1))), F.lit("]"))
+    end = F.when(kind == "purchase", "").otherwise("]")
+    return events.select("event_id", F.concat(open_text, end).alias("value"))
 
 
 def lookup_and_feed(events: DataFrame) -> tuple[DataFrame, DataFrame]:

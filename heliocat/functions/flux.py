@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from heliocat.constants import FLUX_CLASSES, LEGACY_CORRECTION_FACTOR
 from heliocat.functions.numeric import float_text, round2
@@ -44,3 +44,16 @@ def classify_flux(flux: Column) -> Column:
 def magnitude(flux: Column) -> Column:
     """Magnitude text such as ``C5.7``; null for a null or NaN flux."""
     return F.concat(class_letter(flux), float_text(class_number(flux)))
+
+
+def add_magnitude(df: DataFrame, flux: str, name: str = "magnitude") -> DataFrame:
+    """``magnitude`` as a column of its own, in steps: one expression would repeat
+    the flux some hundred times."""
+    scaled = F.col(flux) * _by_class(F.col(flux), lambda _, multiplier: F.lit(multiplier))
+    text = F.concat(class_letter(F.col(flux)), float_text(F.col("_number")))
+    return (
+        df.withColumn("_scaled", scaled)
+        .withColumn("_number", round2(F.col("_scaled")))
+        .withColumn(name, text)
+        .drop("_scaled", "_number")
+    )

@@ -8,21 +8,17 @@ from pyspark.sql import Column, functions as F
 def round2(x: Column) -> Column:
     """Two decimals, exact ties to even, judged on the true binary value as Python's ``round`` does.
 
-    ``x * 100`` itself is rounded, so the error of that product is computed too
-    (Dekker's exact product) and decides when the product lands on a half.
+    ``x * 100`` is itself rounded. That matters only where the product lands on a
+    half: there its exact error (Dekker's product) says on which side ``x`` lies.
     """
     hundred = F.lit(100.0)
+    product = x * hundred
     split = x * F.lit(134217729.0)  # 2**27 + 1
     high = split - (split - x)
-    low = x - high
-    product = x * hundred
-    error = (high * hundred - product) + low * hundred
-    down = F.floor(product).cast("double")
-    part = product - down
-    odd = down - F.lit(2.0) * F.floor(down / 2).cast("double")
-    up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (odd == 1.0))))
-    # past this size every double is a whole number, and floor() would not fit a long
-    return F.when(F.abs(x) < 1e15, (down + F.when(up, 1.0).otherwise(0.0)) / hundred).otherwise(x)
+    error = (high * hundred - product) + (x - high) * hundred
+    on_half = F.abs(product - F.rint(product)) == 0.5
+    whole = F.when(on_half, F.rint(product + F.signum(error) * 0.25)).otherwise(F.rint(product))
+    return whole / hundred
 
 
 def round_half_up(x: Column, digits: int) -> Column:

@@ -66,24 +66,26 @@ def metadata_json(
 
 
 def close_json_array(raw: Column) -> Column:
-    """Append the closing bracket when an array has lost it."""
-    text = strip(raw)
-    open_only = text.startswith("[") & ~text.endswith("]")
-    return F.when(open_only, F.concat(text, F.lit("]"))).otherwise(text)
+    """Append the closing bracket when an array has lost it; other text stays as it is."""
+    return F.regexp_replace(raw, r"(?s)^\s*(\[.*[^\]\s])\s*$", "$1]")
 
 
 # Fixed patterns: parts of a page whose links do not count, and the links themselves.
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
-_LINK = rf"""(?is)<a(?:\s+[^\s>"'=]+(?:\s*=\s*{_VALUE})?)*?\s+href\s*=\s*({_VALUE})"""
+# No group is repeated in them: a repeated group takes stack for every repeat.
+_TAG = r"(?is)<a\s[^>]*"
+_HREF = r"""(?is)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 
 def hrefs(html: Column) -> Column:
     """The ``href`` values of a page's links, in page order."""
-    found = F.regexp_extract_all(
-        F.regexp_replace(html, _HIDDEN, " "), F.lit(_LINK), F.lit(1)
+    shown = F.regexp_replace(html, _HIDDEN, " ")
+    tags = F.regexp_extract_all(shown, F.lit(_TAG), F.lit(0))
+    quoted = F.transform(tags, lambda tag: F.regexp_extract(tag, _HREF, 1))
+    return F.transform(
+        F.filter(quoted, lambda h: h != ""),
+        lambda h: _unescape(F.regexp_replace(h, r"""^["']|["']$""", "")),
     )
-    return F.transform(found, lambda h: _unescape(F.regexp_replace(h, r"""^["']|["']$""", "")))
 
 
 def _unescape(text: Column) -> Column:

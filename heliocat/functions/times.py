@@ -7,7 +7,8 @@ from pyspark.sql import Column, functions as F
 from heliocat.constants import TIME_BASE
 from heliocat.functions.numeric import truncate_int
 
-_ZONE_AT_END = r"\d\s*(?:Z|UTC|GMT|[+-]\d\d(?::?\d\d)?)$"
+# Fixed pattern: a date and a time, then an offset.
+_ZONED = r"^\s*[+-]?\d{4,}-.*\d:\d.*(?:Z|UTC|GMT|[+-]\d\d(?::?\d\d)?)\s*$"
 
 
 def utc(text: str) -> Column:
@@ -33,21 +34,17 @@ def from_offset_seconds(seconds: Column, base: str = TIME_BASE) -> Column:
 
 def parse_utc(text: Column) -> Column:
     """Text to UTC: an offset at the end is applied, text without one is UTC already."""
+    # a time with an offset needs its seconds
+    full = F.regexp_replace(text, r"([T ]\d\d:\d\d)(?=\s*(?:Z|UTC|GMT|[+-]))", "$1:00")
     with_zone = F.timestamp_add(
-        "MICROSECOND", F.unix_micros(text.try_cast("timestamp")), utc(_EPOCH)
-    )
-    dated = text.rlike(r"^\s*[+-]?\d{4,}-")
-    return F.when(
-        dated,
-        F.when(text.rlike(_ZONE_AT_END) & text.rlike(r"\d:\d"), with_zone).otherwise(
-            text.try_cast("timestamp_ntz")
-        ),
+        "MICROSECOND", F.unix_micros(full.try_cast("timestamp")), utc(_EPOCH)
     )
+    return F.when(text.rlike(_ZONED), with_zone).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def date_of_text(text: Column) -> Column:
     """Date part of an ISO date or date-time as written; null if unparsable."""
-    return F.to_date(text.try_cast("timestamp_ntz"))
+    return F.when(parse_utc(text).isNotNull(), text.try_cast("date"))
 
 
 def date_of_parts(y: Column, m: Column, d: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from heliocat.constants import CATALOG_END_ORDINAL
-from heliocat.functions.flux import calibrate, magnitude
+from heliocat.functions.flux import add_magnitude, calibrate
 from heliocat.functions.solar import add_sun_position
 from heliocat.functions.texts import (
     class_head,
@@ -58,9 +58,8 @@ def normalise_catalog(
     if end_time is not None:
         era = era.filter(F.col("event_start") < F.lit(end_time).cast("timestamp_ntz"))
     corrected = era.withColumn("xrsb_flux_peak", calibrate(F.col("raw_flux")))
-    return corrected.withColumns(
+    return add_magnitude(corrected, "xrsb_flux_peak").withColumns(
         {
-            "magnitude": magnitude(F.col("xrsb_flux_peak")),
             "instrument": strip(F.col("instrument")),
             "source": F.lit(source),
             "integrated_flux": F.lit(None).cast("double"),

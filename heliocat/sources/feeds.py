@@ -43,7 +43,7 @@ def parse_sunspots(lines: DataFrame) -> DataFrame:
         .filter(F.size(part) >= 5)
         .select(
             date_of_parts(*[field(i).try_cast("int") for i in range(3)]).alias("date"),
-            field(4).try_cast("double").alias("number"),
+            null_if_nan(field(4).try_cast("double")).alias("number"),
             "seq",
         )
         .filter(F.col("date").isNotNull() & (F.col("number") >= 0))

@@ -20,8 +20,7 @@ def parse_array(raw: Column, schema: T.DataType = EVENTS_JSON) -> Column:
 
     A strict parse comes first in effect: the repair leaves closed arrays alone.
     """
-    text = close_json_array(raw)
-    return F.when(text.startswith("["), F.from_json(text, schema, {"mode": "PERMISSIVE"}))
+    return F.when(raw.rlike(r"^\s*\["), F.from_json(close_json_array(raw), schema))
 
 
 def parse_single(raw: Column, schema: T.DataType = LATEST_EVENT) -> Column:
@@ -45,15 +44,16 @@ def latest_events(
     """
     raw = F.col(column)
     if mode == "legacy":
-        one = documents.select(
-            *keep, F.lit(0).alias("element"), parse_single(raw, schema).alias("_event")
-        )
+        events = F.array(parse_single(raw, schema))
     elif mode == "latest":
-        first = F.get(parse_array(raw, T.ArrayType(schema)), F.lit(0))
-        one = documents.select(*keep, F.lit(0).alias("element"), first.alias("_event"))
+        events = F.slice(parse_array(raw, T.ArrayType(schema)), 1, 1)
     elif mode == "all":
-        events = F.posexplode(parse_array(raw, T.ArrayType(schema)))
-        one = documents.select(*keep, events.alias("element", "_event"))
+        events = parse_array(raw, T.ArrayType(schema))
     else:
         raise ValueError(f"unknown mode: {mode}")
-    return one.filter("_event IS NOT NULL").select(*keep, "element", "_event.*")
+    # exploded in every mode: filters on the fields then stay above the one parse
+    return (
+        documents.select(*keep, F.posexplode(events).alias("element", "_event"))
+        .filter("_event IS NOT NULL")
+        .select(*keep, "element", "_event.*")
+    )

@@ -104,7 +104,7 @@ STATUS_ROWS = f"""status_rows AS (
 
 ORDER_TIMES = """order_times AS (
   SELECT *, o_orderdate + to_minutes(o_orderkey % 1440) AS event_start,
-         (o_totalprice / 1e5) * (o_totalprice / 1e5) * (o_totalprice / 1e5) * (o_totalprice / 1e5) * 1e-6 AS flux
+         (o_totalprice / 1e5) * (o_totalprice / 1e5) * 5e-6 AS flux
   FROM orders)"""
 
 FLARES = f"""{ORDER_TIMES}, flares AS (
