@@ -43,14 +43,19 @@ def classify_flux(flux: Column) -> Column:
 
 def magnitude(flux: Column) -> Column:
     """Magnitude text such as ``C5.7``; null for a null or NaN flux."""
-    return F.concat(class_letter(flux), float_text(class_number(flux)))
+    return F.concat(class_letter(flux), _number_text(flux, class_number(flux)))
+
+
+def _number_text(flux: Column, number: Column) -> Column:
+    # below this flux no multiplier takes the number to 1e7
+    return float_text(number, small=F.abs(flux) < 0.05)
 
 
 def add_magnitude(df: DataFrame, flux: str, name: str = "magnitude") -> DataFrame:
     """``magnitude`` as a column of its own, in steps: one expression would repeat
     the flux some hundred times."""
     scaled = F.col(flux) * _by_class(F.col(flux), lambda _, multiplier: F.lit(multiplier))
-    text = F.concat(class_letter(F.col(flux)), float_text(F.col("_number")))
+    text = F.concat(class_letter(F.col(flux)), _number_text(F.col(flux), F.col("_number")))
     return (
         df.withColumn("_scaled", scaled)
         .withColumn("_number", round2(F.col("_scaled")))

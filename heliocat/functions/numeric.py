@@ -47,7 +47,12 @@ def fill_masked(x: Column, fill) -> Column:
     return F.coalesce(x, F.lit(fill))
 
 
-def float_text(x: Column) -> Column:
-    """Decimal text of a double rounded to two places: ``5.7``, ``12.0``."""
+def float_text(x: Column, small: Column | None = None) -> Column:
+    """Decimal text of a double rounded to two places: ``5.7``, ``12.0``.
+
+    ``small`` may stand in for the test that ``x`` is below 1e7, from where on a cast
+    gives an exponent.
+    """
+    small = F.abs(x) < 1e7 if small is None else small
     long_text = F.regexp_replace(x.try_cast("decimal(38,2)").cast("string"), "0$", "")
-    return F.when(F.abs(x) < 1e7, x.cast("string")).otherwise(long_text)
+    return F.when(small, x.cast("string")).otherwise(long_text)

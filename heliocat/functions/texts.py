@@ -10,6 +10,11 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def trim_blank(text: Column) -> Column:
+    """Trim ASCII white space; no pattern, so it is cheap on long text."""
+    return F.btrim(text, F.lit(" \t\r\n\f\v"))
+
+
 def join_chars(chars: Column) -> Column:
     """One string from an array of characters."""
     return F.array_join(chars, "")
@@ -66,8 +71,10 @@ def metadata_json(
 
 
 def close_json_array(raw: Column) -> Column:
-    """Append the closing bracket when an array has lost it; other text stays as it is."""
-    return F.regexp_replace(raw, r"(?s)^\s*(\[.*[^\]\s])\s*$", "$1]")
+    """Trim, and append the closing bracket when an array has lost it."""
+    text = trim_blank(raw)
+    open_only = text.startswith("[") & ~text.endswith("]")
+    return F.when(open_only, F.concat(text, F.lit("]"))).otherwise(text)
 
 
 # Fixed patterns: parts of a page whose links do not count, and the links themselves.

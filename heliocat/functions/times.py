@@ -8,7 +8,10 @@ from heliocat.constants import TIME_BASE
 from heliocat.functions.numeric import truncate_int
 
 # Fixed pattern: a date and a time, then an offset.
-_ZONED = r"^\s*[+-]?\d{4,}-.*\d:\d.*(?:Z|UTC|GMT|[+-]\d\d(?::?\d\d)?)\s*$"
+_ZONED = (
+    r"^\s*[+-]?\d{4,}-[^:]*:\d\d(?::\d\d)?(?:\.\d+)?"
+    r"\s*(?:Z|UTC|GMT|[+-]\d\d(?::?\d\d)?)\s*$"
+)
 
 
 def utc(text: str) -> Column:
@@ -34,11 +37,10 @@ def from_offset_seconds(seconds: Column, base: str = TIME_BASE) -> Column:
 
 def parse_utc(text: Column) -> Column:
     """Text to UTC: an offset at the end is applied, text without one is UTC already."""
-    # a time with an offset needs its seconds
+    # a time with an offset needs its seconds, so they are added where the first cast fails
     full = F.regexp_replace(text, r"([T ]\d\d:\d\d)(?=\s*(?:Z|UTC|GMT|[+-]))", "$1:00")
-    with_zone = F.timestamp_add(
-        "MICROSECOND", F.unix_micros(full.try_cast("timestamp")), utc(_EPOCH)
-    )
+    instant = F.coalesce(text.try_cast("timestamp"), full.try_cast("timestamp"))
+    with_zone = F.timestamp_add("MICROSECOND", F.unix_micros(instant), utc(_EPOCH))
     return F.when(text.rlike(_ZONED), with_zone).otherwise(text.try_cast("timestamp_ntz"))
 
 

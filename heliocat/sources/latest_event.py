@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from heliocat.functions.texts import close_json_array, strip
+from heliocat.functions.texts import close_json_array, trim_blank
 from heliocat.schemas import LATEST_EVENT
 
 EVENTS_JSON = T.ArrayType(LATEST_EVENT)
@@ -12,7 +12,7 @@ EVENTS_JSON = T.ArrayType(LATEST_EVENT)
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per landed document, whole text in ``value``."""
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def parse_array(raw: Column, schema: T.DataType = EVENTS_JSON) -> Column:
@@ -20,13 +20,14 @@ def parse_array(raw: Column, schema: T.DataType = EVENTS_JSON) -> Column:
 
     A strict parse comes first in effect: the repair leaves closed arrays alone.
     """
-    return F.when(raw.rlike(r"^\s*\["), F.from_json(close_json_array(raw), schema))
+    is_array = trim_blank(raw).startswith("[")
+    return F.when(is_array, F.from_json(close_json_array(raw), schema))
 
 
 def parse_single(raw: Column, schema: T.DataType = LATEST_EVENT) -> Column:
     """The older reading: drop the first and last character and parse one object."""
     inner = F.substr(raw, F.lit(2), F.length(raw) - 2)
-    return F.when(strip(inner).startswith("{"), F.from_json(inner, schema))
+    return F.when(trim_blank(inner).startswith("{"), F.from_json(inner, schema))
 
 
 def latest_events(

@@ -30,9 +30,7 @@ def poll_trigger(seconds: int | None = POLL_SECONDS) -> dict:
 
 def read_document_stream(spark: SparkSession, path: str) -> DataFrame:
     return (
-        spark.readStream.schema("value string")
-        .option("wholetext", True)
-        .text(path)
+        spark.readStream.text(path, wholetext=True)
         .withColumn("file", F.col("_metadata.file_path"))
     )
 

@@ -210,7 +210,7 @@ def test_metadata_keeps_null_members(spark):
 def test_array_repair(spark):
     xs = ['[{"a":1}', ' [{"a":1}]\n', '{"a":1}', "garbage", "[{}\n"]
     assert values(spark, xs, "string", texts.close_json_array) == [
-        '[{"a":1}]', ' [{"a":1}]\n', '{"a":1}', "garbage", "[{}]",
+        '[{"a":1}]', '[{"a":1}]', '{"a":1}', "garbage", "[{}]",
     ]
 
 
