@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,9 +24,9 @@ from heliocat.plans import queries as q, series  # noqa: E402
 from heliocat.sources import feeds, listing  # noqa: E402
 from heliocat.sources.latest_event import latest_events  # noqa: E402
 from heliocat.sources.status_rows import finish  # noqa: E402
-from heliocat.streaming.feeds import insert_stream  # noqa: E402
+from heliocat.streaming.feeds import drop_repeats, insert_stream  # noqa: E402
 from heliocat.tables import KeyedTable  # noqa: E402
-from oracle import ORACLE  # noqa: E402
+from check_sql import ORACLE  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 LIST_FILTERS = {"date_from": "1996-01-01", "date_to": "1999-12-31T12:00:00", "class_": "X1"}
@@ -277,6 +278,28 @@ def missing_links(spark, d):
     return listing.missing_links(listing.first_links(ad.table(spark, d, "pages"), suffix="n"))
 
 
+def newest_name(spark, d):
+    listed, _ = ad.listed_and_processed(ad.table(spark, d, "pages"))
+    return listing.newest_name(listed, "http", "5")
+
+
+def unread_files(spark, d):
+    return listing.unread_files(*ad.listed_and_processed(ad.table(spark, d, "pages")))
+
+
+def parse_sunspot_lines(spark, d):
+    return feeds.parse_sunspots(ad.sunspot_lines(ad.table(spark, d, "events")))
+
+
+def parse_f10_7_records(spark, d):
+    return feeds.parse_f10_7(ad.f10_7_records(ad.table(spark, d, "events")))
+
+
+def assign_dense_ids(spark, d):
+    rows = ad.keyed_events(ad.table(spark, d, "events")).drop("ts")
+    return merge.assign_ids(rows, "dense", after=1000)
+
+
 def sun_position(spark, d):
     return _position(add_sun_position(ad.table(spark, d, "events"), "ts")).select(
         "event_id", "altitude", "azimuth"
@@ -312,21 +335,50 @@ def _scratch(spark: SparkSession) -> str:
     """A new folder below the cluster's shared one; a temporary one only where none is set."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        name = spark.range(1).select(F.uuid()).first()[0]
-        return f"{shared.rstrip('/')}/heliocat-{name}"
+        return f"{shared.rstrip('/')}/heliocat-{uuid.uuid4()}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("streams need spark.checkpoint.dir, a folder all machines share")
     return tempfile.mkdtemp(prefix="heliocat-")
 
 
-def stream_insert_ignore(spark, d):
-    """The event file as a stream, inserted by key in micro-batches."""
-    folder = _scratch(spark)
-    target = KeyedTable(spark, f"{folder}/flares").create()
-    files = (
+def _event_stream(spark: SparkSession, d: str) -> DataFrame:
+    return (
         spark.readStream.schema(ad.table(spark, d, "events").schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(d)
     )
-    rows = ad.keyed_events(files).withColumns(
+
+
+def stream_latest_events(spark, d):
+    """Documents as a stream, mapped and inserted by key in micro-batches."""
+    folder, order = _scratch(spark), ["event_id", "element"]
+    target = KeyedTable(spark, f"{folder}/flares").create()
+    events = latest_events(ad.documents(_event_stream(spark, d)), keep=("event_id",))
+    mapped = normalise.normalise_latest(events, keep=tuple(order))
+    insert_stream(mapped, target, order, f"{folder}/checkpoint", seconds=None).start().awaitTermination()
+    return target.read().select("event_start", "instrument", "magnitude")
+
+
+def stream_drop_repeats(spark, d):
+    """The event file as a stream, de-duplicated with bounded state."""
+    folder = _scratch(spark)
+    rows = ad.keyed_events(_event_stream(spark, d)).select("event_start", "instrument")
+    (
+        drop_repeats(rows)
+        .writeStream.trigger(availableNow=True)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .format("parquet")
+        .start(f"{folder}/events")
+        .awaitTermination()
+    )
+    return spark.read.schema(rows.schema).parquet(f"{folder}/events")
+
+
+def stream_insert_ignore(spark, d):
+    """The event file as a stream, inserted by key in micro-batches."""
+    folder = _scratch(spark)
+    target = KeyedTable(spark, f"{folder}/flares").create()
+    rows = ad.keyed_events(_event_stream(spark, d)).withColumns(
         {
             "event_peak": F.col("event_start"),
             "event_end": F.col("event_start"),
@@ -377,6 +429,11 @@ _REGISTERED = [
     extract_first_link,
     extract_named_link,
     missing_links,
+    newest_name,
+    unread_files,
+    parse_sunspot_lines,
+    parse_f10_7_records,
+    assign_dense_ids,
     sun_position,
     flux_series,
     calibration_compare,
@@ -385,6 +442,8 @@ _REGISTERED = [
     first_rows,
     last_rows,
     stream_insert_ignore,
+    stream_latest_events,
+    stream_drop_repeats,
 ]
 
 

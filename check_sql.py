@@ -399,3 +399,31 @@ ORACLE["stream_insert_ignore"] = f"""WITH {KEYED}
 SELECT event_start, instrument, arg_min(value, seq) AS xrsb_flux_peak
 FROM keyed WHERE instrument IS NOT NULL GROUP BY ALL
 UNION ALL SELECT event_start, NULL, value FROM keyed WHERE instrument IS NULL"""
+
+ORACLE["stream_latest_events"] = f"""WITH {_MAPPED}
+SELECT event_start, instrument, arg_min(magnitude, event_id * 2 + element) AS magnitude
+FROM mapped GROUP BY event_start, instrument"""
+
+ORACLE["stream_drop_repeats"] = f"""WITH {KEYED}
+SELECT DISTINCT event_start, instrument FROM keyed WHERE instrument IS NOT NULL
+UNION ALL SELECT event_start, NULL FROM keyed WHERE instrument IS NULL"""
+
+ORACLE["newest_name"] = """
+SELECT max(url) AS file_name FROM pages WHERE starts_with(url, 'http') AND ends_with(url, '5')"""
+
+ORACLE["unread_files"] = """
+SELECT page_id, url AS file_name FROM pages
+WHERE url NOT IN (SELECT url FROM pages WHERE contains(url, '/en/'))"""
+
+ORACLE["parse_sunspot_lines"] = """
+SELECT CAST(ts AS DATE) AS date, CAST(floor(value + 0.5e0) AS INTEGER) AS sunspot_number,
+       'SILSO' AS source, event_id AS seq
+FROM events WHERE event_type NOT IN ('click', 'error', 'signup')"""
+
+ORACLE["parse_f10_7_records"] = """
+SELECT CAST(ts AS DATE) AS date, value AS f10_7_flux, event_id AS seq
+FROM events WHERE event_type NOT IN ('click', 'error', 'signup')"""
+
+ORACLE["assign_dense_ids"] = f"""WITH {KEYED}
+SELECT event_start, instrument, seq, value,
+       1000 + row_number() OVER (ORDER BY event_start, instrument NULLS FIRST, seq) AS id FROM keyed"""

@@ -216,6 +216,37 @@ def documents(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.concat(open_text, end).alias("value"))
 
 
+def sunspot_lines(events: DataFrame) -> DataFrame:
+    """Events as lines of the sunspot feed: comments, short lines, days that do not
+    exist, missing numbers and unparsable ones stand among the good ones."""
+    kind = F.col("event_type")
+    day = F.when(kind == "error", F.lit("32")).otherwise(F.date_format("ts", "dd"))
+    number = F.when(kind == "signup", "  -1").otherwise(F.concat(F.lit("  "), F.col("value").cast("string")))
+    head = F.concat_ws(";", F.date_format("ts", "yyyy"), F.date_format("ts", "MM"), day)
+    line = F.when(kind == "click", F.concat(F.lit("# "), head)).otherwise(
+        F.concat_ws(";", head, F.lit("2024.001"), number, F.lit(" 1.0"), F.lit("   1"), F.lit("1"))
+    )
+    return events.select(line.alias("value"), F.col("event_id").alias("seq"))
+
+
+def f10_7_records(events: DataFrame) -> DataFrame:
+    """Events as records of the F10.7 feed, some without a time or with unusable flux."""
+    kind = F.col("event_type")
+    return events.select(
+        F.when(kind != "signup", iso_text(F.col("ts"))).otherwise("").alias("time_tag"),
+        F.when(kind == "error", "n/a")
+        .when(kind != "click", F.col("value").cast("string"))
+        .alias("flux"),
+        F.col("event_id").alias("seq"),
+    )
+
+
+def listed_and_processed(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Page addresses as file names; those of one language count as processed."""
+    names = pages.select("page_id", F.col("url").alias("file_name"))
+    return names, names.filter(F.contains("file_name", F.lit("/en/")))
+
+
 def lookup_and_feed(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A lookup that holds early days' Kp, and a sunspot feed with many rows per late day."""
     day = F.to_date("ts").alias("date")

@@ -46,9 +46,15 @@ def newest_file(
     suffix: str = ARRAY_FILE_SUFFIX,
 ) -> DataFrame:
     """One row: the greatest file name with the prefix and suffix, or null."""
-    return list_files(spark, folder, f"{prefix}*{suffix}").agg(
-        F.max("file_name").alias("file_name")
-    )
+    return newest_name(list_files(spark, folder, f"{prefix}*{suffix}"), prefix, suffix)
+
+
+def newest_name(
+    listed: DataFrame, prefix: str, suffix: str, name: str = "file_name"
+) -> DataFrame:
+    """One row: the greatest name with the prefix and suffix in a table of names, or null."""
+    fits = F.col(name).startswith(prefix) & F.col(name).endswith(suffix)
+    return listed.agg(F.max(F.when(fits, F.col(name))).alias(name))
 
 
 def unread_files(

@@ -157,8 +157,11 @@ class KeyedTable:
         ).withColumn(self._year, F.year(self.time))
         # sorted within each file, so its min and max let readers skip parts of it
         (
-            rows.observe(written, F.count("*").alias("rows"))
+            # few files per year; adaptive execution splits a year that is too large
+            rows.hint("rebalance", self._year)
             .sortWithinPartitions(self._year, self.time)
+            # on top, as adaptive execution drops the plan below an empty exchange
+            .observe(written, F.count("*").alias("rows"))
             .write.mode("append")
             .partitionBy(self._year)
             .parquet(self.path)

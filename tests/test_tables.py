@@ -71,6 +71,17 @@ def test_year_folders_are_skipped(spark, table):
     assert "PartitionFilters: [isnotnull(event_start_year" in some._jdf.queryExecution().executedPlan().toString()
 
 
+def test_files_are_sorted_and_few(spark, table):
+    starts = [dt.datetime(2000 + i % 3, 1, 1) + dt.timedelta(hours=(i * 7919) % 8000) for i in range(3000)]
+    table.insert_ignore(events(spark, *[(s, "a", "C1.0") for s in starts]).repartition(7))
+    rows = table.read().select("event_start", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("i"))
+    by_file = {}
+    for r in rows.orderBy("file", "i").collect():
+        by_file.setdefault(r["file"], []).append(r["event_start"])
+    assert len(by_file) == 3
+    assert all(times == sorted(times) for times in by_file.values())
+
+
 def test_ids_go_on_from_the_table(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "flares"), id_mode="dense").create()
     table.insert_ignore(events(spark, *[(dt.datetime(2024, 1, d), "a", "C1.0") for d in range(1, 6)]))
