@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from heliocat.functions.flux import add_magnitude, class_letter, class_number
 from heliocat.functions.geomag import kp_to_ap
 from heliocat.functions.numeric import round2, round_to_int
-from heliocat.functions.times import TIME_BASE, iso_text, utc
+from heliocat.functions.times import exact_seconds_since, iso_text, truncate, utc
 from heliocat.operators.daily import daily_kp, exact_mean
 
 
@@ -30,12 +30,11 @@ def status_rows(events: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "purchase", "EVENT_END")
         .otherwise("POST_EVENT")
     )
-    micros = F.timestamp_diff("MICROSECOND", utc(TIME_BASE), F.col("ts"))
     flux = F.col("value") * F.col("value") * 1e-9
     return events.select(
         (F.col("user_id") * 100 + F.dayofmonth("ts")).alias("flare_id"),
         status.alias("status"),
-        (micros.cast("double") / 1e6).alias("time"),
+        exact_seconds_since(F.col("ts")).cast("double").alias("time"),
         flux.alias("xrsb_flux"),
         F.col("value").alias("integrated_flux"),
         F.col("event_id").alias("pos"),
@@ -103,9 +102,9 @@ def catalog(orders: DataFrame) -> DataFrame:
     moved = _order_times(orders).withColumn(
         "event_start", _plus(F.col("event_start"), "DAY", -CATALOG_SHIFT)
     )
-    text = lambda minutes: F.date_format(
-        _plus(F.col("event_start"), "MINUTE", minutes), "yyyy-MM-dd HH:mm:ss"
-    )
+    text = lambda minutes: _plus(
+        F.col("event_start"), "MINUTE", minutes
+    ).cast("string")
     return moved.select(
         F.col("o_orderkey").alias("ordinal"),
         F.col("o_orderstatus").alias("Clase"),
@@ -171,9 +170,8 @@ INCOMING_FROM = "2024-01-10 00:00:00"
 
 def keyed_events(events: DataFrame) -> DataFrame:
     """Events keyed by hour and type; one type stands for a missing instrument."""
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
     return events.select(
-        hour.alias("event_start"),
+        truncate(F.col("ts"), "HOUR").alias("event_start"),
         F.nullif("event_type", F.lit("error")).alias("instrument"),
         F.col("event_id").alias("seq"),
         "value",
@@ -220,9 +218,10 @@ def sunspot_lines(events: DataFrame) -> DataFrame:
     """Events as lines of the sunspot feed: comments, short lines, days that do not
     exist, missing numbers and unparsable ones stand among the good ones."""
     kind = F.col("event_type")
-    day = F.when(kind == "error", F.lit("32")).otherwise(F.date_format("ts", "dd"))
+    date = F.col("ts").cast("string")
+    day = F.when(kind == "error", F.lit("32")).otherwise(F.substring(date, 9, 2))
     number = F.when(kind == "signup", "  -1").otherwise(F.concat(F.lit("  "), F.col("value").cast("string")))
-    head = F.concat_ws(";", F.date_format("ts", "yyyy"), F.date_format("ts", "MM"), day)
+    head = F.concat_ws(";", F.substring(date, 1, 4), F.substring(date, 6, 2), day)
     line = F.when(kind == "click", F.concat(F.lit("# "), head)).otherwise(
         F.concat_ws(";", head, F.lit("2024.001"), number, F.lit(" 1.0"), F.lit("   1"), F.lit("1"))
     )

@@ -22,9 +22,28 @@ def utc(text: str) -> Column:
 _EPOCH = "1970-01-01 00:00:00"
 
 
+#: earliest time of all: differences to it are positive, so cutting them rounds down
+_EARLIEST = "0001-01-01 00:00:00"
+
+
 def seconds_since(ts: Column, base: str = TIME_BASE) -> Column:
-    """Whole seconds from ``base`` to ``ts``."""
-    return F.timestamp_diff("SECOND", utc(base), ts)
+    """Whole seconds from ``base`` to ``ts``, a ``timestamp_ntz``.
+
+    The difference is taken as an interval: ``timestamp_diff`` would go through the
+    session zone, where some wall-clock times do not exist.
+    """
+    return (ts - utc(base)).cast("interval second").cast("bigint")
+
+
+def exact_seconds_since(ts: Column, base: str = TIME_BASE) -> Column:
+    """Seconds with six decimals from ``base`` to ``ts``."""
+    return (ts - utc(base)).cast("interval second").cast("decimal(20,6)")
+
+
+def truncate(ts: Column, unit: str) -> Column:
+    """Start of the ``SECOND``, ``MINUTE``, ``HOUR`` or ``DAY`` of ``ts``."""
+    whole = (ts - utc(_EARLIEST)).cast(f"interval {unit.lower()}").cast("bigint")
+    return F.timestamp_add(unit, whole, utc(_EARLIEST))
 
 
 def from_offset_seconds(seconds: Column, base: str = TIME_BASE) -> Column:
@@ -57,11 +76,11 @@ def date_of_parts(y: Column, m: Column, d: Column) -> Column:
 
 def iso_text(ts: Column, zone: str = "") -> Column:
     """ISO text in whole seconds, plus ``zone`` (such as ``+00:00``)."""
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(zone))
+    text = F.replace(F.substring(ts.cast("string"), 1, 19), F.lit(" "), F.lit("T"))
+    return F.concat(text, F.lit(zone)) if zone else text
 
 
 def whole_second(ts: Column) -> Column:
     """Nearest whole second, halves up, as a column without fraction stores it."""
-    shifted = F.timestamp_add("MICROSECOND", F.lit(500_000), ts.cast("timestamp_ntz"))
-    micros = F.timestamp_diff("MICROSECOND", utc(_EPOCH), shifted)
-    return F.timestamp_add("MICROSECOND", -F.pmod(micros, F.lit(1_000_000)), shifted)
+    half_later = F.timestamp_add("MICROSECOND", F.lit(500_000), ts.cast("timestamp_ntz"))
+    return truncate(half_later, "SECOND")

@@ -9,7 +9,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 from heliocat.constants import DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE
-from heliocat.functions.times import utc
+from heliocat.functions.times import exact_seconds_since, utc
 
 #: most rows a top-k keeps per task and merges in one
 TOP_ROWS = 200_000
@@ -55,7 +55,7 @@ class _SortKey:
 def _time_key(name: str) -> _SortKey:
     return _SortKey(
         F.col(name),
-        F.timestamp_diff("MICROSECOND", utc(_EPOCH), F.col(name)),
+        (exact_seconds_since(F.col(name), _EPOCH) * 1_000_000).cast("bigint"),
         lambda n: F.timestamp_add("MICROSECOND", F.lit(n), utc(_EPOCH)),
     )
 

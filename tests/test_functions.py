@@ -134,6 +134,13 @@ def test_parsing_does_not_depend_on_the_session_zone(spark, zone):
             "2024-05-08T21:08:09+00:00"
         )
         assert one(spark, times.seconds_since(times.utc("2000-01-01 12:00:30"))) == 30
+        # a time that New York's clocks skip
+        skipped = times.utc("2024-03-10 02:30:00.75")
+        assert one(spark, times.seconds_since(skipped, "2024-03-10 00:00:00")) == 9000
+        assert one(spark, times.iso_text(skipped)) == "2024-03-10T02:30:00"
+        assert one(spark, times.truncate(skipped, "HOUR")) == dt.datetime(2024, 3, 10, 2)
+        assert one(spark, times.whole_second(skipped)) == dt.datetime(2024, 3, 10, 2, 30, 1)
+        assert one(spark, times.parse_utc(F.lit("2024-03-10 02:30:00"))) == dt.datetime(2024, 3, 10, 2, 30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
