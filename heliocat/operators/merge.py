@@ -34,16 +34,22 @@ def insert_ignore(
     batch: DataFrame,
     key: list[str] = FLARES_KEY,
     order: list[str] = ["seq"],
+    nullable: list[str] | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` that an insert-if-absent would add.
 
     The first row per key in arrival order wins. A key with a null never equals
     another, so such rows are all kept; they take no part in any shuffle.
     The window and the anti-join share one shuffle of the batch.
+
+    ``nullable`` names the key columns that may be null in the batch; without it all may.
     """
-    keyed = first_per_key(batch.filter(_has_key(key)), key, order)
+    nullable = key if nullable is None else nullable
     held = existing.select(*key).filter(_has_key(key))
-    unkeyed = batch.filter(~_has_key(key))
+    if not nullable:
+        return first_per_key(batch, key, order).join(held, key, "left_anti")
+    keyed = first_per_key(batch.filter(_has_key(nullable)), key, order)
+    unkeyed = batch.filter(~_has_key(nullable))
     return keyed.join(held, key, "left_anti").unionByName(unkeyed)
 
 
@@ -52,6 +58,7 @@ def insert_ignore_small(
     batch: DataFrame,
     key: list[str] = FLARES_KEY,
     order: list[str] = ["seq"],
+    nullable: list[str] | None = None,
 ) -> DataFrame:
     """As ``insert_ignore`` for a batch of checked, small size.
 
@@ -60,7 +67,7 @@ def insert_ignore_small(
     """
     wanted = batch.select(*key).filter(_has_key(key)).distinct()
     held = existing.select(*key).join(F.broadcast(wanted), key, "left_semi")
-    return insert_ignore(held, batch, key, order)
+    return insert_ignore(held, batch, key, order, nullable)
 
 
 def exists_in(df: DataFrame, table: DataFrame, key: list[str]) -> DataFrame:

@@ -56,6 +56,8 @@ class KeyedTable:
         self.spark, self.path, self.schema = spark, path, schema
         self.key, self.time, self.id_mode = key, time, id_mode
         self._year = f"{time}_year"
+        # rows without a time are rejected before the merge
+        self._nullable = [k for k in key if k != time]
 
     @property
     def _stored(self) -> T.StructType:
@@ -92,7 +94,7 @@ class KeyedTable:
     def fresh(self, batch: DataFrame, order: list[str] = ["seq"]) -> DataFrame:
         """The rows an insert of ``batch`` would add; nothing is written (dry run)."""
         fitting = self._conform(batch, order).filter("reject_reason IS NULL").drop("reject_reason")
-        return insert_ignore(self._read(), fitting, self.key, order)
+        return insert_ignore(self._read(), fitting, self.key, order, self._nullable)
 
     def insert_ignore(
         self,
@@ -131,7 +133,8 @@ class KeyedTable:
             )
             small = found["fitting"] <= SMALL_BATCH_ROWS
             merge = insert_ignore_small if small else insert_ignore
-            new = merge(table, conformed.filter(fits).drop("reject_reason"), self.key, order)
+            fitting = conformed.filter(fits).drop("reject_reason")
+            new = merge(table, fitting, self.key, order, self._nullable)
             return InsertResult(found["read"], self._append(new, order), rejected)
         finally:
             conformed.unpersist()
@@ -143,7 +146,7 @@ class KeyedTable:
         if rejects_path:
             conformed.filter(~fits).write.mode("append").parquet(rejects_path)
         fitting = conformed.filter(fits).drop("reject_reason")
-        new = insert_ignore(self._read(), fitting, self.key, order)
+        new = insert_ignore(self._read(), fitting, self.key, order, self._nullable)
         return InsertResult(None, self._append(new, order), None)
 
     def _append(self, new: DataFrame, order: list[str]) -> int:
