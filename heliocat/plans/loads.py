@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from heliocat.constants import ARRAY_FILE_SUFFIX
 from heliocat.operators.collapse import StatusColumns, collapse_events
 from heliocat.operators.eras import merge_eras
 from heliocat.operators.merge import migrate_observations
 from heliocat.operators.normalise import label_source, normalise_catalog, rename_catalog
 from heliocat.sources.catalog import read_catalog
 from heliocat.sources.feeds import read_f10_7, read_kp, read_sunspots
+from heliocat.sources.listing import first_links, unread_files
 from heliocat.sources.status_rows import read_status_rows
 from heliocat.tables import InsertResult, KeyedTable, SnapshotTable
 
@@ -33,6 +35,14 @@ def unified_catalog(catalog: DataFrame, middle: DataFrame, last: DataFrame) -> D
     )
 
 
+def links_to_fetch(
+    pages: DataFrame, held: DataFrame, suffix: str = ARRAY_FILE_SUFFIX, refresh: bool = False
+) -> DataFrame:
+    """The first matching link of each listing page, unless its file is held already."""
+    links = first_links(pages, suffix).filter("link IS NOT NULL")
+    return unread_files(links.withColumnRenamed("link", "file_name"), held, refresh=refresh)
+
+
 def load_history(
     spark: SparkSession,
     table: KeyedTable,

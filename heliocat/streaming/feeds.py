@@ -28,9 +28,11 @@ def poll_trigger(seconds: int | None = POLL_SECONDS) -> dict:
     return {"processingTime": f"{seconds} seconds"} if seconds else {"availableNow": True}
 
 
-def read_document_stream(spark: SparkSession, path: str) -> DataFrame:
+def read_document_stream(spark: SparkSession, path: str, max_files: int = 10_000) -> DataFrame:
+    """Landed documents, at most ``max_files`` per micro-batch; the rest comes in the next."""
     return (
-        spark.readStream.text(path, wholetext=True)
+        spark.readStream.option("maxFilesPerTrigger", max_files)
+        .text(path, wholetext=True)
         .withColumn("file", F.col("_metadata.file_path"))
     )
 

@@ -41,7 +41,8 @@ class KeyedTable:
     """Parquet rows with a key, partitioned by the year of a time column.
 
     One writer at a time. An insert that is repeated after a failure adds only what
-    is missing, because rows already there are found by their key.
+    is missing, because rows already there are found by their key. Rows with a null in
+    the key equal no other, so a repeated insert adds those again.
     """
 
     def __init__(
@@ -83,6 +84,12 @@ class KeyedTable:
             rows = rows.filter((F.col(self.time) <= last) & (F.col(self._year) <= F.year(last)))
         return rows.drop(self._year)
 
+    def read_newest(self) -> DataFrame:
+        """Rows of the newest year: all that a query for the latest row needs."""
+        rows = self._read()
+        newest = rows.agg(F.max(self._year)).first()[0]
+        return rows.filter(F.col(self._year) == newest).drop(self._year)
+
     def _conform(self, batch: DataFrame, order: list[str]) -> DataFrame:
         if self.schema is FLARES:
             return conform_events(batch, order)
@@ -167,6 +174,9 @@ class KeyedTable:
             .observe(written, F.count("*").alias("rows"))
             .write.mode("append")
             .partitionBy(self._year)
+            # ids are not sorted, so min and max do not help a lookup by id
+            .option("parquet.bloom.filter.enabled#id", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
             .parquet(self.path)
         )
         return written.get["rows"]

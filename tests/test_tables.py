@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heliocat.plans import loads
+from heliocat.plans.queries import latest_flare
 from heliocat.schemas import EVENTS, FLARES, OBSERVATIONS
 from heliocat.tables import InsertResult, KeyedTable, SnapshotTable, observation_table, write_csv
 from test_operators import observation
@@ -82,6 +83,21 @@ def test_files_are_sorted_and_few(spark, table):
     assert all(times == sorted(times) for times in by_file.values())
 
 
+def test_newest_year_alone_gives_the_latest(spark, table):
+    assert table.read_newest().isEmpty()
+    table.insert_ignore(events(spark, *[(dt.datetime(y, 6, 1), "a", "C1.0") for y in range(2000, 2010)]))
+    newest = table.read_newest()
+    assert [r["event_start"].year for r in latest_flare(newest).collect()] == [2009]
+    assert newest.count() == 1
+
+
+def test_links_to_fetch(spark):
+    pages = spark.createDataFrame([('<a href="a.nc">',), ('<a href="b.nc">',), ("none",)], "html string")
+    held = spark.createDataFrame([("a.nc",)], "file_name string")
+    assert [r["file_name"] for r in loads.links_to_fetch(pages, held).collect()] == ["b.nc"]
+    assert loads.links_to_fetch(pages, held, refresh=True).count() == 2
+
+
 def test_ids_go_on_from_the_table(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "flares"), id_mode="dense").create()
     table.insert_ignore(events(spark, *[(dt.datetime(2024, 1, d), "a", "C1.0") for d in range(1, 6)]))
