@@ -8,9 +8,16 @@ from heliocat.constants import ARRAY_FILE_SUFFIX
 from heliocat.operators.collapse import StatusColumns, collapse_events
 from heliocat.operators.eras import merge_eras
 from heliocat.operators.merge import migrate_observations
-from heliocat.operators.normalise import label_source, normalise_catalog, rename_catalog
+from heliocat.operators.normalise import (
+    is_complete,
+    label_source,
+    normalise_catalog,
+    normalise_legacy,
+    rename_catalog,
+)
 from heliocat.sources.catalog import read_catalog
 from heliocat.sources.feeds import read_f10_7, read_kp, read_sunspots
+from heliocat.sources.latest_event import latest_events
 from heliocat.sources.listing import first_links, unread_files
 from heliocat.sources.status_rows import read_status_rows
 from heliocat.tables import InsertResult, KeyedTable, SnapshotTable
@@ -69,6 +76,15 @@ def sync_status_rows(table: KeyedTable, rows: DataFrame, label: str = "GOES-19")
     return table.insert_ignore(array_events(rows, label), ["seq"])
 
 
+def store_legacy(table: KeyedTable, documents: DataFrame) -> InsertResult:
+    """The older path: one object per document, known by its start alone.
+
+    ``documents`` carries ``value`` and ``seq``, the order of arrival.
+    """
+    events = latest_events(documents, mode="legacy", keep=("seq",)).filter(is_complete())
+    return table.insert_ignore(normalise_legacy(events, keep=("seq",)))
+
+
 def migrate(table: KeyedTable, observations: DataFrame, strict: bool = False) -> int:
     """Move older observations over; gives the table's row count afterwards."""
     table.insert_ignore(migrate_observations(observations, table.read(), strict=strict))

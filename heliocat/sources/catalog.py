@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from heliocat.schemas import CATALOG
 
 
 def read_catalog(spark: SparkSession, path: str, with_ordinal: bool = False) -> DataFrame:
-    """Catalog rows; ``with_ordinal`` adds each row's position as ``ordinal``."""
-    rows = (
-        spark.read.schema(CATALOG)
-        .option("sep", "\t")
-        .option("header", True)
-        .option("enforceSchema", True)
-        .csv(path)
+    """Catalog rows; ``with_ordinal`` adds each row's position as ``ordinal``.
+
+    Columns are found by their names in the header, whatever their order; their types
+    are fixed. A field that does not parse is null.
+    """
+    reader = spark.read.option("sep", "\t").option("header", True)
+    types = {f.name: f.dataType for f in CATALOG.fields}
+    found = T.StructType(
+        [T.StructField(name, types.get(name, T.StringType())) for name in reader.csv(path).columns]
     )
+    rows = reader.schema(found).csv(path)
     return add_ordinal(rows) if with_ordinal else rows
 
 
@@ -25,4 +28,4 @@ def add_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     The numbering is distributed (rows are counted per partition first). Store the
     result where it is used again: a row's position is a property of the file.
     """
-    return df.pandas_api().to_spark(index_col=name).select("*")
+    return df.pandas_api().to_spark(index_col=name)

@@ -85,8 +85,9 @@ def sync_arrays(
     rows = finish(arrays_to_rows(files, schema.names), fills)
     names = StatusColumns(by=("file",))
 
-    def insert(batch: DataFrame, _: int) -> None:
-        table.insert_ignore(array_events(batch, label, names), ["file", "seq"])
+    def insert(batch: DataFrame, number: int) -> None:
+        result = table.insert_ignore(array_events(batch, label, names), ["file", "seq"])
+        log.info("batch %s: %s", number, result)
 
     return _writer(rows, checkpoint, seconds).foreachBatch(insert)
 
@@ -94,8 +95,8 @@ def sync_arrays(
 def insert_stream(
     events: DataFrame, table: KeyedTable, order: list[str], checkpoint: str, seconds: int | None
 ) -> DataStreamWriter:
-    def insert(batch: DataFrame, _: int) -> None:
-        table.insert_ignore(batch, order)
+    def insert(batch: DataFrame, number: int) -> None:
+        log.info("batch %s: %s", number, table.insert_ignore(batch, order))
 
     return _writer(events, checkpoint, seconds).foreachBatch(insert)
 

@@ -57,6 +57,17 @@ def test_catalog_keeps_file_order_and_cuts(spark, catalog_file):
     assert rows[0]["event_peak"] == dt.datetime(1974, 1, 1, 12)
 
 
+def test_catalog_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "other.dat"
+    path.write_text(
+        "more\tt-max\tt-inicio\tt-fin\tInstrumento\ttotal X-ray flux\taltitud\tazimuth\n"
+        "x\t1980-01-01 00:10:00\t1980-01-01 00:00:00\t1980-01-01 00:20:00\tG1\tNA\t1.5\t2.5\n"
+    )
+    row = normalise_catalog(rename_catalog(read_catalog(spark, str(path), with_ordinal=True))).first()
+    assert row["event_start"] == dt.datetime(1980, 1, 1) and row["altitude"] == 1.5
+    assert row["instrument"] == "G1" and row["xrsb_flux_peak"] is None
+
+
 def test_catalog_can_be_cut_by_time(spark, catalog_file):
     renamed = rename_catalog(read_catalog(spark, catalog_file))
     rows = normalise_catalog(renamed, end_ordinal=None, end_time="1975-01-01 00:00:00")

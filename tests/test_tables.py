@@ -11,7 +11,7 @@ from heliocat.plans.queries import latest_flare
 from heliocat.schemas import EVENTS, FLARES, OBSERVATIONS
 from heliocat.tables import InsertResult, KeyedTable, SnapshotTable, observation_table, write_csv
 from test_operators import observation
-from test_sources import HEADER, STATUS, STATUS_DDL, catalog_line
+from test_sources import HEADER, STATUS, STATUS_DDL, catalog_line, event
 
 
 def events(spark, *rows):
@@ -113,6 +113,16 @@ def test_older_table_is_keyed_by_start(spark, tmp_path):
     assert table.read().first()["observation_instrument"] == "G15"
 
 
+def test_older_path(spark, tmp_path):
+    table = observation_table(spark, str(tmp_path / "observations")).create()
+    texts = [json.dumps([e]) for e in (event(max_class="M5.2"), event(satellite=16), event(max_time="Unk"))]
+    documents = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "value string, seq long")
+    assert loads.store_legacy(table, documents).inserted == 1
+    assert loads.store_legacy(table, documents).inserted == 0
+    row = table.read().first()
+    assert (row["classification"], row["observation_instrument"], row["total_energy"]) == ("M", "G18", 0.0)
+
+
 def test_migration_into_a_table(spark, table):
     rows = [observation(i, dt.datetime(2021, 1, i)) for i in (1, 2, 3)]
     old = spark.createDataFrame(rows + [observation(4, dt.datetime(2021, 1, 1))], OBSERVATIONS)
