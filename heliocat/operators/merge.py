@@ -35,6 +35,7 @@ def insert_ignore(
     key: list[str] = FLARES_KEY,
     order: list[str] = ["seq"],
     nullable: list[str] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows of ``batch`` that an insert-if-absent would add.
 
@@ -43,9 +44,12 @@ def insert_ignore(
     The window and the anti-join share one shuffle of the batch.
 
     ``nullable`` names the key columns that may be null in the batch; without it all may.
+    ``unique`` says that no whole key comes twice in ``existing``; without it the keys
+    are made distinct before they are shuffled.
     """
     nullable = key if nullable is None else nullable
     held = existing.select(*key).filter(_has_key(key))
+    held = held if unique else held.distinct()
     if not nullable:
         return first_per_key(batch, key, order).join(held, key, "left_anti")
     keyed = first_per_key(batch.filter(_has_key(nullable)), key, order)
@@ -59,6 +63,7 @@ def insert_ignore_small(
     key: list[str] = FLARES_KEY,
     order: list[str] = ["seq"],
     nullable: list[str] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """As ``insert_ignore`` for a batch of checked, small size.
 
@@ -67,12 +72,12 @@ def insert_ignore_small(
     """
     wanted = batch.select(*key).filter(_has_key(key)).distinct()
     held = existing.select(*key).join(F.broadcast(wanted), key, "left_semi")
-    return insert_ignore(held, batch, key, order, nullable)
+    return insert_ignore(held, batch, key, order, nullable, unique)
 
 
 def exists_in(df: DataFrame, table: DataFrame, key: list[str]) -> DataFrame:
     """Rows whose key the table holds."""
-    return df.join(table.select(*key), key, "left_semi")
+    return df.join(table.select(*key).distinct(), key, "left_semi")
 
 
 def upsert_columns(

@@ -101,7 +101,7 @@ class KeyedTable:
     def fresh(self, batch: DataFrame, order: list[str] = ["seq"]) -> DataFrame:
         """The rows an insert of ``batch`` would add; nothing is written (dry run)."""
         fitting = self._conform(batch, order).filter("reject_reason IS NULL").drop("reject_reason")
-        return insert_ignore(self._read(), fitting, self.key, order, self._nullable)
+        return insert_ignore(self._read(), fitting, self.key, order, self._nullable, unique=True)
 
     def insert_ignore(
         self,
@@ -141,7 +141,7 @@ class KeyedTable:
             small = found["fitting"] <= SMALL_BATCH_ROWS
             merge = insert_ignore_small if small else insert_ignore
             fitting = conformed.filter(fits).drop("reject_reason")
-            new = merge(table, fitting, self.key, order, self._nullable)
+            new = merge(table, fitting, self.key, order, self._nullable, unique=True)
             return InsertResult(found["read"], self._append(new, order), rejected)
         finally:
             conformed.unpersist()
@@ -153,7 +153,7 @@ class KeyedTable:
         if rejects_path:
             conformed.filter(~fits).write.mode("append").parquet(rejects_path)
         fitting = conformed.filter(fits).drop("reject_reason")
-        new = insert_ignore(self._read(), fitting, self.key, order, self._nullable)
+        new = insert_ignore(self._read(), fitting, self.key, order, self._nullable, unique=True)
         return InsertResult(None, self._append(new, order), None)
 
     def _append(self, new: DataFrame, order: list[str]) -> int:

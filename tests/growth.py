@@ -71,6 +71,7 @@ def main(scratch, *sizes):
             "collapse": lambda: collapse_events(rows),
             "collapse, numeric": lambda: collapse_events(rows, StatusColumns(magnitude=None)),
             "insert-if-absent": lambda: insert_ignore(held, batch),
+            "insert, unique table": lambda: insert_ignore(held, batch, unique=True),
             "statistics": lambda: stats_long(batch),
         }
         for name, run in runs.items():
