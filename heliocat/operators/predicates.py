@@ -16,7 +16,7 @@ def all_of(predicates: list[Column]) -> Column:
     return reduce(and_, predicates, F.lit(True))
 
 
-def _moment(value) -> Column:
+def moment(value) -> Column:
     """A bound as a timestamp; a date means its midnight."""
     return F.lit(str(value).replace("T", " ")).cast("timestamp_ntz")
 
@@ -25,9 +25,9 @@ def between(column: str, lower=None, upper=None) -> list[Column]:
     """Closed range; an absent or empty bound does not filter."""
     out = []
     if lower:
-        out.append(F.col(column) >= _moment(lower))
+        out.append(F.col(column) >= moment(lower))
     if upper:
-        out.append(F.col(column) <= _moment(upper))
+        out.append(F.col(column) <= moment(upper))
     return out
 
 
@@ -35,10 +35,10 @@ def days_between(column: str, lower=None, upper=None) -> list[Column]:
     """Closed range over a date column; a bound with a time compares as a moment."""
     out = []
     if lower:
-        out.append(F.col(column).cast("timestamp_ntz") >= _moment(lower) if _has_time(lower)
+        out.append(F.col(column).cast("timestamp_ntz") >= moment(lower) if _has_time(lower)
                    else F.col(column) >= F.lit(str(lower)).cast("date"))
     if upper:
-        out.append(F.col(column).cast("timestamp_ntz") <= _moment(upper) if _has_time(upper)
+        out.append(F.col(column).cast("timestamp_ntz") <= moment(upper) if _has_time(upper)
                    else F.col(column) <= F.lit(str(upper)).cast("date"))
     return out
 
@@ -81,7 +81,7 @@ def flare_predicates(
 
 def open_window(df: DataFrame, column: str, after, before) -> DataFrame:
     """Rows strictly inside a time window."""
-    return df.filter((F.col(column) > _moment(after)) & (F.col(column) < _moment(before)))
+    return df.filter((F.col(column) > moment(after)) & (F.col(column) < moment(before)))
 
 
 def from_catalog_start(df: DataFrame, column: str = "event_peak", start: str = CATALOG_START) -> DataFrame:

@@ -12,6 +12,7 @@ from heliocat.operators.merge import (
     insert_ignore_small,
     upsert_columns,
 )
+from heliocat.operators.predicates import all_of, between, moment
 from heliocat.schemas import (
     FLARES,
     FLARES_KEY,
@@ -75,14 +76,12 @@ class KeyedTable:
 
     def read(self, date_from=None, date_to=None) -> DataFrame:
         """The table; bounds on the time are also put on the year, so folders are skipped."""
-        rows = self._read()
+        within = between(self.time, date_from, date_to)
         if date_from:
-            first = F.lit(str(date_from).replace("T", " ")).cast("timestamp_ntz")
-            rows = rows.filter((F.col(self.time) >= first) & (F.col(self._year) >= F.year(first)))
+            within.append(F.col(self._year) >= F.year(moment(date_from)))
         if date_to:
-            last = F.lit(str(date_to).replace("T", " ")).cast("timestamp_ntz")
-            rows = rows.filter((F.col(self.time) <= last) & (F.col(self._year) <= F.year(last)))
-        return rows.drop(self._year)
+            within.append(F.col(self._year) <= F.year(moment(date_to)))
+        return self._read().filter(all_of(within)).drop(self._year)
 
     def read_newest(self) -> DataFrame:
         """Rows of the newest year: all that a query for the latest row needs."""
@@ -112,7 +111,7 @@ class KeyedTable:
     ) -> InsertResult:
         """Add the rows whose key is new; the first of a key wins.
 
-        The batch is summarised first: its years limit what is read of the table, and
+        The batch is summarised first: its times limit what is read of the table, and
         its size decides whether its keys are broadcast or both sides are shuffled.
         ``bulk`` leaves the summary out: a very large load is then computed once, and
         all keys of the table are read.
@@ -120,24 +119,21 @@ class KeyedTable:
         conformed = self._conform(batch, order)
         if bulk:
             return self._insert_bulk(conformed, order, rejects_path)
-        year = F.year(self.time)
         conformed = conformed.persist()
         fits = F.col("reject_reason").isNull()
         try:
             found = conformed.agg(
                 F.count("*").alias("read"),
                 F.count_if(fits).alias("fitting"),
-                F.min(F.when(fits, year)).alias("first"),
-                F.max(F.when(fits, year)).alias("last"),
+                F.min(F.when(fits, F.col(self.time))).alias("first"),
+                F.max(F.when(fits, F.col(self.time))).alias("last"),
             ).first()
             rejected = found["read"] - found["fitting"]
             if rejected and rejects_path:
                 conformed.filter(~fits).write.mode("append").parquet(rejects_path)
             if not found["fitting"]:
                 return InsertResult(found["read"], 0, rejected)
-            table = self._read().filter(
-                F.col(self._year).between(found["first"], found["last"])
-            )
+            table = self.read(found["first"], found["last"])
             small = found["fitting"] <= SMALL_BATCH_ROWS
             merge = insert_ignore_small if small else insert_ignore
             fitting = conformed.filter(fits).drop("reject_reason")

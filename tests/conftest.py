@@ -16,7 +16,8 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "4",
             "spark.sql.warehouse.dir": str(scratch / "warehouse"),
             "spark.checkpoint.dir": str(scratch / "checkpoint"),
         },

@@ -69,7 +69,9 @@ def test_year_folders_are_skipped(spark, table):
     table.insert_ignore(events(spark, *[(dt.datetime(y, 6, 1), "a", "C1.0") for y in range(2000, 2010)]))
     some = table.read("2003-01-01", "2004-12-31")
     assert some.count() == 2
-    assert "PartitionFilters: [isnotnull(event_start_year" in some._jdf.queryExecution().executedPlan().toString()
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_start_year" in plan
+    assert "GreaterThanOrEqual(event_start,2003-01-01" in plan
 
 
 def test_files_are_sorted_and_few(spark, table):
