@@ -165,16 +165,18 @@ def assign_ids(
     after: int = 0,
     key: list[str] = FLARES_KEY,
     order: list[str] = ["seq"],
+    batch: str = "",
 ) -> DataFrame:
     """Give rows an ``id``.
 
-    ``hash``       from the key, the same on every run; rows with a null in the key add
-                   their arrival order. 64 bits: expect a shared id only among billions.
+    ``hash``       from the key, the same on every run. Rows with a null in the key may
+                   come again, so they add their arrival order and the name of their
+                   ``batch``. 64 bits: expect a shared id only among billions.
     ``increment``  unique and above ``after``, with gaps; not the same on every run.
     ``dense``      ``after + 1, after + 2, ...`` in key order; costs a global sort.
     """
     if mode == "hash":
-        salt = [F.when(~_has_key(key), F.col(c)) for c in order]
+        salt = [F.when(~_has_key(key), c) for c in [*map(F.col, order), F.lit(batch)]]
         return df.withColumn("id", F.xxhash64(*key, *salt))
     if mode == "increment":
         return df.withColumn("id", F.monotonically_increasing_id() + F.lit(after + 1))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -156,7 +157,7 @@ class KeyedTable:
         after = 0
         if self.id_mode != "hash":
             after = self._read().agg(F.max("id")).first()[0] or 0
-        numbered = assign_ids(new, self.id_mode, after, self.key, order)
+        numbered = assign_ids(new, self.id_mode, after, self.key, order, str(uuid.uuid4()))
         written = Observation()
         rows = align(
             numbered.withColumn("created_at", F.current_timestamp()).drop(*order), self.schema

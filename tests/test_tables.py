@@ -44,6 +44,7 @@ def test_insert_and_insert_again(spark, table, bulk):
     assert len({r["id"] for r in rows}) == 3 and all(r["created_at"] for r in rows)
     # rows without an instrument never collide, so they come again
     assert table.insert_ignore(batch, bulk=bulk).inserted == 2
+    assert len({r["id"] for r in table.read().collect()}) == 5
 
 
 def test_rows_that_do_not_fit_are_kept_apart(spark, table, tmp_path):
