@@ -9,16 +9,15 @@ def round2(x: Column) -> Column:
     """Two decimals, exact ties to even, judged on the true binary value as Python's ``round`` does.
 
     ``x * 100`` is itself rounded. That matters only where the product lands on a
-    half: there its exact error (Dekker's product) says on which side ``x`` lies.
+    half: there its error says on which side ``x`` lies. With 100 = 64 + 32 + 4 every
+    step of the error is exact, as scaling by powers of two is, and so are
+    differences of numbers within a factor of two.
     """
-    hundred = F.lit(100.0)
-    product = x * hundred
-    split = x * F.lit(134217729.0)  # 2**27 + 1
-    high = split - (split - x)
-    error = (high * hundred - product) + (x - high) * hundred
+    product = x * 100.0
+    error = ((x * 64.0 - product) + x * 32.0) + x * 4.0
     on_half = F.abs(product - F.rint(product)) == 0.5
     whole = F.when(on_half, F.rint(product + F.signum(error) * 0.25)).otherwise(F.rint(product))
-    return whole / hundred
+    return whole / 100.0
 
 
 def round_half_up(x: Column, digits: int) -> Column:

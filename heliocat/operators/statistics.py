@@ -82,10 +82,11 @@ def stats(flares: DataFrame) -> DataFrame:
 
 
 def count_by_class(flares: DataFrame, magnitude: str = "magnitude") -> DataFrame:
+    """Rows without a magnitude count nowhere."""
     return (
-        flares.filter(F.col(magnitude).isNotNull())
-        .groupBy(F.substring(magnitude, 1, 1).alias("class"))
-        .agg(F.count("*").alias("cnt"))
+        flares.groupBy(F.substring(magnitude, 1, 1).alias("class"))
+        .agg(F.count(magnitude).alias("cnt"))
+        .filter("cnt > 0")
         .orderBy("class")
     )
 

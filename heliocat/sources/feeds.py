@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heliocat.functions.numeric import null_if_nan, round_to_int
-from heliocat.functions.texts import strip
+from heliocat.functions.texts import trim_blank
 from heliocat.functions.times import date_of_parts, date_of_text
 from heliocat.operators.daily import daily_kp
 from heliocat.schemas import F10_7_FEED, KP_FEED
@@ -37,7 +37,7 @@ def parse_sunspots(lines: DataFrame) -> DataFrame:
     negative numbers (no data) are skipped.
     """
     part = F.split("value", ";")
-    field = lambda i: strip(F.get(part, F.lit(i)))
+    field = lambda i: trim_blank(F.get(part, F.lit(i)))
     return (
         lines.filter((F.col("value") != "") & ~F.col("value").startswith("#"))
         .filter(F.size(part) >= 5)

@@ -26,6 +26,10 @@ def test_round2_is_pythons_round(spark):
     xs = [rng.uniform(-20, 20) for _ in range(5000)]
     xs += [k / 1000 for k in range(-3000, 3000)] + [k / 8 for k in range(-200, 200)]
     xs += [1.005, 2.675, 0.125, 0.375, -0.125, 1e17, -1e17, 9999999.995]
+    # neighbours of halves, where the product is rounded to one
+    for k in range(2000):
+        half = (rng.randint(0, 10**6) + 0.5) / 100
+        xs += [half, math.nextafter(half, 0), math.nextafter(half, math.inf), -half]
     assert values(spark, xs, "double", numeric.round2) == [round(x, 2) for x in xs]
 
 
