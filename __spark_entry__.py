@@ -28,6 +28,14 @@ from heliocat.streaming.feeds import drop_repeats, insert_stream  # noqa: E402
 from heliocat.tables import KeyedTable  # noqa: E402
 from check_sql import ORACLE  # noqa: E402
 
+try:
+    import corpus_pipeline as _pipeline
+    from heliocat.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "heliocat.llm", "heliocat.llm.queries"):
+        raise
+    _llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 LIST_FILTERS = {"date_from": "1996-01-01", "date_to": "1999-12-31T12:00:00", "class_": "X1"}
 EVENT_ID = 77
@@ -454,9 +462,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or query; each takes (spark, sf_dir)."""
-    return {f.__name__: f for f in _REGISTERED}
+    found = {f.__name__: f for f in _REGISTERED}
+    return found | _llm.QUERIES | {"pipeline": _pipeline.run} if _llm else found
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL over the same tables."""
-    return dict(ORACLE)
+    return ORACLE | (_llm.ORACLE if _llm else {})

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from check_sql import ORACLE
 from compare import connect, differences
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -15,7 +16,6 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, con, name):
-    sql = entry.oracle_sql()[name]
-    assert differences(spark, con, FOLDER, entry.queries()[name], sql) is None
+    assert differences(spark, con, FOLDER, entry.queries()[name], ORACLE[name]) is None
