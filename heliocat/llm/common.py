@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes of text that Python code works on at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: A key with more than this share of the rows is hot; so there are fewer than 1 / HOT_SHARE such keys.
 HOT_SHARE = 0.002
 #: Below this many rows a key is never hot.

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, pii, simhash
+from . import bpe, exact_dedup, pii, simhash
+
+#: The vocabulary that contracts name; every machine has it at the same place.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +25,10 @@ def op6_chunk_recipes(spark, d):
     )
 
 
+def op8_forced_boundaries(spark, d):
+    return bpe.digests(_table(spark, d, "documents"), WORD_BPE)
+
+
 def op10_anchor_pii(spark, d):
     return pii.digest(_table(spark, d, "documents"))
 
@@ -30,6 +38,7 @@ QUERIES = {
     for q in (
         op4_simhash_trie,
         op6_chunk_recipes,
+        op8_forced_boundaries,
         op10_anchor_pii,
     )
 }
