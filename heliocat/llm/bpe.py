@@ -26,8 +26,8 @@ from tokenizers import Tokenizer
 
 from .common import documents, per_batch
 
-#: Words whose ids a Python worker keeps; beyond that the cache starts anew.
-CACHE_WORDS = 300_000
+#: Strings between white space whose ids a Python worker keeps; beyond that the cache starts anew.
+CACHE_STRINGS = 600_000
 _PLAIN = 0x180  # texts of characters below this need no library call
 _NEVER = np.iinfo(np.int32).max
 
@@ -69,7 +69,9 @@ class Encoder:
         self._merge_table(model["merges"])
         self._pair_tables()
         self.words = _plain_words()
-        self.beyond = re.compile(f"[^\x00-{chr(_PLAIN - 1)}]")
+        # neither beyond the plain characters nor a control that only str.split takes for white space
+        # (nor a letter that becomes two in lower case)
+        self.beyond = re.compile(f"[^\x00-\x1b -\u012f\u0131-{chr(_PLAIN - 1)}]")
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.ids: dict[str, bytes] = {}
         self._clear()
@@ -82,9 +84,21 @@ class Encoder:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
         size = len(self.vocab)
         keys = np.array([self.vocab[a] * size + self.vocab[b] for a, b in pairs], np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.size, self.keys, self.rank_at = size, keys[order], order.astype(np.int32)
+        self.size = size
         self.merged = np.array([self.vocab[a + b] for a, b in pairs], np.int32)
+        # open addressing: a pair's rank lies in its slot or in one of the next
+        self.shift = np.uint64(64 - max(4, (4 * len(pairs)).bit_length()))
+        slots = 1 << (64 - int(self.shift))
+        self.keys, self.rank_at, self.probes = np.full(slots, -1, np.int64), np.full(slots, _NEVER, np.int32), 1
+        wait = np.arange(len(pairs))
+        slot = self._slots(keys)
+        while len(wait):
+            free = self.keys[slot[wait]] < 0
+            first = wait[free][np.unique(slot[wait[free]], return_index=True)[1]]
+            self.keys[slot[first]], self.rank_at[slot[first]] = keys[first], first
+            wait = np.setdiff1d(wait, first)
+            slot[wait] = (slot[wait] + 1) % slots
+            self.probes += bool(len(wait))
 
     def _pair_tables(self) -> None:
         """Whether two bytes ever stand side by side in a token: the second inside a word, or ending it."""
@@ -95,40 +109,61 @@ class Encoder:
             for i in range(len(raw) - 1):
                 self.joined[int(ends and i == len(raw) - 2), raw[i], raw[i + 1]] = True
 
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of the merges of these pairs."""
         key = left.astype(np.int64) * self.size + right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.rank_at[at], _NEVER)
+        slot = self._slots(key)
+        rank = np.where(self.keys[slot] == key, self.rank_at[slot], _NEVER)
+        open_ = np.flatnonzero((rank == _NEVER) & (self.keys[slot] >= 0))
+        for _ in range(self.probes):
+            if not len(open_):
+                break
+            slot[open_] = (slot[open_] + 1) % len(self.keys)
+            there = self.keys[slot[open_]]
+            hit = there == key[open_]
+            rank[open_[hit]] = self.rank_at[slot[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return rank
 
     def pieces(self, text: str) -> list[str]:
-        """The words of a text, as the library cuts them, and special tokens as they stand."""
-        if self.specials and "<" in text and len(parts := self.specials.split(text)) > 1:
-            out = []
-            for i, part in enumerate(parts):
-                out += [part] if i % 2 else self._words(part)
-            return out
-        return self._words(text)
-
-    def _words(self, text: str) -> list[str]:
+        """The words of a text, as the library cuts them."""
         if not self.beyond.search(text):
             return self.words.findall(text.lower())
         library, byte_of = self.library, self.byte_of
         cut = library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text))
         return [bytes(byte_of[c] for c in word).decode("utf-8", "surrogateescape") for word, _ in cut]
 
-    def learn(self, words: set[str]) -> None:
-        """Puts the ids of all these words into the cache."""
-        if len(self.ids) + len(words) > CACHE_WORDS:
+    def strings(self, text: str) -> list[str]:
+        """Strings that are encoded for themselves: special tokens as they stand, else lower-case
+        text between white space (which no word crosses) or, beyond plain characters, words."""
+        if self.specials and "<" in text and len(parts := self.specials.split(text)) > 1:
+            return [x for i, part in enumerate(parts) for x in ([part] if i % 2 else self.strings(part))]
+        return self.pieces(text) if self.beyond.search(text) else text.lower().split()
+
+    def learn(self, strings: set[str]) -> None:
+        """Puts the ids of all these strings into the cache."""
+        new = [w for w in strings if w not in self.ids]
+        if len(self.ids) + len(new) > CACHE_STRINGS:
             self._clear()
-        new = [w for w in words if w not in self.ids]
+            new = [w for w in strings if w not in self.ids]
         for at in range(0, len(new), 100_000):
             part = new[at : at + 100_000]
-            flat, lengths = self.merge([w.encode("utf-8", "surrogateescape") for w in part])
-            raw, ends = flat.tobytes(), (np.cumsum(lengths) * 4).tolist()
-            start = 0
-            for word, stop in zip(part, ends):
-                self.ids[word] = raw[start:stop]
+            words = [(w,) if w.isalpha() else self._cut(w) for w in part]
+            distinct = list({w for x in words for w in x})
+            flat, lengths = self.merge([w.encode("utf-8", "surrogateescape") for w in distinct])
+            raw, start, found = flat.tobytes(), 0, {}
+            for word, stop in zip(distinct, (np.cumsum(lengths) * 4).tolist()):
+                found[word] = raw[start:stop]
                 start = stop
+            for string, x in zip(part, words):
+                self.ids[string] = found[x[0]] if len(x) == 1 else b"".join([found[w] for w in x])
+
+    def _cut(self, string: str) -> list[str]:
+        """The words of a string; one beyond plain characters is a word already."""
+        return [string] if self.beyond.search(string) else self.words.findall(string)
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words one after another, and each word's number of ids."""
@@ -136,7 +171,7 @@ class Encoder:
         raw = np.frombuffer(b"".join(words), np.uint8)
         n = len(raw)
         ends = np.cumsum(sizes)
-        word = np.repeat(np.arange(len(words)), sizes)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         out = self.inner[raw]
         final = np.zeros(n, bool)
         final[ends[sizes > 0] - 1] = True
@@ -145,14 +180,13 @@ class Encoder:
         first = np.ones(n, bool)
         first[1:] = (word[1:] != word[:-1]) | ~self.joined[final[1:].astype(np.int8), raw[:-1], raw[1:]]
         there = np.ones(n, bool)
-        place, sym = np.arange(n), out.copy()
+        place, sym = np.arange(n, dtype=np.int32), out.copy()
         rank = np.full(n, _NEVER, np.int32)
         inside = np.flatnonzero(~first[1:])
         rank[inside] = self._ranks(sym[inside], sym[inside + 1])
         while len(sym):
-            fragment = np.cumsum(first) - 1
-            best = np.minimum.reduceat(rank, np.flatnonzero(first))
-            best = best[fragment]
+            starts = np.flatnonzero(first)
+            best = np.repeat(np.minimum.reduceat(rank, starts), np.diff(starts, append=len(sym)))
             active = best != _NEVER
             if not active.all():  # finished fragments leave
                 out[place[~active]] = sym[~active]
@@ -183,7 +217,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
-        cut = [self.pieces(t) for t in texts]
+        cut = [self.strings(t) for t in texts]
         self.learn(set().union(*cut))
         return [np.frombuffer(b"".join([self.ids[p] for p in x]), "<u4") for x in cut]
 
