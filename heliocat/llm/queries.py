@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, pii, simhash
+from . import bpe, exact_dedup, packing, pii, simhash
 
 #: The vocabulary that contracts name; every machine has it at the same place.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_bm25_packing(spark, d):
+    return packing.pack(_table(spark, d, "documents"), WORD_BPE)
+
+
 def op4_simhash_trie(spark, d):
     return simhash.near_duplicates(_table(spark, d, "documents"), width=3, budget=2)
 
@@ -36,6 +40,7 @@ def op10_anchor_pii(spark, d):
 QUERIES = {
     q.__name__: q
     for q in (
+        op1_bm25_packing,
         op4_simhash_trie,
         op6_chunk_recipes,
         op8_forced_boundaries,
