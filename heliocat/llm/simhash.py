@@ -29,7 +29,7 @@ from .components import components
 
 BITS = 64
 #: Fingerprints of a trie node that is one side of a unit of work; more only beyond MAX_NODES such nodes.
-NODE_ROWS = 1 << 14
+NODE_ROWS = 1 << 16
 MAX_NODES = 4096
 #: Node pairs that are compared fingerprint by fingerprint.
 LEAF_PAIRS = 64
@@ -270,18 +270,17 @@ def links(fps: DataFrame, budget: int = 2, node_rows: int = NODE_ROWS) -> DataFr
         for pdf in batches:
             fp = pdf["fp"].to_numpy()
             node = np.searchsorted(starts, _unsigned(fp), "right") - 1
-            for k in np.unique(node):
-                own = fp[node == k]
-                for unit, side in of[k]:
-                    yield pd.DataFrame({"unit": unit, "side": side, "fp": own})
+            # fingerprints travel in blocks, one for each unit a node belongs to
+            blocks = [(u, s, fp[node == k].tobytes()) for k in np.unique(node) for u, s in of[k]]
+            yield pd.DataFrame(blocks, columns=["unit", "side", "block"])
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = plan.value[2][int(pdf["unit"].iloc[0])]
-        fp, side = _unsigned(pdf["fp"].to_numpy()), pdf["side"].to_numpy()
-        found = unit_links(fp[side == 0], None if i == j else fp[side == 1], budget)
+        sides = [_unsigned(np.frombuffer(b"".join(pdf["block"][pdf["side"] == s]), np.int64)) for s in (0, 1)]
+        found = unit_links(sides[0], None if i == j else sides[1], budget)
         return pd.DataFrame({"a": _signed(found[:, 0]), "b": _signed(found[:, 1])})
 
-    dealt = fps.select("fp").mapInPandas(deal, "unit int, side int, fp long")
+    dealt = fps.select("fp").mapInPandas(deal, "unit int, side int, block binary")
     return dealt.groupBy("unit").applyInPandas(walk, "a long, b long")
 
 
