@@ -25,7 +25,7 @@ from .common import documents, per_batch, written
 WINDOW = 2048
 END = 1
 #: Tokens of a shard; a shard exceeds it by one document at most.
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 600_000
 K1, B = 1.2, 0.75
 
 PIECES = (
@@ -122,7 +122,7 @@ class Index:
         term, self.doc = key // len(docs), (key % len(docs)).astype(np.int32)
         self.first = np.searchsorted(term, np.arange(len(idf) + 1))
         norm = K1 * (1 - B + B * length[self.doc] / mean_length)
-        self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
+        self.weight = idf[term] * tf * (K1 + 1) / (tf + norm)
 
     def scores(self, query: int) -> np.ndarray:
         terms = np.unique(self.docs[query])
