@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, packing, pii, simhash
+from . import bpe, exact_dedup, language_id, packing, pii, quality, simhash
 
 #: The vocabulary that contracts name; every machine has it at the same place.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -15,14 +15,41 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _remainder(folds: int) -> Column:
+    """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds
+
+
 def op1_bm25_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"), WORD_BPE)
 
 
+def language_model(spark: SparkSession, d: str) -> language_id.Model | None:
+    """The field learned from the documents that are not held out."""
+    return language_id.train(_table(spark, d, "documents"), _remainder(5) != 0)
+
+
+def op2_crf_language(spark, d):
+    docs = _table(spark, d, "documents")
+    found = language_id.predict(docs, language_model(spark, d))
+    return found.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score", "n_words", "runs")
+
+
 def op4_simhash_trie(spark, d):
     return simhash.near_duplicates(_table(spark, d, "documents"), width=3, budget=2)
 
 
+def op5_fm_quality(spark, d):
+    docs, labels = _table(spark, d, "documents"), _table(spark, d, "labels")
+    scored = quality.score(docs, quality.train(docs, labels, _remainder(4) != 2))
+    return scored.select(
+        "doc_id",
+        (_remainder(4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op6_chunk_recipes(spark, d):
     return exact_dedup.exact_groups(_table(spark, d, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -41,7 +68,9 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_bm25_packing,
+        op2_crf_language,
         op4_simhash_trie,
+        op5_fm_quality,
         op6_chunk_recipes,
         op8_forced_boundaries,
         op10_anchor_pii,
