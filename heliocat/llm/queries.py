@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, language_id, packing, pii, quality, simhash
+from . import ann, bpe, exact_dedup, language_id, packing, pii, quality, simhash
 
 #: The vocabulary that contracts name; every machine has it at the same place.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -60,6 +60,10 @@ def op8_forced_boundaries(spark, d):
     return bpe.digests(_table(spark, d, "documents"), WORD_BPE)
 
 
+def op9_inverted_multi_index(spark, d):
+    return ann.search(_table(spark, d, "embeddings"), k=10, every=100)
+
+
 def op10_anchor_pii(spark, d):
     return pii.digest(_table(spark, d, "documents"))
 
@@ -73,6 +77,7 @@ QUERIES = {
         op5_fm_quality,
         op6_chunk_recipes,
         op8_forced_boundaries,
+        op9_inverted_multi_index,
         op10_anchor_pii,
     )
 }
