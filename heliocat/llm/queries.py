@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, exact_dedup, language_id, packing, pii, quality, simhash
+from . import ann, bpe, exact_dedup, language_id, packing, pii, quality, rlz_dedup, simhash, suffix_dedup
 
 #: The vocabulary that contracts name; every machine has it at the same place.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +35,10 @@ def op2_crf_language(spark, d):
     return found.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score", "n_words", "runs")
 
 
+def op3_suffix_arrays(spark, d):
+    return suffix_dedup.remove_repeats(_table(spark, d, "documents"), window=400)
+
+
 def op4_simhash_trie(spark, d):
     return simhash.near_duplicates(_table(spark, d, "documents"), width=3, budget=2)
 
@@ -56,6 +60,10 @@ def op6_chunk_recipes(spark, d):
     )
 
 
+def op7_relative_lz(spark, d):
+    return rlz_dedup.remove_repeats(_table(spark, d, "documents"), window=50)
+
+
 def op8_forced_boundaries(spark, d):
     return bpe.digests(_table(spark, d, "documents"), WORD_BPE)
 
@@ -73,9 +81,11 @@ QUERIES = {
     for q in (
         op1_bm25_packing,
         op2_crf_language,
+        op3_suffix_arrays,
         op4_simhash_trie,
         op5_fm_quality,
         op6_chunk_recipes,
+        op7_relative_lz,
         op8_forced_boundaries,
         op9_inverted_multi_index,
         op10_anchor_pii,
