@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heliocat.llm import exact_dedup, pii, simhash
+from heliocat.llm import exact_dedup, language_id, packing, pii, queries, simhash
 from heliocat.llm.common import shared_folder
 
+#: The share of its words' weight that a document's best language needs to stay.
+LEAST_LANGUAGE_SCORE = 0.25
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of no known language go: those without a letter, and mixtures of everything."""
+    model = language_id.train(docs, queries.remainder(5) != 0)
+    return language_id.keep_known(docs, model, least=LEAST_LANGUAGE_SCORE)
+
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
@@ -19,15 +28,24 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts is replaced by its kind."""
-    return pii.redact(docs)
+    """Personal data in the texts is replaced by its kind; the stored length follows."""
+    found = pii.redact(docs)
+    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The remaining documents packed into windows, one row per piece."""
+    return packing.pack(docs, queries.WORD_BPE)
 
 
 STAGES = [
+    ("language ID", language_stage),
     ("exact dedup", exact_stage),
     ("near dedup", near_stage),
     ("personal data", pii_stage),
+    ("packing", packing_stage),
 ]
+#: SQL has no random field, fingerprint or tokenizer; the tests hold run() against plain Python.
 ORACLE_SQL = None
 
 

@@ -15,7 +15,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _remainder(folds: int) -> Column:
+def remainder(folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds
 
@@ -26,13 +26,13 @@ def op1_bm25_packing(spark, d):
 
 def language_model(spark: SparkSession, d: str) -> language_id.Model | None:
     """The field learned from the documents that are not held out."""
-    return language_id.train(_table(spark, d, "documents"), _remainder(5) != 0)
+    return language_id.train(_table(spark, d, "documents"), remainder(5) != 0)
 
 
 def op2_crf_language(spark, d):
     docs = _table(spark, d, "documents")
     found = language_id.predict(docs, language_model(spark, d))
-    return found.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score", "n_words", "runs")
+    return found.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score", "n_words", "runs")
 
 
 def op3_suffix_arrays(spark, d):
@@ -45,10 +45,10 @@ def op4_simhash_trie(spark, d):
 
 def op5_fm_quality(spark, d):
     docs, labels = _table(spark, d, "documents"), _table(spark, d, "labels")
-    scored = quality.score(docs, quality.train(docs, labels, _remainder(4) != 2))
+    scored = quality.score(docs, quality.train(docs, labels, remainder(4) != 2))
     return scored.select(
         "doc_id",
-        (_remainder(4) == 2).alias("held_out"),
+        (remainder(4) == 2).alias("held_out"),
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
