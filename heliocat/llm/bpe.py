@@ -3,7 +3,8 @@
 A merge can only join bytes that stand next to each other inside some vocabulary token. So
 between two bytes that never do, a cut is certain, and the fragments between certain cuts are
 encoded independently. All new fragments of a batch are merged together in numpy: each round
-every fragment does its merge of lowest rank. A bounded cache keeps the ids of words seen.
+every fragment does its merge of lowest rank. A bounded cache keeps the ids of words seen,
+known by their hash, length and sum of bytes.
 
 Reads a ``tokenizers`` JSON file of byte-level BPE with word ends. For texts beyond the Latin
 letters the library's own normaliser and splitter cut the words; the ids are always made here.
@@ -24,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .common import documents, per_batch
+from .common import documents, per_batch, range_hashes
 
-#: Strings between white space whose ids a Python worker keeps; beyond that the cache starts anew.
-CACHE_STRINGS = 600_000
+#: Words whose ids a Python worker keeps; beyond that the cache starts anew.
+CACHE_WORDS = 400_000
 _PLAIN = 0x180  # texts of characters below this need no library call
 _NEVER = np.iinfo(np.int32).max
 
@@ -39,13 +40,50 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
 
 
-def _plain_words() -> re.Pattern:
-    """The splitter's pattern for characters below _PLAIN, classes by Unicode category."""
-    kind = {chr(c): unicodedata.category(chr(c))[0] for c in range(_PLAIN)}
-    letters = "".join(c for c, k in kind.items() if k == "L")
-    numbers = "".join(c for c, k in kind.items() if k == "N")
-    space = "\t\n\x0b\x0c\r \x85\xa0"
-    return re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{letters}]+|[{numbers}]|[^{space}{letters}{numbers}]+")
+_SPACE, _LETTER, _NUMBER, _OTHER = range(4)
+
+
+def _plain_classes() -> np.ndarray:
+    """The splitter's class of each character below _PLAIN, by its Unicode category."""
+    kind = np.full(_PLAIN, _OTHER, np.uint8)
+    for c in range(_PLAIN):
+        kind[c] = {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(chr(c))[0], _OTHER)
+    kind[[9, 10, 11, 12, 13, 32, 0x85, 0xA0]] = _SPACE
+    return kind
+
+
+_CLASSES = _plain_classes()
+
+
+def plain_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the splitter's words in lower-case UTF-8 of plain characters.
+
+    A word is a run of letters, one number character or a run of anything else but white
+    space; an apostrophe that stands alone takes the contraction behind it along.
+    """
+    n = len(data)
+    kind = np.zeros(n + 3, np.uint8)  # white space behind the end
+    kind[:n] = _CLASSES[np.minimum(data, 127)]
+    lead = np.flatnonzero(data >= 0xC2)
+    code = ((data[lead].astype(np.int64) & 0x1F) << 6) | (data[lead + 1] & 0x3F)
+    kind[lead] = kind[lead + 1] = _CLASSES[code]
+    start = np.zeros(n + 3, bool)
+    start[:n] = (data >> 6 != 2) & (kind[:n] != _SPACE)
+    start[1:n] &= (kind[1:n] != kind[: n - 1]) | (kind[1:n] == _NUMBER)
+    text = np.zeros(n + 3, np.uint8)
+    text[:n] = data
+    mark = np.flatnonzero(start[:n] & (data == ord("'")))
+    mark = mark[start[mark + 1] & (kind[mark + 1] == _LETTER)]
+    one, two = text[mark + 1], text[mark + 2]
+    single = np.isin(one, list(b"stmd"))
+    double = (np.isin(one, list(b"rv")) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    for found, size in ((mark[single], 1), (mark[double], 2)):
+        start[found + 1] = False
+        behind = found + 1 + size
+        start[behind[kind[behind] == _LETTER]] = True
+    stop = np.flatnonzero(start[:n] | (kind[:n] == _SPACE))
+    begins = start[stop]
+    return stop[begins], np.append(stop[1:], n)[begins]
 
 
 class Encoder:
@@ -68,17 +106,17 @@ class Encoder:
         self.last = np.array([self.vocab[c + self.end] for c in self.letters], np.int32)
         self._merge_table(model["merges"])
         self._pair_tables()
-        self.words = _plain_words()
-        # neither beyond the plain characters nor a control that only str.split takes for white space
-        # (nor a letter that becomes two in lower case)
-        self.beyond = re.compile(f"[^\x00-\x1b -\u012f\u0131-{chr(_PLAIN - 1)}]")
+        # a character beyond the plain ones, or a letter that becomes two in lower case
+        self.beyond = re.compile(f"[^\x00-\u012f\u0131-{chr(_PLAIN - 1)}]")
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.ids: dict[str, bytes] = {}
-        self._clear()
+        self._forget()
 
-    def _clear(self) -> None:
-        self.ids.clear()
-        self.ids.update({t: np.uint32(i).tobytes() for t, i in self.special.items()})
+    def _forget(self) -> None:
+        """Known words: hash (sorted), bytes and sum of bytes, and where their ids lie in the pool."""
+        self.known = np.zeros(0, np.uint64)
+        self.check = np.zeros((0, 2), np.int64)
+        self.place = np.zeros((0, 2), np.int64)
+        self.pool = np.zeros(0, np.uint32)
 
     def _merge_table(self, merges: list) -> None:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
@@ -128,50 +166,68 @@ class Encoder:
             open_ = open_[~hit & (there >= 0)]
         return rank
 
-    def pieces(self, text: str) -> list[str]:
-        """The words of a text, as the library cuts them."""
-        if not self.beyond.search(text):
-            return self.words.findall(text.lower())
+    def words(self, text: str) -> list[bytes]:
+        """The words of a text, as the library's normaliser and splitter cut them."""
         library, byte_of = self.library, self.byte_of
         cut = library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text))
-        return [bytes(byte_of[c] for c in word).decode("utf-8", "surrogateescape") for word, _ in cut]
-
-    def strings(self, text: str) -> list[str]:
-        """Strings that are encoded for themselves: special tokens as they stand, else lower-case
-        text between white space (which no word crosses) or, beyond plain characters, words."""
-        if self.specials and "<" in text and len(parts := self.specials.split(text)) > 1:
-            return [x for i, part in enumerate(parts) for x in ([part] if i % 2 else self.strings(part))]
-        return self.pieces(text) if self.beyond.search(text) else text.lower().split()
-
-    def learn(self, strings: set[str]) -> None:
-        """Puts the ids of all these strings into the cache."""
-        new = [w for w in strings if w not in self.ids]
-        if len(self.ids) + len(new) > CACHE_STRINGS:
-            self._clear()
-            new = [w for w in strings if w not in self.ids]
-        for at in range(0, len(new), 100_000):
-            part = new[at : at + 100_000]
-            words = [(w,) if w.isalpha() else self._cut(w) for w in part]
-            distinct = list({w for x in words for w in x})
-            flat, lengths = self.merge([w.encode("utf-8", "surrogateescape") for w in distinct])
-            raw, start, found = flat.tobytes(), 0, {}
-            for word, stop in zip(distinct, (np.cumsum(lengths) * 4).tolist()):
-                found[word] = raw[start:stop]
-                start = stop
-            for string, x in zip(part, words):
-                self.ids[string] = found[x[0]] if len(x) == 1 else b"".join([found[w] for w in x])
-
-    def _cut(self, string: str) -> list[str]:
-        """The words of a string; one beyond plain characters is a word already."""
-        return [string] if self.beyond.search(string) else self.words.findall(string)
+        return [bytes(byte_of[c] for c in word) for word, _ in cut]
+
+    def _by_word(self, text: str) -> np.ndarray:
+        """The ids of a text with special tokens or characters beyond the plain ones."""
+        parts = self.specials.split(text) if self.specials else [text]
+        out = []
+        for i, part in enumerate(parts):
+            out.append(np.array([self.special[part]], np.uint32) if i % 2 else self.merge(self.words(part))[0])
+        return np.concatenate(out)
+
+    def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of lower-case texts of plain characters; each distinct word is merged once."""
+        data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+        start, end = plain_words(data)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        if not len(start):
+            return [np.zeros(0, np.uint32)] * len(texts)
+        sums = np.concatenate([[0], np.cumsum(data, dtype=np.int64)])
+        check = np.stack([end - start, sums[end] - sums[start]], 1)
+        hashes, first, which = np.unique(
+            range_hashes(data, start, end), return_index=True, return_inverse=True
+        )
+        if len(self.known) + len(hashes) > CACHE_WORDS:
+            self._forget()
+        at = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
+        new = np.flatnonzero(self.known[at] != hashes) if len(self.known) else np.arange(len(hashes))
+        if len(new):
+            a, size = start[first[new]], (end - start)[first[new]]
+            offset = np.cumsum(size) - size
+            raw = data[np.arange(size.sum()) + np.repeat(a - offset, size)]
+            ids, counts = self._merged(raw, size)
+            place = np.stack([len(self.pool) + np.cumsum(counts) - counts, counts], 1)
+            self.pool = np.concatenate([self.pool, ids])
+            known = np.concatenate([self.known, hashes[new]])
+            order = np.argsort(known, kind="stable")
+            self.known = known[order]
+            self.check = np.concatenate([self.check, check[first[new]]])[order]
+            self.place = np.concatenate([self.place, place])[order]
+            at = np.searchsorted(self.known, hashes)
+        if (self.check[at[which]] != check).any():  # two words with one hash
+            return [self._by_word(t.decode()) for t in texts]
+        place = self.place[at[which]]
+        size = place[:, 1]
+        stop = np.cumsum(size)
+        flat = self.pool[np.arange(stop[-1]) + np.repeat(place[:, 0] - (stop - size), size)]
+        words_before = np.searchsorted(start, ends)
+        cuts = np.concatenate([[0], stop])[words_before]
+        return np.split(flat, cuts[:-1])
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words one after another, and each word's number of ids."""
         sizes = np.array([len(w) for w in words], np.int64)
-        raw = np.frombuffer(b"".join(words), np.uint8)
+        return self._merged(np.frombuffer(b"".join(words), np.uint8), sizes)
+
+    def _merged(self, raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(raw)
         ends = np.cumsum(sizes)
-        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         out = self.inner[raw]
         final = np.zeros(n, bool)
         final[ends[sizes > 0] - 1] = True
@@ -213,13 +269,20 @@ class Encoder:
             known = stale[follows[stale]]
             rank[stale] = _NEVER
             rank[known] = self._ranks(sym[known], sym[known + 1])
-        return out[there].astype(np.uint32), np.bincount(word[there], minlength=len(words))
+        return out[there].astype(np.uint32), np.bincount(word[there], minlength=len(sizes))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
-        cut = [self.strings(t) for t in texts]
-        self.learn(set().union(*cut))
-        return [np.frombuffer(b"".join([self.ids[p] for p in x]), "<u4") for x in cut]
+        out: list = [None] * len(texts)
+        plain = []
+        for i, t in enumerate(texts):
+            if self.beyond.search(t) or "<" in t and self.specials and self.specials.search(t):
+                out[i] = self._by_word(t)
+            else:
+                plain.append(i)
+        for i, ids in zip(plain, self._plain([texts[i].lower().encode() for i in plain]) if plain else ()):
+            out[i] = ids
+        return out
 
     def decode(self, ids) -> str:
         """The tokens joined by a space: the file has no decoder."""

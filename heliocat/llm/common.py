@@ -138,12 +138,23 @@ BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
+_kept = [powers(BASE, 1), powers(INVERSE, 1)]
+
+
+def _tables(n: int) -> list[np.ndarray]:
+    """Powers of the base and its inverse, at least n + 1; kept, as slices are of like size."""
+    if len(_kept[0]) <= n:
+        size = 1 << (n + 1).bit_length()
+        _kept[:] = powers(BASE, size), powers(INVERSE, size)
+    return _kept
+
+
 def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of values[start:end] for each pair; equal content gives equal hashes."""
     n = len(values)
+    ahead, back = _tables(n)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=sums[1:])
-    back = powers(INVERSE, n + 1)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * ahead[:n], out=sums[1:])
     return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
 
 

@@ -25,7 +25,7 @@ from .common import documents, per_batch, written
 WINDOW = 2048
 END = 1
 #: Tokens of a shard; a shard exceeds it by one document at most.
-SHARD_TOKENS = 600_000
+SHARD_TOKENS = 400_000
 K1, B = 1.2, 0.75
 
 PIECES = (
@@ -83,13 +83,13 @@ def document_frequencies(table: DataFrame, size: int, kind: str) -> np.ndarray:
 
 def _with_key(table: DataFrame, order: np.ndarray, kind: str) -> DataFrame:
     """Adds ``key``: the document's token that is first in ``order``, which favours rare ones."""
-    shared = table.sparkSession.sparkContext.broadcast(order)
+    token_at = np.argsort(order).astype(np.int32)
+    shared = table.sparkSession.sparkContext.broadcast((order, token_at))
 
     def add(batch: pa.RecordBatch) -> pa.RecordBatch:
+        order, token_at = shared.value
         flat, starts = _flat(batch["ids"], kind)
-        at = np.minimum.reduceat(shared.value[flat], starts)
-        token = np.argsort(shared.value)[at]
-        return batch.append_column("key", pa.array(token.astype(np.int32)))
+        return batch.append_column("key", pa.array(token_at[np.minimum.reduceat(order[flat], starts)]))
 
     return table.mapInArrow(per_batch(add, "ids"), f"{table._jdf.schema().toDDL()}, key int")
 
