@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -21,11 +19,14 @@ from heliocat.functions.solar import add_sun_position  # noqa: E402
 from heliocat.operators import collapse, eras, merge, normalise, predicates, statistics  # noqa: E402
 from heliocat.operators.lookups import attach_indices  # noqa: E402
 from heliocat.plans import queries as q, series  # noqa: E402
+from heliocat.schemas import FLARES_KEY, conform_events  # noqa: E402
+from heliocat.session import shared_folder as _scratch  # noqa: E402
 from heliocat.sources import feeds, listing  # noqa: E402
+from heliocat.sources.catalog import read_catalog  # noqa: E402
 from heliocat.sources.latest_event import latest_events  # noqa: E402
-from heliocat.sources.status_rows import finish  # noqa: E402
-from heliocat.streaming.feeds import drop_repeats, insert_stream  # noqa: E402
-from heliocat.tables import KeyedTable  # noqa: E402
+from heliocat.sources.status_rows import arrays_to_rows, finish, read_status_rows  # noqa: E402
+from heliocat.streaming.feeds import drop_repeats, insert_stream, poll_latest, sync_arrays  # noqa: E402
+from heliocat.tables import KeyedTable, write_csv  # noqa: E402
 from check_sql import ORACLE  # noqa: E402
 
 try:
@@ -39,6 +40,7 @@ except ModuleNotFoundError as missing:
 SMOKE_DIR = "/root/testdata/sf0.001"
 LIST_FILTERS = {"date_from": "1996-01-01", "date_to": "1999-12-31T12:00:00", "class_": "X1"}
 EVENT_ID = 77
+CATALOG_CUT = "1975-06-01 00:00:00"
 
 
 def _position(df: DataFrame) -> DataFrame:
@@ -85,12 +87,22 @@ def classify_flux(spark, d):
 
 def normalise_catalog(spark, d):
     raw = ad.catalog(ad.table(spark, d, "orders"))
-    return normalise.normalise_catalog(normalise.rename_catalog(raw)).select(
+    renamed = normalise.rename_catalog(raw)
+    return normalise.normalise_catalog(renamed, end_time=CATALOG_CUT).select(
         "ordinal", "event_start", "event_peak", "event_end", "magnitude",
         "xrsb_flux_peak", "instrument", "source",
     )
 
 
+def catalog_cut_counts(spark, d):
+    """Rows before and behind the median ordinal, the position where another source takes over."""
+    renamed = normalise.rename_catalog(ad.catalog(ad.table(spark, d, "orders")))
+    middle = renamed.agg(F.expr("CAST(max(ordinal) DIV 2 AS BIGINT)")).first()[0]
+    kept = normalise.normalise_catalog(renamed, end_ordinal=middle).agg(F.count("*").alias("kept"))
+    every = normalise.normalise_catalog(renamed).agg(F.count("*").alias("every"))
+    return kept.select("kept", (every.scalar() - F.col("kept")).alias("removed"))
+
+
 def merge_eras(spark, d):
     parts = ad.eras(ad.table(spark, d, "orders"))
     return eras.merge_eras(*parts, last_start=ad.ERA_CUT).select(
@@ -118,7 +130,12 @@ def list_flares_filtered(spark, d):
 
 
 def list_flares_far_page(spark, d):
-    return q.list_flares(_flares(spark, d), page=12, page_size=100, top_rows=500)
+    return q.list_flares(_flares(spark, d), page=12, page_size=100)
+
+
+def list_flares_deep_page(spark, d):
+    """A page beyond what is sorted at once."""
+    return q.list_flares(_flares(spark, d), page=9, page_size=1000)
 
 
 def list_flares_total(spark, d):
@@ -200,6 +217,10 @@ def list_indices(spark, d):
     return q.list_indices(_indices(spark, d), "1996-01-01", "2001-06-30")
 
 
+def list_indices_second_page(spark, d):
+    return q.list_indices(_indices(spark, d), "1996-01-01", "2001-06-30", page=2, page_size=900)
+
+
 def daily_kp_ap(spark, d):
     return feeds.parse_kp(ad.kp_records(ad.table(spark, d, "events"))).drop("seq")
 
@@ -339,19 +360,10 @@ def last_rows(spark, d):
     return predicates.tail(_flares(spark, d).select("id", "event_start"), "id")
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; a temporary one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/heliocat-{uuid.uuid4()}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("streams need spark.checkpoint.dir, a folder all machines share")
-    return tempfile.mkdtemp(prefix="heliocat-")
-
-
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
     return (
         spark.readStream.schema(ad.table(spark, d, "events").schema)
+        .option("maxFilesPerTrigger", 100)
         .option("pathGlobFilter", "events.parquet")
         .parquet(d)
     )
@@ -368,18 +380,139 @@ def stream_latest_events(spark, d):
 
 
 def stream_drop_repeats(spark, d):
-    """The event file as a stream, de-duplicated with bounded state."""
+    """The event file, cut into files whose times go back and forth, de-duplicated as a stream."""
+    folder = _scratch(spark)
+    rows = ad.keyed_events(ad.table(spark, d, "events")).select("event_start", "instrument", "seq")
+    rows.withColumn("part", F.pmod(F.col("seq") * 7, F.lit(4))).repartition("part").sortWithinPartitions(
+        "seq"
+    ).write.parquet(f"{folder}/landed")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+    schema = T.StructType([f for f in rows.schema.fields if f.name in FLARES_KEY])
+    target = KeyedTable(spark, f"{folder}/events", schema, FLARES_KEY).create()
+    drop_repeats(stream, target, ["seq"], f"{folder}/checkpoint").start().awaitTermination()
+    return target.read()
+
+
+def poll_landed_documents(spark, d):
+    """Documents landed as text files, polled into the table in small batches.
+
+    A landed file holds the elements of 200 documents as one array.
+    """
+    folder = _scratch(spark)
+    target = KeyedTable(spark, f"{folder}/flares").create()
+    elements = F.regexp_extract("value", r"^\[(.*?)\]?$", 1)
+    arrays = (
+        ad.documents(ad.table(spark, d, "events"))
+        .groupBy(F.expr("event_id DIV 200").alias("part"))
+        .agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(elements)), ","), F.lit("]")).alias("value"))
+    )
+    arrays.repartition("part").write.partitionBy("part").text(f"{folder}/landed")
+    poll_latest(spark, f"{folder}/landed/*", target, f"{folder}/checkpoint", None).start().awaitTermination()
+    return target.read().select("event_start", "instrument")
+
+
+def array_status_rows(spark, d):
+    """Array files to rows: masked cells get the fill value, the class is one text."""
+    rows = arrays_to_rows(ad.array_files(ad.table(spark, d, "events")), ad.STATUS_COLUMNS)
+    return finish(rows, {"integrated_flux": ad.FILL}).select(
+        "file", "pos", "flare_id", "status", "time", "xrsb_flux", "integrated_flux", "flare_class"
+    )
+
+
+def collapse_many_files(spark, d):
+    """Status rows read from several files, whose places in the file start anew in each."""
+    folder = _scratch(spark)
+    rows = _status_rows(spark, d).withColumn("background_flux", F.lit(0.0))
+    rows = ad.with_class_chars(rows).withColumn("flare_class", F.array_join("flare_class", ""))
+    place = F.expr("row_number() OVER (PARTITION BY half ORDER BY pos) - 1")
+    halves = rows.withColumn("half", (F.col("pos") % 2).cast("int")).withColumn("pos", place.cast("long"))
+    for half in (0, 1):
+        halves.filter(F.col("half") == half).drop("half").write.parquet(f"{folder}/file-{half}")
+    found = collapse.collapse_events(read_status_rows(spark, f"{folder}/file-*"))
+    return _position(found).drop("seq")
+
+
+def sync_array_files(spark, d):
+    """Array files landed one after another, refreshed into the table in small batches."""
     folder = _scratch(spark)
-    rows = ad.keyed_events(_event_stream(spark, d)).select("event_start", "instrument")
+    target = KeyedTable(spark, f"{folder}/flares").create()
+    files = ad.array_files(ad.table(spark, d, "events")).drop("file")
+    files.repartition(10).write.parquet(f"{folder}/landed")
+    sync_arrays(
+        spark, f"{folder}/landed", target, f"{folder}/checkpoint", files.schema,
+        fills={"integrated_flux": ad.FILL}, max_files=4,
+    ).start().awaitTermination()
+    return target.read().select("event_start", "instrument", "source")
+
+
+def catalog_from_files(spark, d):
+    """The catalog as tab-separated text in several files, read back with its ordinals."""
+    folder = _scratch(spark)
+    raw = ad.catalog(ad.table(spark, d, "orders"))
     (
-        drop_repeats(rows)
-        .writeStream.trigger(availableNow=True)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .format("parquet")
-        .start(f"{folder}/events")
-        .awaitTermination()
+        raw.withColumn("Instrumento", F.trim(F.regexp_replace("Instrumento", r"\s+", " ")))
+        .repartitionByRange(4, "ordinal").sortWithinPartitions("ordinal").drop("ordinal")
+        .write.option("sep", "\t").option("header", True).csv(folder)
+    )
+    renamed = normalise.rename_catalog(read_catalog(spark, folder, with_ordinal=True))
+    return renamed.select("ordinal", "event_start", "instrument", "raw_flux")
+
+
+def legacy_single_objects(spark, d):
+    """The older reading: one object per document."""
+    documents = ad.single_documents(ad.table(spark, d, "events"))
+    return latest_events(documents, mode="legacy", keep=("event_id",)).select(
+        "event_id", "satellite", "begin_time", "max_time", "max_class", "max_xrlong"
+    )
+
+
+def _catalog_batch(spark, d) -> DataFrame:
+    renamed = normalise.rename_catalog(ad.catalog(ad.table(spark, d, "orders")))
+    return normalise.normalise_catalog(renamed).withColumnRenamed("ordinal", "seq")
+
+
+def load_counts(spark, d):
+    """What a dry run, a load and a second load count, and the table's rows afterwards."""
+    table = KeyedTable(spark, f"{_scratch(spark)}/flares").create()
+    rows = _catalog_batch(spark, d)
+    # every fiftieth row does not fit the table
+    rows = rows.withColumn("source", F.when(F.col("seq") % 50 != 0, F.col("source")).otherwise("?"))
+    steps = [
+        ("dry run", table.count_fresh(rows)),
+        ("load", table.insert_ignore(rows, bulk=True)),
+        ("again", table.insert_ignore(rows)),
+    ]
+    counts = [(n, r.read, r.inserted, r.rejected) for n, r in steps]
+    counts.append(("table", table.read().count(), 0, spark.read.parquet(table.rejects_path).count()))
+    return spark.createDataFrame(counts, "step string, read long, inserted long, rejected long")
+
+
+def stored_ids(spark, d):
+    """Default ids of a loaded table: all different, all rows stamped."""
+    table = KeyedTable(spark, f"{_scratch(spark)}/flares").create()
+    table.insert_ignore(_catalog_batch(spark, d))
+    return table.read().agg(
+        F.count("*").alias("stored"),
+        F.countDistinct("id").alias("ids"),
+        F.count_if(F.col("created_at").isNotNull()).alias("stamped"),
+    )
+
+
+def export_csv(spark, d):
+    """The catalog written as CSV with a header, read back."""
+    folder = _scratch(spark)
+    write_csv(_flares(spark, d).select("id", "magnitude", "instrument"), folder)
+    return spark.read.schema("id long, magnitude string, instrument string").option("header", True).csv(folder)
+
+
+def not_a_number(spark, d):
+    """Events whose fluxes are NaN here and there, as the table stores them."""
+    gap = lambda c, n: F.when(F.col("id") % n == 0, F.lit(float("nan"))).otherwise(F.col(c))
+    rows = _flares(spark, d).withColumns(
+        {"xrsb_flux_peak": gap("xrsb_flux_peak", 3), "integrated_flux": gap("integrated_flux", 5)}
     )
-    return spark.read.schema(rows.schema).parquet(f"{folder}/events")
+    stored = conform_events(rows.withColumn("source", F.lit("SWPC")), ["id"])
+    return stored.select("id", "xrsb_flux_peak", "integrated_flux")
 
 
 def stream_insert_ignore(spark, d):
@@ -409,7 +542,9 @@ _REGISTERED = [
     era_trim_counts,
     overlap_window,
     list_flares_filtered,
+    catalog_cut_counts,
     list_flares_far_page,
+    list_flares_deep_page,
     list_flares_total,
     list_flares_with_indices,
     flares_with_indices,
@@ -424,6 +559,15 @@ _REGISTERED = [
     stats_all,
     stats_answer,
     list_indices,
+    list_indices_second_page,
+    array_status_rows,
+    collapse_many_files,
+    catalog_from_files,
+    legacy_single_objects,
+    load_counts,
+    stored_ids,
+    export_csv,
+    not_a_number,
     daily_kp_ap,
     ap_step_lookup,
     insert_ignore,
@@ -452,6 +596,8 @@ _REGISTERED = [
     stream_insert_ignore,
     stream_latest_events,
     stream_drop_repeats,
+    poll_landed_documents,
+    sync_array_files,
 ]
 
 

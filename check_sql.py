@@ -155,10 +155,16 @@ LIST_WHERE = (
     "event_start >= TIMESTAMP '1996-01-01' AND event_start <= TIMESTAMP '1999-12-31 12:00:00' "
     "AND starts_with(magnitude, 'X1')"
 )
-# Fixed patterns: links of a page, comments and scripts left out.
-LINKS = r"""regexp_extract_all(
-  regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'g'),
-  '(?i)<a href="([^"]*)"', 1)"""
+# Links of a page. Text between "<" and the next "<" is taken apart by plain string functions:
+# what is open when a comment or script ends is counted, and such parts are left out.
+LINKS = """[h FOR h IN [replace(replace(string_split(p, '"')[1], '&lt;', '<'), '&amp;', '&')
+  FOR p IN string_split(visible, '<a href="')[2:] IF contains(p, '"')] IF h <> '']"""
+VISIBLE = """(SELECT page_id, list_aggregate([CASE WHEN i = 1 THEN cut[i]
+         WHEN starts_with(cut[i], '!--') AND contains(cut[i], '-->') THEN substr(cut[i], strpos(cut[i], '-->') + 3)
+         WHEN starts_with(cut[i], '!--') OR starts_with(lower(cut[i]), 'script')
+           OR starts_with(lower(cut[i]), 'style') THEN ''
+         ELSE '<' || cut[i] END FOR i IN range(1, len(cut) + 1)], 'string_agg', '') AS visible
+  FROM (SELECT page_id, string_split(html, '<') AS cut FROM pages))"""
 WITH_INDICES = "sunspot_number, f10_7_flux, kp_index, ap_index"
 
 ORACLE: dict[str, str] = {}
@@ -197,7 +203,8 @@ SELECT pos, {letter('xrsb_flux')} AS letter, {sub('xrsb_flux')} AS sub,
 ORACLE["normalise_catalog"] = f"""WITH {CATALOG}
 SELECT ordinal, event_start, event_peak, event_end, {magnitude('xrsb_flux_peak')} AS magnitude,
        xrsb_flux_peak, instrument, 'SWPC' AS source
-FROM catalog WHERE event_peak >= TIMESTAMP '1974-01-01 12:00:00' AND ordinal < 76421"""
+FROM catalog WHERE event_peak >= TIMESTAMP '1974-01-01 12:00:00'
+      AND event_start < TIMESTAMP '1975-06-01 00:00:00'"""
 
 ORACLE["merge_eras"] = f"WITH {ERAS} SELECT * FROM united"
 
@@ -368,14 +375,14 @@ SELECT event_id, date_trunc('second', ts) AS event_start,
 FROM events WHERE event_type <> 'error'"""
 
 ORACLE["extract_first_link"] = f"""
-SELECT page_id, [h FOR h IN {LINKS} IF ends_with(h, 'n')][1] AS link FROM pages"""
+SELECT page_id, [h FOR h IN {LINKS} IF ends_with(h, 'n')][1] AS link FROM {VISIBLE}"""
 
 ORACLE["extract_named_link"] = f"""
-SELECT page_id, CASE WHEN list_contains({LINKS}, '/the') THEN '/the' END AS link FROM pages"""
+SELECT page_id, CASE WHEN list_contains({LINKS}, '/the') THEN '/the' END AS link FROM {VISIBLE}"""
 
 ORACLE["missing_links"] = f"""
 SELECT count(*) AS pages,
-       count(*) FILTER ([h FOR h IN {LINKS} IF ends_with(h, 'n')][1] IS NULL) AS missing FROM pages"""
+       count(*) FILTER ([h FOR h IN {LINKS} IF ends_with(h, 'n')][1] IS NULL) AS missing FROM {VISIBLE}"""
 
 ORACLE["sun_position"] = sun("events", "ts", "event_id")
 
@@ -427,3 +434,57 @@ FROM events WHERE event_type NOT IN ('click', 'error', 'signup')"""
 ORACLE["assign_dense_ids"] = f"""WITH {KEYED}
 SELECT event_start, instrument, seq, value,
        1000 + row_number() OVER (ORDER BY event_start, instrument NULLS FIRST, seq) AS id FROM keyed"""
+
+# ---- files, tables and counts --------------------------------------------------------
+
+_ERA = "event_peak >= TIMESTAMP '1974-01-01 12:00:00'"
+ORACLE["catalog_cut_counts"] = f"""WITH {CATALOG}, middle AS (SELECT max(ordinal) // 2 AS m FROM catalog)
+SELECT count(*) FILTER (ordinal < m) AS kept, count(*) FILTER (ordinal >= m) AS removed
+FROM catalog, middle WHERE {_ERA}"""
+
+ORACLE["list_flares_deep_page"] = f"""WITH {FLARES}
+SELECT * FROM flares ORDER BY event_start DESC, id DESC LIMIT 1000 OFFSET 8000"""
+
+ORACLE["list_indices_second_page"] = f"""WITH {INDICES}
+SELECT * FROM indices WHERE date >= DATE '1996-01-01' AND date <= DATE '2001-06-30'
+ORDER BY date DESC LIMIT 900 OFFSET 900"""
+
+ORACLE["array_status_rows"] = f"""WITH {STATUS_ROWS}
+SELECT flare_id::VARCHAR AS file, row_number() OVER (PARTITION BY flare_id ORDER BY pos) - 1 AS pos,
+       flare_id, status, time, xrsb_flux, CASE WHEN pos % 7 <> 0 THEN integrated_flux ELSE -9999e0 END AS integrated_flux,
+       {magnitude('xrsb_flux')} AS flare_class
+FROM status_rows"""
+
+_BY_FILE = ORACLE["collapse_events"].replace("pos)", "(pos % 2) * 1000000000000 + pos)")
+ORACLE["collapse_many_files"] = f"SELECT * EXCLUDE (seq) FROM ({_BY_FILE})"
+
+ORACLE["sync_array_files"] = f"""
+SELECT DISTINCT event_start, 'GOES-19' AS instrument, 'GOES-19' AS source FROM ({ORACLE["collapse_events"]})"""
+
+ORACLE["catalog_from_files"] = f"""WITH {CATALOG}
+SELECT row_number() OVER (ORDER BY ordinal) - 1 AS ordinal, event_start, instrument, raw_flux FROM catalog"""
+
+ORACLE["legacy_single_objects"] = ORACLE["parse_latest_first_only"]
+
+_LOADED = f"""{CATALOG}, batch AS (
+  SELECT *, ordinal % 50 = 0 OR length(instrument) > 10
+            OR length({magnitude('xrsb_flux_peak')}) > 8 AS bad FROM catalog WHERE {_ERA}),
+counts AS (
+  SELECT count(*) AS n, count(*) FILTER (bad) AS bad,
+         count(DISTINCT (event_start, instrument)) FILTER (NOT bad) AS fresh FROM batch)"""
+ORACLE["load_counts"] = f"""WITH {_LOADED}
+SELECT 'dry run' AS step, n AS read, fresh AS inserted, bad AS rejected FROM counts
+UNION ALL SELECT 'load', n, fresh, bad FROM counts
+UNION ALL SELECT 'again', n, 0, bad FROM counts
+UNION ALL SELECT 'table', fresh, 0, 2 * bad FROM counts"""
+
+ORACLE["stored_ids"] = f"""WITH {_LOADED.replace('ordinal % 50 = 0 OR ', '')}
+SELECT fresh AS stored, fresh AS ids, fresh AS stamped FROM counts"""
+
+ORACLE["export_csv"] = f"WITH {FLARES} SELECT id, magnitude, instrument FROM flares"
+
+ORACLE["not_a_number"] = f"""WITH {FLARES}
+SELECT id, CASE WHEN id % 3 <> 0 THEN xrsb_flux_peak END AS xrsb_flux_peak,
+       CASE WHEN id % 5 <> 0 THEN integrated_flux END AS integrated_flux FROM flares"""
+
+ORACLE["poll_landed_documents"] = f"WITH {_MAPPED} SELECT DISTINCT event_start, instrument FROM mapped"

@@ -188,6 +188,31 @@ def existing_and_incoming(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def array_files(events: DataFrame) -> DataFrame:
+    """Status rows as array files, one per event: equal-length arrays, masked cells null."""
+    rows = with_class_chars(status_rows(events))
+    masked = F.when(F.col("pos") % 7 != 0, F.col("integrated_flux"))
+    columns = STATUS_COLUMNS
+    entries = F.array_sort(F.collect_list(F.struct("pos", *columns)))
+    full = rows.withColumns({"integrated_flux": masked, "background_flux": F.lit(0.0)})
+    packed = full.groupBy(F.col("flare_id").alias("event")).agg(entries.alias("rows"))
+    return packed.select(
+        F.col("event").cast("string").alias("file"),
+        *[F.col(f"rows.{c}").alias(c) for c in columns],
+    )
+
+
+#: what masked cells are filled with
+FILL = -9999.0
+STATUS_COLUMNS = ["flare_id", "status", "time", "xrsb_flux", "integrated_flux", "background_flux", "flare_class"]
+
+
+def single_documents(events: DataFrame) -> DataFrame:
+    """One document per row as the older reading takes it: a single object in brackets."""
+    first = F.regexp_extract("value", r"^\[(\{[^}]*\})", 1)
+    return documents(events).select("event_id", F.concat(F.lit("["), first, F.lit("]")).alias("value"))
+
+
 def documents(events: DataFrame) -> DataFrame:
     """One latest-event document per row, with two elements and sometimes no end bracket."""
     kind = F.col("event_type")

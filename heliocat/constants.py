@@ -10,7 +10,6 @@ LEGACY_CORRECTION_FACTOR = 0.7
 # Time base and era bounds, UTC.
 TIME_BASE = "2000-01-01 12:00:00"
 CATALOG_START = "1974-01-01 12:00:00"
-GOES_16_START = "2017-02-09 00:00:00"
 GOES_19_START = "2024-09-20 00:00:00"
 CATALOG_END_ORDINAL = 76421
 
@@ -48,10 +47,9 @@ KP_AP_STEPS = [
 KP_STEP_MARGIN = 0.15
 KP_AP_DEFAULT = 400
 
-# Page bounds and lookup cap of the read queries.
+# Page bounds of the read queries.
 DEFAULT_PAGE_SIZE = 100
 MAX_PAGE_SIZE = 1000
-LOOKUP_LIST_LIMIT = 1000
 
 # Poll period and file names of the feeds.
 POLL_SECONDS = 300

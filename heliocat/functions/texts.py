@@ -79,16 +79,28 @@ def close_json_array(raw: Column) -> Column:
 
 # Fixed patterns: parts of a page whose links do not count, and the links themselves.
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-# No group is repeated in them: a repeated group takes stack for every repeat.
-_TAG = r"(?is)<a\s[^>]*"
-_HREF = r"""(?is)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# Possessive repeats take no stack. A tag goes on over quoted values, whatever they hold; an
+# attribute follows white space, a slash or the quote that ends the one before.
+_TAG = r"""(?is)<a(?=[\s/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_ATTRIBUTE = r"""(?is)[^\s/=>"']++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?+"""
+_HREF = r"""(?is)^href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 
 def hrefs(html: Column) -> Column:
     """The ``href`` values of a page's links, in page order."""
     shown = F.regexp_replace(html, _HIDDEN, " ")
     tags = F.regexp_extract_all(shown, F.lit(_TAG), F.lit(0))
-    quoted = F.transform(tags, lambda tag: F.regexp_extract(tag, _HREF, 1))
+    # attribute by attribute, so that a value which reads like one does not count
+    first = lambda tag: F.get(
+        F.filter(
+            F.regexp_extract_all(F.substr(tag, F.lit(3)), F.lit(_ATTRIBUTE), F.lit(0)),
+            lambda part: F.regexp_like(part, F.lit(_HREF)),
+        ),
+        F.lit(0),
+    )
+    quoted = F.transform(
+        tags, lambda tag: F.coalesce(F.regexp_extract(first(tag), _HREF, 1), F.lit(""))
+    )
     return F.transform(
         F.filter(quoted, lambda h: h != ""),
         lambda h: _unescape(F.regexp_replace(h, r"""^["']|["']$""", "")),
@@ -96,11 +108,26 @@ def hrefs(html: Column) -> Column:
 
 
 def _unescape(text: Column) -> Column:
+    """Named and numeric entities; the ampersand comes last, so nothing is read twice."""
+    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?i)&#(x[0-9a-f]{1,6}|[0-9]{1,7});"), F.lit(0)))
+    text = F.when(F.size(codes) > 0, F.reduce(codes, text, lambda done, code: F.replace(done, code, _character(code)))).otherwise(text)
     for entity, char in [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text
 
 
+def _character(code: Column) -> Column:
+    """The character of a numeric entity; what is none stays as it is. An ampersand stays
+    an entity until the end."""
+    hexadecimal = F.lower(F.substring(code, 3, 1)) == "x"
+    digits = F.regexp_extract(code, r"(?i)&#x?([0-9a-f]+);", 1)
+    number = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
+    # UTF-32 text of the number, decoded
+    character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    fits = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return F.when(number == 38, "&amp;").when(fits, character).otherwise(code)
+
+
 def first_href_with_suffix(html: Column, suffix: str) -> Column:
     """First link that ends with ``suffix``, or null."""
     return F.get(F.filter(hrefs(html), lambda h: h.endswith(suffix)), F.lit(0))

@@ -13,6 +13,14 @@ _ZONED = (
     r"\s*(?:Z|UTC|GMT|[+-]\d\d(?::?\d\d)?)\s*$"
 )
 
+#: Formats of times beside ISO, tried in this order.
+TIME_FORMATS = (
+    "yyyy/M/d H:mm[:ss]",
+    "yyyyMMdd'T'HHmm[ss]",
+    "d-MMM-yyyy H:mm[:ss]",
+    "MMM d yyyy H:mm[:ss]",
+)
+
 
 def utc(text: str) -> Column:
     """A literal timestamp, written as UTC."""
@@ -54,13 +62,26 @@ def from_offset_seconds(seconds: Column, base: str = TIME_BASE) -> Column:
     return F.timestamp_add("SECOND", safe, utc(base))
 
 
-def parse_utc(text: Column) -> Column:
-    """Text to UTC: an offset at the end is applied, text without one is UTC already."""
+def parse_utc(text: Column, formats: tuple = TIME_FORMATS) -> Column:
+    """Text to UTC: an offset at the end is applied, text without one is UTC already.
+
+    ISO texts in whole seconds are told by their shape; other ISO texts take patterns, and
+    what is no ISO text is tried against ``formats`` in turn.
+    """
+    plain = text.like("____-__-__T__:__:__Z") | text.like("____-__-__T__:__:__")
+    shaped = F.substring(text, 1, 19).try_cast("timestamp_ntz")
     # a time with an offset needs its seconds, so they are added where the first cast fails
     full = F.regexp_replace(text, r"([T ]\d\d:\d\d)(?=\s*(?:Z|UTC|GMT|[+-]))", "$1:00")
     instant = F.coalesce(text.try_cast("timestamp"), full.try_cast("timestamp"))
-    with_zone = F.timestamp_add("MICROSECOND", F.unix_micros(instant), utc(_EPOCH))
-    return F.when(text.rlike(_ZONED), with_zone).otherwise(text.try_cast("timestamp_ntz"))
+    iso = F.when(text.rlike(_ZONED), _wall(instant)).otherwise(text.try_cast("timestamp_ntz"))
+    bare = F.concat(F.regexp_replace(text, r"^\s+|\s*(?:Z|UTC|GMT)?\s*$", ""), F.lit("Z"))
+    others = [_wall(F.try_to_timestamp(bare, F.lit(f"{f}X"))) for f in formats]
+    return F.when(plain, shaped).otherwise(F.coalesce(iso, *others))
+
+
+def _wall(instant: Column) -> Column:
+    """The UTC wall time of an instant, whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), utc(_EPOCH))
 
 
 def date_of_text(text: Column) -> Column:

@@ -6,18 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from heliocat.schemas import INDEX_COLUMNS
 
-#: most lookup rows that are broadcast; a row is below 64 bytes
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_checked(df: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if a count shows at most ``max_rows`` rows.
-
-    Above that it is left alone: the join then shuffles, and adaptive execution
-    splits the keys that hold too much. The count reads the key column only.
-    """
-    return F.broadcast(df) if df.select(key).count() <= max_rows else df
-
 
 def attach_indices(
     events: DataFrame,
@@ -25,14 +13,11 @@ def attach_indices(
     start: str = "event_start",
     date: str = "date",
     columns: list[str] = INDEX_COLUMNS,
-    check_rows: int | None = BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join on the day of ``start``; the lookup has one row per day.
 
-    ``check_rows=None`` skips the count and leaves the choice to adaptive execution,
-    which is right when ``events`` is one page.
+    Adaptive execution sees the lookup's size and broadcasts it or shuffles both sides,
+    and then splits the days that hold too much.
     """
     daily = indices.select(F.col(date).alias("_date"), *columns)
-    if check_rows is not None:
-        daily = broadcast_checked(daily, "_date", check_rows)
     return events.join(daily, F.to_date(events[start]) == daily["_date"], "left").drop("_date")

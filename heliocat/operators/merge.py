@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from heliocat.functions.texts import metadata_json, one_decimal
 from heliocat.schemas import EVENTS, FLARES_KEY, align
+from heliocat.session import shared_folder
 
 
 def _has_key(key: list[str]) -> Column:
@@ -39,9 +40,10 @@ def insert_ignore(
 ) -> DataFrame:
     """Rows of ``batch`` that an insert-if-absent would add.
 
-    The first row per key in arrival order wins. A key with a null never equals
-    another, so such rows are all kept; they take no part in any shuffle.
-    The window and the anti-join share one shuffle of the batch.
+    The first row per key in arrival order wins. A key with a null never equals another, so
+    such rows are all kept: ``order``, which tells the rows of a batch apart, is then part of
+    their key and spreads them. The batch is read once, and the window and the anti-join
+    share one shuffle of it.
 
     ``nullable`` names the key columns that may be null in the batch; without it all may.
     ``unique`` says that no whole key comes twice in ``existing``; without it the keys
@@ -52,27 +54,21 @@ def insert_ignore(
     held = held if unique else held.distinct()
     if not nullable:
         return first_per_key(batch, key, order).join(held, key, "left_anti")
-    keyed = first_per_key(batch.filter(_has_key(nullable)), key, order)
-    unkeyed = batch.filter(~_has_key(nullable))
-    return keyed.join(held, key, "left_anti").unionByName(unkeyed)
+    marked = batch.withColumn(OWN, own_place(nullable, order))
+    firsts = first_per_key(marked, [*key, OWN], order)
+    # the empty text, but not as a literal: that would leave the join key, and with it the
+    # partitioning that the window and the join share
+    none = F.left(F.col(key[0]).cast("string"), F.lit(0))
+    return firsts.join(held.withColumn(OWN, none), [*key, OWN], "left_anti").drop(OWN)
 
 
-def insert_ignore_small(
-    existing: DataFrame,
-    batch: DataFrame,
-    key: list[str] = FLARES_KEY,
-    order: list[str] = ["seq"],
-    nullable: list[str] | None = None,
-    unique: bool = False,
-) -> DataFrame:
-    """As ``insert_ignore`` for a batch of checked, small size.
+#: column with what stands for the key of a row whose key has a null
+OWN = "_own"
 
-    The batch's keys are broadcast to the existing table, which then need not be
-    shuffled; only the keys found there take part in the anti-join.
-    """
-    wanted = batch.select(*key).filter(_has_key(key)).distinct()
-    held = existing.select(*key).join(F.broadcast(wanted), key, "left_semi")
-    return insert_ignore(held, batch, key, order, nullable, unique)
+
+def own_place(key: list[str], order: list[str]) -> Column:
+    """A row's place in its batch if its key has a null, else the empty text."""
+    return F.when(_has_key(key), F.lit("")).otherwise(F.to_json(F.struct(*order)))
 
 
 def exists_in(df: DataFrame, table: DataFrame, key: list[str]) -> DataFrame:
@@ -150,38 +146,57 @@ def migrate_observations(
     """
     events = observations_to_events(observations, seq)
     if strict:
-        twice = (
-            events.filter(_has_key(key)).groupBy(*key).count().filter("count > 1").limit(1)
-        )
-        fresh = twice.join(flares.select(*key), key, "left_anti")
-        if not fresh.isEmpty():
-            raise ValueError(f"observations repeat a key: {fresh.first().asDict()}")
+        refuse_repeats(events, flares, key)
     return insert_ignore(flares, events, key)
 
 
+def refuse_repeats(events: DataFrame, flares: DataFrame, key: list[str] = FLARES_KEY) -> None:
+    """Raise if a key that ``flares`` does not hold comes twice in ``events``."""
+    twice = events.filter(_has_key(key)).groupBy(*key).count().filter("count > 1")
+    fresh = twice.join(flares.select(*key), key, "left_anti").first()
+    if fresh is not None:
+        raise ValueError(f"observations repeat a key: {fresh.asDict()}")
+
+
+def number_rows(ordered: DataFrame, name: str, start: int = 0) -> DataFrame:
+    """Number rows ``start, start + 1, ...`` in their order.
+
+    The rows are written once, as they are; what is counted and added up is one number per
+    partition.
+    """
+    shared_folder(ordered.sparkSession)
+    stored = ordered.checkpoint()
+    place = F.monotonically_increasing_id()  # the partition's number above 33 bits of places
+    part = F.shiftright(place, 33)
+    sizes = stored.select(part.alias("_part")).groupBy("_part").count()
+    before = F.sum("count").over(Window.orderBy("_part")) - F.col("count")
+    starts = sizes.select("_part", (before + F.lit(start)).alias("_start"))
+    placed = stored.withColumn("_place", place).withColumn("_part", F.shiftright("_place", 33))
+    number = F.col("_start") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(starts, "_part").withColumn(name, number).drop("_part", "_place", "_start")
+
+
 def assign_ids(
     df: DataFrame,
     mode: str = "hash",
     after: int = 0,
     key: list[str] = FLARES_KEY,
     order: list[str] = ["seq"],
-    batch: str = "",
 ) -> DataFrame:
     """Give rows an ``id``.
 
-    ``hash``       from the key, the same on every run. Rows with a null in the key may
-                   come again, so they add their arrival order and the name of their
-                   ``batch``. 64 bits: expect a shared id only among billions.
+    ``hash``       from the key, the same on every run; rows with a null in the key add
+                   their ``order``. 64 bits: expect a shared id only among billions, so look
+                   a row up by id and start there (``get_flare``).
     ``increment``  unique and above ``after``, with gaps; not the same on every run.
-    ``dense``      ``after + 1, after + 2, ...`` in key order; costs a global sort.
+    ``dense``      ``after + 1, after + 2, ...`` in key order; costs a global sort, whose
+                   result is written to the shared checkpoint folder.
     """
     if mode == "hash":
-        salt = [F.when(~_has_key(key), c) for c in [*map(F.col, order), F.lit(batch)]]
+        salt = [F.when(~_has_key(key), F.col(c)) for c in order]
         return df.withColumn("id", F.xxhash64(*key, *salt))
     if mode == "increment":
         return df.withColumn("id", F.monotonically_increasing_id() + F.lit(after + 1))
     if mode == "dense":
-        ordered = df.drop("id").orderBy(*key, *order)
-        numbered = ordered.pandas_api().to_spark(index_col="id")
-        return numbered.withColumn("id", F.col("id") + F.lit(after + 1))
+        return number_rows(df.drop("id").orderBy(*key, *order), "id", after + 1)
     raise ValueError(f"unknown id mode: {mode}")

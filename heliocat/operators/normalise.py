@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from heliocat.constants import CATALOG_END_ORDINAL
 from heliocat.functions.flux import add_magnitude, calibrate
 from heliocat.functions.solar import add_sun_position
 from heliocat.functions.texts import (
@@ -16,8 +15,8 @@ from heliocat.functions.texts import (
     satellite_label,
     strip,
 )
-from heliocat.functions.times import parse_utc
-from heliocat.operators.predicates import from_catalog_start
+from heliocat.constants import CATALOG_START
+from heliocat.functions.times import TIME_FORMATS, parse_utc, utc
 from heliocat.schemas import EVENTS, align
 
 CATALOG_NAMES = {
@@ -30,33 +29,50 @@ CATALOG_NAMES = {
 }
 
 
-def rename_catalog(raw: DataFrame) -> DataFrame:
-    """Unified names, parsed times; the columns computed anew are dropped."""
+_TIMES = ("event_start", "event_peak", "event_end")
+
+
+def rename_catalog(raw: DataFrame, formats: tuple = TIME_FORMATS) -> DataFrame:
+    """Unified names, parsed times; the columns computed anew are dropped.
+
+    ``reject_hint`` says which time is a text that no format fits, so that the row is
+    rejected with a reason instead of leaving with the rows outside the era.
+    """
+    text = lambda c: F.coalesce(strip(F.col(c).cast("string")), F.lit(""))
+    bad = [
+        F.when((text(c) != "") & parse_utc(F.col(c), formats).isNull(), f"{c} is no time")
+        for c in _TIMES
+    ]
     return (
         raw.drop("unknown", "Clase", "Subclase", "Region")
         .withColumnsRenamed(CATALOG_NAMES)
-        .withColumns({c: parse_utc(F.col(c)) for c in ("event_start", "event_peak", "event_end")})
+        .withColumn("reject_hint", F.coalesce(*bad))
+        .withColumns({c: parse_utc(F.col(c), formats) for c in _TIMES})
     )
 
 
 def normalise_catalog(
     renamed: DataFrame,
     source: str = "SWPC",
-    end_ordinal: int | None = CATALOG_END_ORDINAL,
+    end_ordinal: int | None = None,
     end_time: str | None = None,
     ordinal: str = "ordinal",
 ) -> DataFrame:
     """Calibrate, cut the era and compute magnitudes anew.
 
     The end is a position in the file (``end_ordinal``, against the ordinal given by
-    the loader) or, where rows have no position, a start time (``end_time``).
+    the loader) or, where rows have no position, a start time (``end_time``). Rows with a
+    ``reject_hint`` stay for the table to reject.
     ``raw_flux`` and the ordinal stay for the comparison series and the arrival order.
     """
-    era = from_catalog_start(renamed)
-    if end_ordinal is not None:
-        era = era.filter(F.col(ordinal) < end_ordinal)
+    kept = F.col("event_peak") >= utc(CATALOG_START)
     if end_time is not None:
-        era = era.filter(F.col("event_start") < F.lit(end_time).cast("timestamp_ntz"))
+        kept &= F.col("event_start") < utc(end_time)
+    if "reject_hint" in renamed.columns:
+        kept = F.col("reject_hint").isNotNull() | kept
+    if end_ordinal is not None:
+        kept = (F.col(ordinal) < end_ordinal) & kept
+    era = renamed.filter(kept)
     corrected = era.withColumn("xrsb_flux_peak", calibrate(F.col("raw_flux")))
     return add_magnitude(corrected, "xrsb_flux_peak").withColumns(
         {

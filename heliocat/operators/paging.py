@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,10 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from heliocat.constants import DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE
 from heliocat.functions.times import exact_seconds_since, utc
 
-#: most rows a top-k keeps per task and merges in one
-TOP_ROWS = 200_000
+#: rows among which a page is cut in the end; ranges of equal keys may hold more
+TOP_ROWS = 4000
 _BUCKETS = 1024
-_EPOCH = "1970-01-01 00:00:00"
+_EARLIEST = "0001-01-01 00:00:00"
+_IDS = 1 << 64
 
 
 def page_offset(page: int = 1, page_size: int = DEFAULT_PAGE_SIZE) -> int:
@@ -33,91 +32,72 @@ def newest_first(
     tie: str = "id",
     top_rows: int = TOP_ROWS,
 ) -> DataFrame:
-    """Rows ``offset .. offset + size`` by ``time``, then ``tie``, both descending.
+    """Rows ``offset .. offset + size`` by ``time``, then ``tie``, both descending, nulls last.
 
-    A top-k holds ``offset + size`` rows at once, so a far page first skips ahead.
+    Counts per range of the sort key, round by round, find a range of at most ``top_rows``
+    rows (or one page and the rows equal to its ends) that holds the page at any depth; only
+    these rows are sorted.
     """
-    if offset + size > top_rows:
-        df, skipped = _skip_ahead(df, offset, size, time, tie, top_rows)
-        offset -= skipped
-    return df.orderBy(F.desc(time), F.desc(tie)).offset(offset).limit(size)
+    lower, upper, skipped = _reach(df, _place(time, tie), offset, size, max(top_rows, size))
+    place = _place(time, tie)
+    inside = df.filter((place >= _number(lower)) & (place <= _number(upper)))
+    # the time bounds are there for the scan: files outside them are not read
+    earliest, latest = _moment(lower), _moment(upper)
+    if earliest is not None:
+        inside = inside.filter((F.col(time) >= earliest) & (F.col(time) <= latest))
+    return inside.orderBy(F.desc(time), F.desc(tie)).offset(offset - skipped).limit(size)
 
 
-@dataclass(frozen=True)
-class _SortKey:
-    """A sort column, its whole-number form, and how to write such a number as its literal."""
+def _place(time: str, tie: str) -> Column:
+    """Time and tie as one whole number that sorts as they do; a null is below all values."""
+    micros = (exact_seconds_since(F.col(time), _EARLIEST) * 1_000_000).cast("decimal(18,0)")
+    later = F.coalesce(micros + F.lit(Decimal(1)), F.lit(Decimal(0))).cast("decimal(18,0)")
+    ids = F.col(tie).cast("decimal(20,0)") + F.lit(Decimal(_IDS // 2))
+    ids = F.coalesce(ids + F.lit(Decimal(1)), F.lit(Decimal(0))).cast("decimal(20,0)")
+    # 2 ** 65 leaves room for the null below 2 ** 64 ids
+    return (later * F.lit(Decimal(2 * _IDS)) + ids).cast("decimal(38,0)")
 
-    column: Column
-    number: Column
-    literal: Callable[[int], Column]
 
+def _number(n: int) -> Column:
+    return F.lit(Decimal(n)).cast("decimal(38,0)")
 
-def _time_key(name: str) -> _SortKey:
-    return _SortKey(
-        F.col(name),
-        (exact_seconds_since(F.col(name), _EPOCH) * 1_000_000).cast("bigint"),
-        lambda n: F.timestamp_add("MICROSECOND", F.lit(n), utc(_EPOCH)),
-    )
 
+def _moment(place: int) -> Column | None:
+    micros = place // (2 * _IDS) - 1
+    return F.timestamp_add("MICROSECOND", F.lit(micros), utc(_EARLIEST)) if micros >= 0 else None
 
-def _whole_key(name: str) -> _SortKey:
-    return _SortKey(F.col(name), F.col(name), F.lit)
 
+def _reach(df: DataFrame, place: Column, offset: int, size: int, most: int) -> tuple[int, int, int]:
+    """(lower, upper, rows above upper): a range of ``place`` that holds the wanted rows.
 
-@dataclass(frozen=True)
-class _Reach:
-    """Rows up to ``upper`` hold the wanted one; ``skipped`` rows lie above."""
-
-    lower: int
-    upper: int
-    skipped: int
-
-
-def _skip_ahead(
-    df: DataFrame, offset: int, size: int, time: str, tie: str, top_rows: int
-) -> tuple[DataFrame, int]:
-    """Drop a known number of rows from the top, by counts per range of the sort keys.
-
-    Each round counts one range split in buckets and goes on inside the bucket that
-    holds row ``offset``; only those counts reach the driver. Rows that share one
-    time are split by ``tie`` in the same way.
+    Each round splits the range in buckets and keeps those from the one of the first wanted
+    row to the one of the last; only the counts of 1,024 buckets reach the driver.
     """
-    by_time, by_tie = _time_key(time), _whole_key(tie)
-    reach = _narrow(df, by_time, offset, 0, size, top_rows)
-    last_time = by_time.literal(reach.upper)
-    below = by_time.column <= last_time
-    if reach.upper == reach.lower and offset - reach.skipped + size > top_rows:
-        inside = df.filter(by_time.column == last_time)
-        reach = _narrow(inside, by_tie, offset, reach.skipped, size, top_rows)
-        below = (by_time.column < last_time) | (
-            (by_time.column == last_time) & (by_tie.column <= by_tie.literal(reach.upper))
-        )
-    return df.filter(below | by_time.column.isNull()), reach.skipped
-
-
-def _narrow(
-    df: DataFrame, key: _SortKey, offset: int, skipped: int, size: int, top_rows: int
-) -> _Reach:
-    lower, upper = df.agg(F.min(key.number), F.max(key.number)).first()
-    if lower is None:
-        return _Reach(0, 0, skipped)
-    while upper > lower and offset - skipped + size > top_rows:
+    rows = df.select(place.alias("place"))
+    lower, upper, total = rows.agg(F.min("place"), F.max("place"), F.count("*")).first()
+    if not total:
+        return 0, 0, 0
+    lower, upper, skipped, held = int(lower), int(upper), 0, total
+    last = min(offset + size, total)
+    while held > most and upper > lower and offset < total:
         width = (upper - lower) // _BUCKETS + 1
-        # ids may span all 64 bits, so the distance from the top is taken in decimals
-        distance = F.lit(Decimal(upper)) - key.number.cast("decimal(20,0)")
+        bucket = F.call_function("div", _number(upper) - F.col("place"), _number(width))
         counts = (
-            df.filter((key.column >= key.literal(lower)) & (key.column <= key.literal(upper)))
-            .groupBy(F.call_function("div", distance, F.lit(Decimal(width))).alias("bucket"))
+            rows.filter((F.col("place") >= _number(lower)) & (F.col("place") <= _number(upper)))
+            .groupBy(bucket.alias("bucket"))
             .count()
             .orderBy("bucket")
             .collect()
         )
-        for bucket, rows in counts:
-            if skipped + rows > offset:
-                upper -= bucket * width
-                lower = max(lower, upper - width + 1)
-                break
-            skipped += rows
-        else:  # the list ends above row ``offset``
-            return _Reach(lower, lower - 1, skipped)
-    return _Reach(lower, upper, skipped)
+        above, wanted = skipped, []
+        for number, n in counts:
+            if above + n > offset and above < last:
+                wanted.append((number, above, n))
+            above += n
+        first, end = wanted[0], wanted[-1]
+        narrowed = (max(lower, upper - (end[0] + 1) * width + 1), upper - first[0] * width)
+        held = end[1] + end[2] - first[1]
+        if narrowed == (lower, upper):  # its ends are single values
+            break
+        (lower, upper), skipped = narrowed, first[1]
+    return lower, upper, skipped

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heliocat.constants import ARRAY_FILE_SUFFIX
+from heliocat.constants import ARRAY_FILE_SUFFIX, CATALOG_END_ORDINAL
 from heliocat.operators.collapse import StatusColumns, collapse_events
 from heliocat.operators.eras import merge_eras
-from heliocat.operators.merge import migrate_observations
+from heliocat.operators.merge import observations_to_events, refuse_repeats
 from heliocat.operators.normalise import (
     is_complete,
     label_source,
@@ -31,12 +31,15 @@ def array_events(rows: DataFrame, label: str, names: StatusColumns = StatusColum
     return label_source(collapse_events(rows, names), label)
 
 
-def unified_catalog(catalog: DataFrame, middle: DataFrame, last: DataFrame) -> DataFrame:
+def unified_catalog(
+    catalog: DataFrame, middle: DataFrame, last: DataFrame, end_ordinal: int | None
+) -> DataFrame:
     """The three sources as one frame with its arrival order.
 
     ``catalog`` is the raw catalog with ``ordinal``; the others are status rows.
     """
-    old = normalise_catalog(rename_catalog(catalog)).withColumnRenamed("ordinal", "seq")
+    renamed = rename_catalog(catalog)
+    old = normalise_catalog(renamed, end_ordinal=end_ordinal).withColumnRenamed("ordinal", "seq")
     return merge_eras(
         old, array_events(middle, "GOES-16"), array_events(last, "GOES-19")
     )
@@ -57,18 +60,22 @@ def load_history(
     middle_path: str,
     last_path: str,
     dry_run: bool = False,
-    rejects_path: str | None = None,
+    end_ordinal: int | None = CATALOG_END_ORDINAL,
     **status_options,
 ) -> InsertResult:
-    """The one-time load. A dry run counts the rows that would be added and writes nothing."""
+    """The one-time load. A dry run counts the rows that would be added and writes nothing.
+
+    ``end_ordinal`` is the catalog row at which the middle era takes over.
+    """
     united = unified_catalog(
         read_catalog(spark, catalog_path, with_ordinal=True),
         read_status_rows(spark, middle_path, **status_options),
         read_status_rows(spark, last_path, **status_options),
+        end_ordinal=end_ordinal,
     )
     if dry_run:
-        return InsertResult(None, table.fresh(united, ARRIVAL).count(), None)
-    return table.insert_ignore(united, ARRIVAL, rejects_path, bulk=True)
+        return table.count_fresh(united, ARRIVAL)
+    return table.insert_ignore(united, ARRIVAL, bulk=True)
 
 
 def sync_status_rows(table: KeyedTable, rows: DataFrame, label: str = "GOES-19") -> InsertResult:
@@ -86,8 +93,14 @@ def store_legacy(table: KeyedTable, documents: DataFrame) -> InsertResult:
 
 
 def migrate(table: KeyedTable, observations: DataFrame, strict: bool = False) -> int:
-    """Move older observations over; gives the table's row count afterwards."""
-    table.insert_ignore(migrate_observations(observations, table.read(), strict=strict))
+    """Move older observations over; gives the table's row count afterwards.
+
+    ``strict`` fails on new keys that come twice, before anything is written.
+    """
+    events = observations_to_events(observations)
+    if strict:
+        refuse_repeats(events, table.read(), table.key)
+    table.insert_ignore(events)
     return table.read().count()
 
 

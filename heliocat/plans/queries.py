@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from heliocat.constants import DEFAULT_PAGE_SIZE, LOOKUP_LIST_LIMIT
+from heliocat.constants import DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE
 from heliocat.functions.times import iso_text
 from heliocat.operators.lookups import attach_indices
 from heliocat.operators.paging import TOP_ROWS, newest_first, page_offset
@@ -13,7 +13,6 @@ from heliocat.operators.statistics import stats, stats_long, total
 from heliocat.schemas import FLARES, INDEX_COLUMNS
 
 __all__ = [
-    "service_info",
     "list_flares",
     "count_flares",
     "flare_page",
@@ -25,12 +24,6 @@ __all__ = [
 ]
 
 
-def service_info(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(
-        F.lit("Event catalog").alias("service"), F.lit("README.md").alias("docs")
-    )
-
-
 def list_flares(
     flares: DataFrame,
     page: int = 1,
@@ -49,7 +42,7 @@ def list_flares(
     rows = newest_first(wanted, offset, page_size, top_rows=top_rows)
     if indices is None:
         return rows
-    return attach_indices(rows, indices, check_rows=None).orderBy(
+    return attach_indices(rows, indices).orderBy(
         F.desc("event_start"), F.desc("id")
     )
 
@@ -101,9 +94,13 @@ def latest_flare(flares: DataFrame) -> DataFrame:
 
 def get_flare(flares: DataFrame, flare_id: int, indices: DataFrame) -> DataFrame:
     """One event with its day's lookup values; no row if the id is unknown."""
-    return attach_indices(flares.filter(F.col("id") == flare_id), indices, check_rows=None)
+    return attach_indices(flares.filter(F.col("id") == flare_id), indices)
 
 
-def list_indices(indices: DataFrame, date_from=None, date_to=None) -> DataFrame:
+def list_indices(
+    indices: DataFrame, date_from=None, date_to=None, page: int = 1, page_size: int = MAX_PAGE_SIZE
+) -> DataFrame:
+    """One page of the lookup, newest day first; the lookup has one row per day."""
     wanted = indices.filter(all_of(days_between("date", date_from, date_to)))
-    return wanted.orderBy(F.desc("date")).limit(LOOKUP_LIST_LIMIT)
+    offset = page_offset(page, page_size)
+    return wanted.orderBy(F.desc("date")).offset(offset).limit(page_size)

@@ -1,7 +1,4 @@
-"""Series behind the report charts.
-
-The flux is a second sort key: a sort then splits rows that share one time.
-"""
+"""Series behind the report charts: projections of the rows, in no order."""
 
 from __future__ import annotations
 
@@ -13,16 +10,14 @@ from heliocat.functions.flux import calibrate
 
 def flux_series(events: DataFrame, *by: str) -> DataFrame:
     """Peak flux over time."""
-    return events.select(*by, "event_peak", "xrsb_flux_peak").orderBy(
-        *by, "event_peak", "xrsb_flux_peak"
-    )
+    return events.select(*by, "event_peak", "xrsb_flux_peak")
 
 
 def calibration_series(renamed: DataFrame) -> DataFrame:
     """Corrected and raw flux over time, on the same rows."""
     return renamed.select(
         "event_peak", calibrate(F.col("raw_flux")).alias("corrected_flux"), "raw_flux"
-    ).orderBy("event_peak", "corrected_flux")
+    )
 
 
 def level_series(events: DataFrame) -> DataFrame:
@@ -31,4 +26,4 @@ def level_series(events: DataFrame) -> DataFrame:
         "event_peak",
         "xrsb_flux_peak",
         *[F.lit(level).alias(name) for name, level in CLASS_LEVELS],
-    ).orderBy("event_peak", "xrsb_flux_peak")
+    )

@@ -45,7 +45,6 @@ SOLAR_INDICES = _schema(
     ("source", T.StringType()),
     ("created_at", T.TimestampType()),
 )
-SOLAR_INDICES_KEY = ["date"]
 INDEX_COLUMNS = ["sunspot_number", "f10_7_flux", "kp_index", "ap_index"]
 
 OBSERVATIONS = _schema(
@@ -134,15 +133,18 @@ def event_reject_reason() -> Column:
 def conform_events(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Event rows in table types: whole-second times, NaN as null, and a ``reject_reason``.
 
-    ``extra`` names further columns to keep, such as the arrival order.
+    ``extra`` names further columns to keep, such as the arrival order. A ``reject_hint``
+    of the source is the reason if it is there.
     """
-    out = align(df, EVENTS, extra)
+    hint = ["reject_hint"] if "reject_hint" in df.columns else []
+    out = align(df, EVENTS, [*(extra or []), *hint])
     times = {c: whole_second(F.col(c)) for c in ("event_start", "event_peak", "event_end")}
     numbers = {
         f.name: null_if_nan(F.col(f.name))
         for f in EVENTS.fields
         if isinstance(f.dataType, T.DoubleType)
     }
+    reasons = [*map(F.col, hint), event_reject_reason()]
     return out.withColumns({**times, **numbers}).withColumn(
-        "reject_reason", event_reject_reason()
-    )
+        "reject_reason", F.coalesce(*reasons)
+    ).drop(*hint)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -23,3 +26,19 @@ def spark_session(
     for name, value in {**SETTINGS, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's name below ``spark.checkpoint.dir``, which all machines must share.
+
+    Where that is unset, a local session gets a temporary folder for it; any other fails.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        shared = tempfile.mkdtemp(prefix="heliocat-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared)
+    return f"{shared.rstrip('/')}/heliocat-{uuid.uuid4()}"

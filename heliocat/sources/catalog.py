@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from heliocat.schemas import CATALOG
 
@@ -23,9 +23,21 @@ def read_catalog(spark: SparkSession, path: str, with_ordinal: bool = False) ->
 
 
 def add_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
-    """Number the rows of a file scan 0, 1, 2, ... across its partitions.
+    """Number the rows of a file scan 0, 1, 2, ... by file name and place in the file.
 
-    The numbering is distributed (rows are counted per partition first). Store the
-    result where it is used again: a row's position is a property of the file.
+    Each split of a file is scanned in order, so a row's place is counted within its split;
+    the rows before the split are added from one count per split.
     """
-    return df.pandas_api().to_spark(index_col=name)
+    split = ["_file", "_block"]
+    placed = df.withColumns(
+        {
+            "_file": F.col("_metadata.file_path"),
+            "_block": F.col("_metadata.file_block_start"),
+            "_place": F.monotonically_increasing_id(),
+        }
+    )
+    splits = placed.groupBy(*split).agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy(*split)) - F.col("_rows")
+    starts = splits.select(*split, (before - F.col("_first")).alias("_start"))  # a row per split
+    numbered = placed.join(starts, split).withColumn(name, F.col("_start") + F.col("_place"))
+    return numbered.select(name, *df.columns)

@@ -20,7 +20,7 @@ SUNSPOT_LABEL = "SILSO"
 def _arrival() -> Column:
     """Increases along a file: file, then block, then place in the block."""
     return F.struct(
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )

@@ -21,13 +21,26 @@ def parse_array(raw: Column, schema: T.DataType = EVENTS_JSON) -> Column:
     A strict parse comes first in effect: the repair leaves closed arrays alone.
     """
     is_array = trim_blank(raw).startswith("[")
-    return F.when(is_array, F.from_json(close_json_array(raw), schema))
+    return F.when(is_array, _only_value(close_json_array(raw), schema))
 
 
 def parse_single(raw: Column, schema: T.DataType = LATEST_EVENT) -> Column:
     """The older reading: drop the first and last character and parse one object."""
     inner = F.substr(raw, F.lit(2), F.length(raw) - 2)
-    return F.when(trim_blank(inner).startswith("{"), F.from_json(inner, schema))
+    return F.when(trim_blank(inner).startswith("{"), _only_value(inner, schema))
+
+
+def _only_value(text: Column, schema: T.DataType) -> Column:
+    """The one JSON value of a text; null if the text holds anything else beside it.
+
+    The text is parsed as the first of an array's two elements: whatever follows the value is
+    then a syntax error, a further element or the end of the array.
+    """
+    wrapped = F.concat(F.lit("["), text, F.lit(",null]"))
+    values = F.from_json(wrapped, T.ArrayType(schema), {"allowSingleQuotes": "false"})
+    # the values are named once, so the text is parsed once
+    fitting = F.get(F.filter(F.array(values), lambda v: F.size(v) == 2), F.lit(0))
+    return F.get(fitting, F.lit(0))
 
 
 def latest_events(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from heliocat.functions.numeric import fill_masked
 from heliocat.functions.texts import join_chars
@@ -20,7 +20,8 @@ def read_status_rows(
     """Rows with an explicit ``pos`` column, or arrays with one row per file.
 
     A source with array columns becomes rows; otherwise rows are taken as they are
-    and must carry ``pos``, their place in the file.
+    and must carry ``pos``, their place in the file. In the result ``pos`` is the place
+    among all files, by path and then by the place in the file.
     """
     arrays = any(isinstance(f.dataType, T.ArrayType) for f in schema.fields)
     if not arrays and "pos" not in schema.names:
@@ -30,10 +31,26 @@ def read_status_rows(
         .schema(schema)
         .options(**options)
         .load(path)
-        .withColumn("file", F.col("_metadata.file_name"))
+        .withColumn("file", F.col("_metadata.file_path"))
     )
     rows = arrays_to_rows(df, schema.names) if arrays else df
-    return finish(rows, fills)
+    return finish(in_arrival_order(rows), fills)
+
+
+#: places of one file; a place among all files is the file's rank times this and the place
+FILE_PLACES = 1 << 40
+
+
+def in_arrival_order(rows: DataFrame, file: str = "file", pos: str = "pos") -> DataFrame:
+    """``pos`` made the place among all files; files are ranked by name, one row per file."""
+    ranks = rows.select(file).distinct().withColumn(
+        "_rank", F.row_number().over(Window.orderBy(file)).cast("long")
+    )
+    return (
+        rows.join(ranks, file)
+        .withColumn(pos, F.col("_rank") * F.lit(FILE_PLACES) + F.col(pos))
+        .select(*rows.columns)
+    )
 
 
 def arrays_to_rows(df: DataFrame, columns: list[str], keep: tuple = ("file",)) -> DataFrame:

@@ -71,14 +71,17 @@ def sync_arrays(
     seconds: int | None = None,
     format: str = "parquet",
     fills: dict | None = None,
+    max_files: int = 100,
 ) -> DataStreamWriter:
     """The daily refresh over landed array files; a file is read once, by the checkpoint.
 
-    Each file holds whole events, so they are collapsed inside the micro-batch.
+    Each file holds whole events, so they are collapsed inside the micro-batch of at most
+    ``max_files`` files.
     """
     files = (
         spark.readStream.format(format)
         .schema(schema)
+        .option("maxFilesPerTrigger", max_files)
         .load(path)
         .withColumn("file", F.col("_metadata.file_path"))
     )
@@ -86,7 +89,8 @@ def sync_arrays(
     names = StatusColumns(by=("file",))
 
     def insert(batch: DataFrame, number: int) -> None:
-        result = table.insert_ignore(array_events(batch, label, names), ["file", "seq"])
+        events = array_events(batch, label, names)
+        result = table.insert_ignore(events, ["file", "seq"], batch_name=f"{checkpoint} {number}")
         log.info("batch %s: %s", number, result)
 
     return _writer(rows, checkpoint, seconds).foreachBatch(insert)
@@ -95,8 +99,12 @@ def sync_arrays(
 def insert_stream(
     events: DataFrame, table: KeyedTable, order: list[str], checkpoint: str, seconds: int | None
 ) -> DataStreamWriter:
+    """Insert each micro-batch by key. A batch that is run again is known by its number, so
+    it adds nothing twice, rows with a null in the key included."""
+
     def insert(batch: DataFrame, number: int) -> None:
-        log.info("batch %s: %s", number, table.insert_ignore(batch, order))
+        result = table.insert_ignore(batch, order, batch_name=f"{checkpoint} {number}")
+        log.info("batch %s: %s", number, result)
 
     return _writer(events, checkpoint, seconds).foreachBatch(insert)
 
@@ -126,13 +134,17 @@ def _writer(stream: DataFrame, checkpoint: str, seconds: int | None) -> DataStre
     )
 
 
-def drop_repeats(events: DataFrame, delay: str = "7 days", key: tuple = ("event_start", "instrument")) -> DataFrame:
-    """De-duplicate a stream with bounded state, for repeats at most ``delay`` apart.
+def drop_repeats(
+    events: DataFrame,
+    table: KeyedTable,
+    order: list[str],
+    checkpoint: str,
+    seconds: int | None = None,
+) -> DataStreamWriter:
+    """De-duplicate a stream by the key of ``table``, which receives its first rows.
 
-    Rows without an instrument never repeat and pass by. For repeats at any distance
-    use the keyed table instead.
+    Repeats are found in the stored table, at any distance and however late a row comes, so
+    nothing depends on how the input is cut into micro-batches. Rows without an instrument
+    never repeat and are all kept.
     """
-    *_, instrument = key
-    timed = events.withColumn("_seen", F.col(key[0]).cast("timestamp")).withWatermark("_seen", delay)
-    keyed = timed.filter(F.col(instrument).isNotNull()).dropDuplicatesWithinWatermark(list(key))
-    return keyed.union(timed.filter(F.col(instrument).isNull())).drop("_seen")
+    return insert_stream(events, table, order, checkpoint, seconds)

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from heliocat.operators.merge import (
-    assign_ids,
-    insert_ignore,
-    insert_ignore_small,
-    upsert_columns,
-)
+from heliocat.operators.merge import assign_ids, insert_ignore, own_place, upsert_columns
 from heliocat.operators.predicates import all_of, between, moment
 from heliocat.schemas import (
     FLARES,
@@ -23,20 +19,17 @@ from heliocat.schemas import (
     conform_events,
 )
 
-#: most batch keys that are broadcast to the existing table
-SMALL_BATCH_ROWS = 200_000
-
-
 @dataclass(frozen=True)
 class InsertResult:
-    """Rows of the batch, rows added, and rows that did not fit the table.
-
-    A bulk insert counts only the rows added.
-    """
+    """Rows of the batch, rows added, and rows that did not fit the table."""
 
-    read: int | None
+    read: int
     inserted: int
-    rejected: int | None
+    rejected: int
+
+
+#: stored column with the insert and the place in it of a row whose key has a null
+_ORIGIN = "_origin"
 
 
 class KeyedTable:
@@ -44,7 +37,12 @@ class KeyedTable:
 
     One writer at a time. An insert that is repeated after a failure adds only what
     is missing, because rows already there are found by their key. Rows with a null in
-    the key equal no other, so a repeated insert adds those again.
+    the key equal no other, so a repeated insert adds those again, unless the insert has a
+    name (``batch_name``): its rows are then found by that name and their place in it.
+
+    Rows that do not fit the table go to ``rejects_path`` with a reason; it lies beside the
+    table unless given. A batch of at most ``small_batch_rows`` rows, by count, broadcasts its
+    keys to the table; beyond that both sides are shuffled.
     """
 
     def __init__(
@@ -55,16 +53,21 @@ class KeyedTable:
         key: list[str] = FLARES_KEY,
         time: str = "event_start",
         id_mode: str = "hash",
+        rejects_path: str | None = None,
+        small_batch_rows: int = 200_000,
     ):
         self.spark, self.path, self.schema = spark, path, schema
         self.key, self.time, self.id_mode = key, time, id_mode
+        self.rejects_path = rejects_path or f"{path.rstrip('/')}-rejects"
+        self.small_batch_rows = small_batch_rows
         self._year = f"{time}_year"
         # rows without a time are rejected before the merge
         self._nullable = [k for k in key if k != time]
 
     @property
     def _stored(self) -> T.StructType:
-        return T.StructType([*self.schema.fields, T.StructField(self._year, T.IntegerType())])
+        hidden = [T.StructField(_ORIGIN, T.StringType()), T.StructField(self._year, T.IntegerType())]
+        return T.StructType([*self.schema.fields, *hidden])
 
     def create(self) -> "KeyedTable":
         """Make the folder; rows already there stay."""
@@ -77,18 +80,26 @@ class KeyedTable:
 
     def read(self, date_from=None, date_to=None) -> DataFrame:
         """The table; bounds on the time are also put on the year, so folders are skipped."""
+        return self._within(date_from, date_to).select(*self.schema.names)
+
+    def _within(self, date_from=None, date_to=None) -> DataFrame:
         within = between(self.time, date_from, date_to)
         if date_from:
             within.append(F.col(self._year) >= F.year(moment(date_from)))
         if date_to:
             within.append(F.col(self._year) <= F.year(moment(date_to)))
-        return self._read().filter(all_of(within)).drop(self._year)
+        return self._read().filter(all_of(within))
 
     def read_newest(self) -> DataFrame:
-        """Rows of the newest year: all that a query for the latest row needs."""
+        """Rows of the newest year: all that a query for the latest row needs.
+
+        The year is taken from the folders' names; no file is opened for it.
+        """
         rows = self._read()
-        newest = rows.agg(F.max(self._year)).first()[0]
-        return rows.filter(F.col(self._year) == newest).drop(self._year)
+        folder = re.compile(rf"/{self._year}=(-?\d+)/")
+        years = [int(found[1]) for f in rows.inputFiles() if (found := folder.search(f))]
+        newest = max(years, default=None)
+        return rows.filter(F.col(self._year) == F.lit(newest)).select(*self.schema.names)
 
     def _conform(self, batch: DataFrame, order: list[str]) -> DataFrame:
         if self.schema is FLARES:
@@ -103,23 +114,29 @@ class KeyedTable:
         fitting = self._conform(batch, order).filter("reject_reason IS NULL").drop("reject_reason")
         return insert_ignore(self._read(), fitting, self.key, order, self._nullable, unique=True)
 
+    def count_fresh(self, batch: DataFrame, order: list[str] = ["seq"]) -> InsertResult:
+        """What an insert of ``batch`` would count; nothing is written (dry run)."""
+        rejected = F.count_if(F.col("reject_reason").isNotNull())
+        found = self._conform(batch, order).agg(F.count("*").alias("read"), rejected.alias("rejected")).first()
+        return InsertResult(found["read"], self.fresh(batch, order).count(), found["rejected"])
+
     def insert_ignore(
         self,
         batch: DataFrame,
         order: list[str] = ["seq"],
-        rejects_path: str | None = None,
         bulk: bool = False,
+        batch_name: str | None = None,
     ) -> InsertResult:
-        """Add the rows whose key is new; the first of a key wins.
+        """Add the rows whose key is new; the first of a key wins. ``order`` tells rows apart.
 
         The batch is summarised first: its times limit what is read of the table, and
         its size decides whether its keys are broadcast or both sides are shuffled.
-        ``bulk`` leaves the summary out: a very large load is then computed once, and
-        all keys of the table are read.
+        ``bulk`` leaves the summary out: a very large load is then computed once (twice if
+        rows are rejected), and all keys of the table are read.
         """
         conformed = self._conform(batch, order)
         if bulk:
-            return self._insert_bulk(conformed, order, rejects_path)
+            return self._insert_bulk(conformed, order, batch_name)
         conformed = conformed.persist()
         fits = F.col("reject_reason").isNull()
         try:
@@ -130,37 +147,56 @@ class KeyedTable:
                 F.max(F.when(fits, F.col(self.time))).alias("last"),
             ).first()
             rejected = found["read"] - found["fitting"]
-            if rejected and rejects_path:
-                conformed.filter(~fits).write.mode("append").parquet(rejects_path)
+            if rejected:
+                conformed.filter(~fits).write.mode("append").parquet(self.rejects_path)
             if not found["fitting"]:
                 return InsertResult(found["read"], 0, rejected)
-            table = self.read(found["first"], found["last"])
-            small = found["fitting"] <= SMALL_BATCH_ROWS
-            merge = insert_ignore_small if small else insert_ignore
+            table = self._within(found["first"], found["last"])
             fitting = conformed.filter(fits).drop("reject_reason")
-            new = merge(table, fitting, self.key, order, self._nullable, unique=True)
-            return InsertResult(found["read"], self._append(new, order), rejected)
+            held = table
+            if found["fitting"] <= self.small_batch_rows:
+                wanted = F.broadcast(fitting.select(*self.key).distinct())
+                held = table.select(*self.key).join(wanted, self.key, "left_semi")
+            new = insert_ignore(held, fitting, self.key, order, self._nullable, unique=True)
+            return InsertResult(found["read"], self._append(new, order, table, batch_name), rejected)
         finally:
             conformed.unpersist()
 
     def _insert_bulk(
-        self, conformed: DataFrame, order: list[str], rejects_path: str | None
+        self, conformed: DataFrame, order: list[str], batch_name: str | None
     ) -> InsertResult:
         fits = F.col("reject_reason").isNull()
-        if rejects_path:
-            conformed.filter(~fits).write.mode("append").parquet(rejects_path)
-        fitting = conformed.filter(fits).drop("reject_reason")
-        new = insert_ignore(self._read(), fitting, self.key, order, self._nullable, unique=True)
-        return InsertResult(None, self._append(new, order), None)
-
-    def _append(self, new: DataFrame, order: list[str]) -> int:
+        seen, table = Observation(), self._read()
+        counted = conformed.observe(
+            seen, F.count("*").alias("read"), F.count_if(~fits).alias("rejected")
+        )
+        fitting = counted.filter(fits).drop("reject_reason")
+        new = insert_ignore(table, fitting, self.key, order, self._nullable, unique=True)
+        inserted = self._append(new, order, table, batch_name)
+        # a plan whose result is empty is cut short, and its observation with it
+        total = F.count("*").alias("read"), F.count_if(~fits).alias("rejected")
+        counts = seen.get if inserted else conformed.agg(*total).first().asDict()
+        if counts["rejected"]:
+            conformed.filter(~fits).write.mode("append").parquet(self.rejects_path)
+        return InsertResult(counts["read"], inserted, counts["rejected"])
+
+    def _append(
+        self, new: DataFrame, order: list[str], table: DataFrame, batch_name: str | None
+    ) -> int:
+        place = own_place(self.key, order)
+        name = F.lit(f"{batch_name or uuid.uuid4()} ")
+        new = new.withColumn(_ORIGIN, F.when(place != "", F.concat(name, place)))
+        if batch_name:
+            # rows of this insert that an attempt before this one has written
+            before = table.select(_ORIGIN).filter(F.col(_ORIGIN).startswith(name))
+            new = new.join(before, _ORIGIN, "left_anti")
         after = 0
         if self.id_mode != "hash":
             after = self._read().agg(F.max("id")).first()[0] or 0
-        numbered = assign_ids(new, self.id_mode, after, self.key, order, str(uuid.uuid4()))
+        numbered = assign_ids(new, self.id_mode, after, self.key, [_ORIGIN])
         written = Observation()
         rows = align(
-            numbered.withColumn("created_at", F.current_timestamp()).drop(*order), self.schema
+            numbered.withColumn("created_at", F.current_timestamp()), self.schema, [_ORIGIN]
         ).withColumn(self._year, F.year(self.time))
         # sorted within each file, so its min and max let readers skip parts of it
         (

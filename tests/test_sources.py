@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from heliocat.functions.times import parse_utc
 from heliocat.operators.collapse import StatusColumns, collapse_counters, collapse_events
 from heliocat.operators.normalise import (
     is_complete,
@@ -17,6 +18,7 @@ from heliocat.operators.normalise import (
 from heliocat.sources import feeds, listing
 from heliocat.sources.catalog import read_catalog
 from heliocat.sources.latest_event import latest_events, read_documents
+from heliocat.sources.listing import first_links
 from heliocat.sources.status_rows import read_status_rows
 
 HEADER = "Clase\tSubclase\tInstrumento\tRegion\tt-inicio\tt-max\tt-fin\ttotal X-ray flux\taltitud\tazimuth\tunknown"
@@ -151,7 +153,7 @@ def test_arrays_become_rows(spark, tmp_path):
     assert rows.count() == len(STATUS)
     events = {r["event_id"]: r for r in collapse_events(rows, StatusColumns(by=("file",))).collect()}
     assert sorted(events) == [1, 2, 5, 6]
-    assert events[1]["magnitude"] == "C5.7" and events[1]["file"] == "one.json"
+    assert events[1]["magnitude"] == "C5.7" and events[1]["file"].endswith("/one.json")
     assert events[2]["integrated_flux"] == -9999.0
 
 
@@ -288,3 +290,61 @@ def test_links_of_pages(spark):
     assert [r["link"] for r in picked.orderBy("page").collect()] == ["b.nc", None]
     assert listing.missing_links(picked).first().asDict() == {"pages": 2, "missing": 1}
     assert listing.named_links(pages, "a.txt").filter("link IS NOT NULL").count() == 1
+
+
+@pytest.mark.parametrize(
+    "html, link",
+    [
+        ('<a title="a>b" href="x.nc">', "x.nc"),
+        ('<a class="b"href="x.nc">', "x.nc"),
+        ('<a/href="x.nc">', "x.nc"),
+        ('<a title=" href=z.nc" href="x.nc">', "x.nc"),
+        ('<a data-href="z.nc" href="x.nc">', "x.nc"),
+        ('<a href="a&#47;b&#x2F;c.nc">', "a/b/c.nc"),
+        ('<a href="a&amp;#47;b.nc">', "a&#47;b.nc"),
+        ('<abbr href="z.nc">', None),
+    ],
+)
+def test_links_as_a_parser_reads_them(spark, html, link):
+    page = spark.createDataFrame([(html,)], "html string")
+    assert first_links(page, ".nc").first()["link"] == link
+
+
+@pytest.mark.parametrize("tail", [" x", "{]", "[{}]", ",[{}]", "]", ","])
+def test_documents_with_anything_behind_the_array_are_refused(spark, tail):
+    good = json.dumps([event()])
+    documents = spark.createDataFrame([(good,), (good + tail,), (good.replace('"', "'"),)], "value string")
+    assert latest_events(documents).count() == 1
+
+
+@pytest.mark.parametrize(
+    "text", ["2024/01/01 10:30", "20240101T103000Z", "01-Jan-2024 10:30", "Jan 1 2024 10:30", "2024-01-01T10:30:00Z", "2024-01-01 10:30"]
+)
+def test_times_in_other_formats(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(parse_utc(F.col("t"))).first()[0] == dt.datetime(2024, 1, 1, 10, 30)
+
+
+def test_ordinals_go_by_file_name(spark, tmp_path):
+    at = "1980-01-01 00:00:00"
+    for name, n in (("a.dat", 2), ("b.dat", 50)):
+        lines = [catalog_line(at, at, at, f"{i}e-9").replace("GOES-15", name) for i in range(n)]
+        (tmp_path / name).write_text("\n".join([HEADER, *lines]) + "\n")
+    rows = read_catalog(spark, str(tmp_path), with_ordinal=True).orderBy("ordinal").collect()
+    assert [r["ordinal"] for r in rows] == list(range(52))
+    assert [r["Instrumento"].strip() for r in rows] == ["a.dat"] * 2 + ["b.dat"] * 50
+
+
+def test_rows_of_several_files_arrive_in_path_order(spark, tmp_path):
+    """Equal places in two files: the first file's rows win, however they are scanned."""
+    rows = [(*r, i) for i, r in enumerate(STATUS)]
+    for name, shift in (("a", 0.0), ("b", 5.0)):
+        df = spark.createDataFrame(rows, STATUS_DDL).withColumn("background_flux", F.lit(0.0))
+        df.withColumn("time", F.col("time") + shift).coalesce(1).write.parquet(str(tmp_path / name))
+    both = read_status_rows(spark, f"{tmp_path}/*")
+    again = both.orderBy(F.desc("pos"))
+    a, b = (sorted(map(tuple, collapse_events(x).drop("integrated_flux").collect())) for x in (both, again))
+    assert a == b
+    alone = read_status_rows(spark, str(tmp_path / "a"))
+    peaks = lambda df: {r["event_id"]: r["event_peak"] for r in collapse_events(df).collect()}
+    assert {k: v for k, v in peaks(both).items() if k in peaks(alone)} == peaks(alone)

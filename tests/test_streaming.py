@@ -78,20 +78,21 @@ def test_daily_refresh(spark, table, tmp_path):
     assert table.read().count() == 4
 
 
-def test_bounded_state(spark, tmp_path):
-    ddl = "event_start timestamp_ntz, instrument string, n int"
-    start = dt.datetime(2024, 1, 1)
-    rows = [(start, "a", 1), (start, "b", 1), (start, None, 1), (start, None, 2)]
-    path = str(tmp_path / "in")
-    for i in range(2):
-        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(path)
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
-    writer = drop_repeats(stream).writeStream.trigger(availableNow=True)
-    run(writer.option("checkpointLocation", checkpoint).option("path", out).format("parquet"))
-    kept = spark.read.parquet(out)
-    assert kept.filter("instrument IS NOT NULL").count() == 2
-    assert kept.filter("instrument IS NULL").count() == 4
+def test_late_rows_and_repeats_at_any_distance(spark, tmp_path):
+    """Three files in any order, one per micro-batch: distinct rows stay, repeats go."""
+    ddl = "event_start timestamp_ntz, instrument string, seq long"
+    days = [(2024, 1, 30), (2024, 2, 15), (2024, 1, 1)]
+    for turn, order in enumerate(([0, 1, 2], [2, 0, 1], [1, 2, 0])):
+        path = str(tmp_path / f"in{turn}")
+        for n, i in enumerate(order):
+            start = dt.datetime(*days[i])
+            rows = [(start, f"i{k}", 10 * n + k) for k in range(5)] * 2 + [(start, None, 90 + n), (dt.datetime(2020, 1, 1), "same", n)]
+            spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(path)
+        schema = T.StructType([*stream.schema.fields[:2]])
+        table = KeyedTable(spark, str(tmp_path / f"out{turn}"), schema, ["event_start", "instrument"]).create()
+        run(drop_repeats(stream, table, ["seq"], str(tmp_path / f"checkpoint{turn}")))
+        assert table.read().count() == 15 + 1 + 3
 
 
 def test_triggers():

@@ -25,19 +25,20 @@ def events(spark, *rows):
 
 @pytest.fixture()
 def table(spark, tmp_path):
-    return KeyedTable(spark, str(tmp_path / "flares")).create()
+    return KeyedTable(spark, str(tmp_path / "flares"), rejects_path=str(tmp_path / "rejects")).create()
 
 
 def test_empty_table_reads(table):
     assert table.read().isEmpty() and table.read().schema.names == FLARES.names
 
 
-@pytest.mark.parametrize("bulk", [False, True])
-def test_insert_and_insert_again(spark, table, bulk):
+@pytest.mark.parametrize("bulk, small", [(False, 0), (False, 100), (True, 0)])
+def test_insert_and_insert_again(spark, table, bulk, small):
+    table.small_batch_rows = small
     start = dt.datetime(2024, 1, 1)
     batch = events(spark, (start, "a", "C1.0"), (start, "a", "C2.0"), (start, None, "C3.0"), (start, None, "C4.0"))
     first = table.insert_ignore(batch, bulk=bulk)
-    assert first == (InsertResult(None, 3, None) if bulk else InsertResult(4, 3, 0))
+    assert first == InsertResult(4, 3, 0)
     rows = table.read().collect()
     assert sorted(r["magnitude"] for r in rows) == ["C1.0", "C3.0", "C4.0"]
     assert all(r["integrated_flux"] is None for r in rows)  # NaN is stored as null
@@ -45,14 +46,20 @@ def test_insert_and_insert_again(spark, table, bulk):
     # rows without an instrument never collide, so they come again
     assert table.insert_ignore(batch, bulk=bulk).inserted == 2
     assert len({r["id"] for r in table.read().collect()}) == 5
+    # unless the insert has a name: then it is known again, row by row
+    assert table.insert_ignore(batch, bulk=bulk, batch_name="feed 7").inserted == 2
+    assert table.insert_ignore(batch, bulk=bulk, batch_name="feed 7").inserted == 0
+    assert table.insert_ignore(batch, bulk=bulk, batch_name="feed 70").inserted == 2
 
 
-def test_rows_that_do_not_fit_are_kept_apart(spark, table, tmp_path):
+@pytest.mark.parametrize("bulk", [False, True])
+def test_rows_that_do_not_fit_are_kept_apart(spark, table, tmp_path, bulk):
     start = dt.datetime(2024, 1, 1, 0, 0, 0, 600000)
     batch = events(spark, (start, "a", "C1.0"), (start, "an instrument", "C1.0"), (start, "b", "C12345678"))
     batch = batch.union(batch.filter("seq = 0").withColumn("event_peak", F.lit(None).cast("timestamp_ntz")))
     rejects = str(tmp_path / "rejects")
-    assert table.insert_ignore(batch, rejects_path=rejects) == InsertResult(4, 1, 3)
+    assert table.count_fresh(batch) == InsertResult(4, 1, 3)
+    assert table.insert_ignore(batch, bulk=bulk) == InsertResult(4, 1, 3)
     reasons = {r["reject_reason"] for r in spark.read.parquet(rejects).collect()}
     assert reasons == {
         "instrument is longer than 10", "magnitude is longer than 8", "event_peak is null",
@@ -136,16 +143,18 @@ def test_migration_into_a_table(spark, table):
 def test_history(spark, table, tmp_path):
     catalog = tmp_path / "catalog.dat"
     t = ["2016-01-01 00:00:00", "2016-01-01 00:10:00", "2016-01-01 00:20:00"]
-    catalog.write_text("\n".join([HEADER, catalog_line(*t, "7e-6"), catalog_line(*t, "8e-6")]) + "\n")
+    lines = [catalog_line(*t, "7e-6"), catalog_line(*t, "8e-6"), catalog_line(t[0], "no time", t[2], "8e-6")]
+    catalog.write_text("\n".join([HEADER, *lines]) + "\n")
     rows = spark.createDataFrame([(*r, i) for i, r in enumerate(STATUS)], STATUS_DDL)
     rows = rows.withColumn("background_flux", F.lit(0.0))
     middle, last = str(tmp_path / "middle"), str(tmp_path / "last")
     rows.withColumn("time", F.col("time") + 6e8).write.parquet(middle)
     rows.withColumn("time", F.col("time") + 8e8).write.parquet(last)
     args = (spark, table, str(catalog), middle, last)
-    assert loads.load_history(*args, dry_run=True).inserted == 9
+    assert loads.load_history(*args, dry_run=True) == InsertResult(11, 9, 1)
     assert table.read().isEmpty()
-    assert loads.load_history(*args).inserted == 9  # 1 + 4 + 4
+    assert loads.load_history(*args) == InsertResult(11, 9, 1)  # 1 + 4 + 4
+    assert spark.read.parquet(table.rejects_path).first()["reject_reason"] == "event_peak is no time"
     assert loads.load_history(*args).inserted == 0
     counts = {r["source"]: r["count"] for r in table.read().groupBy("source").count().collect()}
     assert counts == {"SWPC": 1, "GOES-16": 4, "GOES-19": 4}
