@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -13,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes of text that Python code works on at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: A key with more than this share of the rows is hot; so there are fewer than 1 / HOT_SHARE such keys.
 HOT_SHARE = 0.002
 #: Below this many rows a key is never hot.
@@ -39,9 +40,21 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that travel to a Python worker at once; Spark's default is made for short rows.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """Limits the session's Arrow batches to BATCH_ROWS rows, as texts are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(docs.sparkSession.conf.get(name, "10000")) <= BATCH_ROWS:
+        docs.sparkSession.conf.set(name, BATCH_ROWS)
+    return docs
+
+
 def documents(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id`` and ``text`` only, whatever else the frame holds; a null text is empty."""
-    return docs.select(
+    return in_small_batches(docs).select(
         F.col(key).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
@@ -102,14 +115,26 @@ def per_batch(
     """A function for ``mapInArrow`` that applies ``work`` to bounded slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, column):
-            out = work(part)
-            if out is not None and out.num_rows:
-                yield out
+        try:
+            for part in slices(batches, column):
+                out = work(part)
+                if out is not None and out.num_rows:
+                    yield out
+        finally:
+            give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Free memory to the system: a worker stays for the tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column one after another, and the offsets of its rows."""
     column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column

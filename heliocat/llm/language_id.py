@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import documents, per_batch
+from .common import documents, in_small_batches, per_batch
 
 TRAIN_ROWS = 150
 TRAIN_CHARS = 20_000
@@ -316,4 +316,4 @@ def keep_known(docs: DataFrame, model: Model | None, text: str = "text", least:
         found = shared.value.label(batch[text].to_pylist())
         return batch.filter(pa.array([len(c) > 0 and p.mean(axis=0).max() >= least for c, p in found], pa.bool_()))
 
-    return docs.mapInArrow(per_batch(work, text), docs.schema)
+    return in_small_batches(docs).mapInArrow(per_batch(work, text), docs.schema)

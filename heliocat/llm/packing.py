@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import encoder
-from .common import documents, per_batch, written
+from .common import documents, give_back, per_batch, written
 
 WINDOW = 2048
 END = 1
@@ -228,6 +228,7 @@ def pack(
             for d, s, n in zip(doc.tolist(), start.tolist(), length.tolist())
         ]
         names = group["doc_id"].combine_chunks().take(pa.array(doc))
+        give_back()
         return pa.table(
             {
                 "doc_id": names,

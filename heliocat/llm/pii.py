@@ -21,7 +21,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import documents, per_batch
+from .common import documents, in_small_batches, per_batch
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account")
@@ -153,7 +153,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         i = batch.schema.get_field_index(text)
         return batch.set_column(i, batch.schema.field(i), pa.array(new, batch.schema.field(i).type))
 
-    return docs.mapInArrow(per_batch(work, text), docs.schema).select(*names)
+    return in_small_batches(docs).mapInArrow(per_batch(work, text), docs.schema).select(*names)
 
 
 def digest(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

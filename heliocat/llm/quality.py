@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import per_batch, range_hashes, text_bytes
+from .common import in_small_batches, per_batch, range_hashes, text_bytes
 
 TRAIN_ROWS = 2500
 TRAIN_CHARS = 20_000
@@ -175,7 +175,7 @@ class Machine:
 def _inputs(docs: DataFrame, text: str, key: str, length: str) -> DataFrame:
     text_ = F.coalesce(F.col(text).cast("string"), F.lit(""))
     stored = F.col(length).cast("double") if length in docs.columns else F.lit(None).cast("double")
-    return docs.select(F.col(key).cast("long").alias("doc_id"), text_.alias("text"), stored.alias("n_chars"))
+    return in_small_batches(docs).select(F.col(key).cast("long").alias("doc_id"), text_.alias("text"), stored.alias("n_chars"))
 
 
 def train(
