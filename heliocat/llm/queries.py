@@ -102,4 +102,30 @@ ORACLE = {
                row_number() OVER (PARTITION BY x ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
                sha256(x) AS text_sha256
         FROM t""",
+    "op7_relative_lz": r"""
+        WITH cut AS (
+          SELECT row_number() OVER () AS row_no, doc_id,
+                 [w FOR w IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words
+          FROM documents),
+        starts AS (
+          SELECT row_no, doc_id, unnest(range(1, len(words) - 48)) AS pos, words FROM cut WHERE len(words) >= 50),
+        windows AS (
+          SELECT row_no, doc_id, pos, md5(array_to_string(words[pos:pos + 49], ' ')) AS passage FROM starts),
+        firsts AS (SELECT passage, min(doc_id) AS least FROM windows GROUP BY passage),
+        repeated AS (
+          SELECT row_no, pos FROM windows JOIN firsts USING (passage) WHERE least < doc_id),
+        numbered AS (
+          SELECT row_no, doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM cut),
+        marked AS (
+          SELECT n.row_no, n.pos, n.word,
+                 max(r.pos) OVER (PARTITION BY n.row_no ORDER BY n.pos) AS last_start
+          FROM numbered n LEFT JOIN repeated r USING (row_no, pos)),
+        kept AS (
+          SELECT row_no, count(*) AS n_words,
+                 count(*) FILTER (pos - last_start < 50) AS n_removed,
+                 coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (last_start IS NULL OR pos - last_start >= 50), '') AS left_over
+          FROM marked GROUP BY row_no)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(left_over, '')) AS kept_sha256
+        FROM cut LEFT JOIN kept USING (row_no)""",
 }
