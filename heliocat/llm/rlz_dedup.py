@@ -128,9 +128,9 @@ class Words(Matcher):
         words = text.encode().split()
         return lambda start, stop: b" ".join(words[start:stop])
 
-    def windows(self, body: bytes) -> list[bytes]:
-        words = body.split(b" ")
-        return [b" ".join(words[i : i + self.window]) for i in range(len(words) - self.window + 1)]
+    def windows(self, body: bytes, at: list[int]) -> list[bytes]:
+        words = body.split(b" ") if at else []
+        return [b" ".join(words[i : i + self.window]) for i in at]
 
     def classes(self, bodies: list[bytes]) -> list[np.ndarray]:
         if not bodies:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import KEY, attach, content_key, per_batch, range_hashes, runs, union, written
+from .common import KEY, attach, content_key, give_back, per_batch, range_hashes, runs, union, written
 
 #: Bytes of segments that one shard compares.
 SHARD_BYTES = 3 << 20
@@ -98,8 +98,8 @@ class Matcher:
         """For each segment the class of each of its windows; equal windows, and only they, share one."""
         raise NotImplementedError
 
-    def windows(self, body: bytes) -> list[bytes]:
-        """The windows of a segment."""
+    def windows(self, body: bytes, at: list[int]) -> list[bytes]:
+        """The windows of a segment that start at these places."""
         raise NotImplementedError
 
 
@@ -173,7 +173,10 @@ def repeated(docs: DataFrame, matcher: Matcher, shard_bytes: int = SHARD_BYTES):
     ).drop("parts")
 
     def compare(group: pa.Table) -> pa.Table:
-        return compared(group, matcher)
+        try:
+            return compared(group, matcher)
+        finally:
+            give_back()
 
     result = "key_a long, key_b long, start long, stop long, digest binary, doc long"
     found = written(dealt.groupBy("bucket", "part").applyInArrow(compare, result))
@@ -233,12 +236,14 @@ def compared(group: pa.Table, matcher: Matcher) -> pa.Table:
         for a, b in zip(*runs(again)):
             rows.append(i), starts.append(at + int(a)), stops.append(at + int(b) - 1 + matcher.window)
         if split:
-            windows = matcher.windows(bodies[i])
-            for k, c in enumerate(kind.tolist()):
-                if c not in digests:
-                    digests[c] = hashlib.blake2b(windows[k], digest_size=16).digest()
-                if not again[k]:
-                    open_rows.append(i), open_at.append(at + k), open_digest.append(digests[c])
+            free = np.flatnonzero(~again)
+            told = free if matcher.between else np.arange(len(kind))  # classes other shards hear of
+            new = {c: k for k, c in zip(told.tolist(), kind[told].tolist()) if c not in digests}
+            for c, window in zip(new, matcher.windows(bodies[i], list(new.values()))):
+                digests[c] = hashlib.blake2b(window, digest_size=16).digest()
+            open_rows += [i] * len(free)
+            open_at += (at + free).tolist()
+            open_digest += [digests[c] for c in kind[free].tolist()]
     if split and not matcher.between:
         marks = [digests[c] for c in np.flatnonzero(seen > 1).tolist()]
     at = pa.array(rows + open_rows, pa.int64())

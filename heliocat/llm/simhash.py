@@ -315,7 +315,13 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id
     """The rows that stay: of each component the row with the smallest id, with all their columns."""
     found = near_duplicates(docs, text, key, **options)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    names = docs.columns
-    marked = docs.withColumn("_id", F.col(key).cast("long"))
-    same = marked["_id"].eqNullSafe(kept["_id"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["_id"]).select(*names)
+    names, no_id = docs.columns, F.lit(-(1 << 63))  # stands for a null id
+    kept = kept.select(F.coalesce("_id", no_id).alias("_id"))
+    marked = docs.withColumn("_id", F.coalesce(F.col(key).cast("long"), no_id))
+    left = marked.join(kept, "_id", "left_semi")
+    # of rows that share an id, which are rare, one stays
+    twins = written(marked.groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"))
+    if twins.isEmpty():
+        return left.select(*names)
+    one = left.join(twins, "_id", "left_semi").dropDuplicates(["_id"])
+    return left.join(twins, "_id", "left_anti").select(*names).unionByName(one.select(*names))
