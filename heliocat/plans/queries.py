@@ -8,7 +8,7 @@ from heliocat.constants import DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE
 from heliocat.functions.times import iso_text
 from heliocat.operators.lookups import attach_indices
 from heliocat.operators.paging import TOP_ROWS, newest_first, page_offset
-from heliocat.operators.predicates import all_of, days_between, flare_predicates
+from heliocat.operators.predicates import all_of, days_between, flare_predicates, moment
 from heliocat.operators.statistics import stats, stats_long, total
 from heliocat.schemas import FLARES, INDEX_COLUMNS
 
@@ -92,9 +92,16 @@ def latest_flare(flares: DataFrame) -> DataFrame:
     return newest_first(flares, 0, 1)
 
 
-def get_flare(flares: DataFrame, flare_id: int, indices: DataFrame) -> DataFrame:
-    """One event with its day's lookup values; no row if the id is unknown."""
-    return attach_indices(flares.filter(F.col("id") == flare_id), indices)
+def get_flare(flares: DataFrame, flare_id: int, indices: DataFrame, event_start=None) -> DataFrame:
+    """One event with its day's lookup values; no row if the id is unknown.
+
+    With ``event_start`` the row must start there too: among billions of hashed ids two may be
+    equal, and files of other times are then not read.
+    """
+    wanted = [F.col("id") == flare_id]
+    if event_start is not None:
+        wanted.append(F.col("event_start") == moment(event_start))
+    return attach_indices(flares.filter(all_of(wanted)), indices)
 
 
 def list_indices(

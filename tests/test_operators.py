@@ -272,6 +272,9 @@ def test_lookup_join(spark, flares):
     assert ids(q.list_flares(flares, page_size=3, indices=table)) == [6, 5, 4]
     assert q.get_flare(flares, 5, table).first()["ap_index"] == 15
     assert q.get_flare(flares, 99, table).isEmpty()
+    start = q.get_flare(flares, 5, table).first()["event_start"]
+    assert q.get_flare(flares, 5, table, start).count() == 1
+    assert q.get_flare(flares, 5, table, start + dt.timedelta(1)).isEmpty()
     page = q.flare_page(flares, page_size=1, indices=table).first()
     assert page["results"][0]["sunspot_number"] == 30
 
