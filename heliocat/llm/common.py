@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,11 +31,10 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/llm-{uuid.uuid4()}"
 
 
-def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     """The frame as a table in the shared folder, so a lost executor costs no more than its tasks."""
     path = shared_folder(df.sparkSession)
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -204,12 +202,3 @@ def union(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     starts, reach = starts[order], np.maximum.accumulate(ends[order])
     first = np.concatenate([[True], starts[1:] > reach[:-1]])
     return starts[first], reach[np.concatenate([first[1:], [True]])]
-
-
-def broadcast_value(spark: SparkSession, value):
-    """A value of bounded size for all executors."""
-    return spark.sparkContext.broadcast(value)
-
-
-def repository_path() -> str:
-    return os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
