@@ -65,18 +65,23 @@ def from_offset_seconds(seconds: Column, base: str = TIME_BASE) -> Column:
 def parse_utc(text: Column, formats: tuple = TIME_FORMATS) -> Column:
     """Text to UTC: an offset at the end is applied, text without one is UTC already.
 
-    ISO texts in whole seconds are told by their shape; other ISO texts take patterns, and
-    what is no ISO text is tried against ``formats`` in turn.
+    ISO texts in whole seconds are told by their shape. Other ISO texts take patterns, and
+    what is no ISO text is tried against ``formats`` in turn; that part is a lambda, which
+    keeps it out of the generated code of the common case.
     """
-    plain = text.like("____-__-__T__:__:__Z") | text.like("____-__-__T__:__:__")
+    iso = text.like("____-__-__T__:__:__Z") | text.like("____-__-__T__:__:__") | text.like("____-__-__ __:__:__")
     shaped = F.substring(text, 1, 19).try_cast("timestamp_ntz")
+    other = F.get(F.transform(F.array(text), lambda t: _parse_any(t, formats)), F.lit(0))
+    return F.when(iso, shaped).otherwise(other)
+
+
+def _parse_any(text: Column, formats: tuple) -> Column:
     # a time with an offset needs its seconds, so they are added where the first cast fails
     full = F.regexp_replace(text, r"([T ]\d\d:\d\d)(?=\s*(?:Z|UTC|GMT|[+-]))", "$1:00")
     instant = F.coalesce(text.try_cast("timestamp"), full.try_cast("timestamp"))
     iso = F.when(text.rlike(_ZONED), _wall(instant)).otherwise(text.try_cast("timestamp_ntz"))
     bare = F.concat(F.regexp_replace(text, r"^\s+|\s*(?:Z|UTC|GMT)?\s*$", ""), F.lit("Z"))
-    others = [_wall(F.try_to_timestamp(bare, F.lit(f"{f}X"))) for f in formats]
-    return F.when(plain, shaped).otherwise(F.coalesce(iso, *others))
+    return F.coalesce(iso, *[_wall(F.try_to_timestamp(bare, F.lit(f"{f}X"))) for f in formats])
 
 
 def _wall(instant: Column) -> Column:

@@ -38,17 +38,15 @@ def rename_catalog(raw: DataFrame, formats: tuple = TIME_FORMATS) -> DataFrame:
     ``reject_hint`` says which time is a text that no format fits, so that the row is
     rejected with a reason instead of leaving with the rows outside the era.
     """
-    text = lambda c: F.coalesce(strip(F.col(c).cast("string")), F.lit(""))
+    renamed = raw.drop("unknown", "Clase", "Subclase", "Region").withColumnsRenamed(CATALOG_NAMES)
+    parsed = renamed.withColumns({f"_{c}": parse_utc(F.col(c).cast("string"), formats) for c in _TIMES})
     bad = [
-        F.when((text(c) != "") & parse_utc(F.col(c), formats).isNull(), f"{c} is no time")
+        F.when(F.col(f"_{c}").isNull() & (F.btrim(F.col(c).cast("string")) != ""), f"{c} is no time")
         for c in _TIMES
     ]
-    return (
-        raw.drop("unknown", "Clase", "Subclase", "Region")
-        .withColumnsRenamed(CATALOG_NAMES)
-        .withColumn("reject_hint", F.coalesce(*bad))
-        .withColumns({c: parse_utc(F.col(c), formats) for c in _TIMES})
-    )
+    times = {c: F.col(f"_{c}") for c in _TIMES}
+    hinted = parsed.withColumn("reject_hint", F.coalesce(*bad))
+    return hinted.withColumns(times).drop(*[f"_{c}" for c in _TIMES])
 
 
 def normalise_catalog(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from heliocat.constants import DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE
-from heliocat.functions.times import exact_seconds_since, utc
+from heliocat.functions.times import exact_seconds_since, seconds_since, utc
 
 #: rows among which a page is cut in the end; ranges of equal keys may hold more
 TOP_ROWS = 4000
@@ -36,16 +38,29 @@ def newest_first(
 
     Counts per range of the sort key, round by round, find a range of at most ``top_rows``
     rows (or one page and the rows equal to its ends) that holds the page at any depth; only
-    these rows are sorted.
+    these rows are sorted. The key is the second; if rows of one second are too many, the
+    time and the tie as one number.
     """
-    lower, upper, skipped = _reach(df, _place(time, tie), offset, size, max(top_rows, size))
-    place = _place(time, tie)
-    inside = df.filter((place >= _number(lower)) & (place <= _number(upper)))
-    # the time bounds are there for the scan: files outside them are not read
-    earliest, latest = _moment(lower), _moment(upper)
-    if earliest is not None:
-        inside = inside.filter((F.col(time) >= earliest) & (F.col(time) <= latest))
-    return inside.orderBy(F.desc(time), F.desc(tie)).offset(offset - skipped).limit(size)
+    most = max(top_rows, size)
+    for place, one in ((_second(time), F.lit), (_place(time, tie), _decimal)):
+        found = _reach(df.select(place.alias("place")), one, offset, size, most)
+        if not found.held:  # the list ends above the page
+            return df.limit(0)
+        if found.lower is not None:
+            df = df.filter((place >= one(found.lower)) & (place <= one(found.upper)))
+            if one is F.lit and found.lower > 0:
+                # for the scan: files outside these times are not read
+                first, last = (F.timestamp_add("SECOND", F.lit(n), utc(_EARLIEST)) for n in (found.lower - 1, found.upper))
+                df = df.filter((F.col(time) >= first) & (F.col(time) <= last))
+        offset -= found.skipped
+        if found.held <= most:
+            break
+    return df.orderBy(F.desc(time), F.desc(tie)).offset(offset).limit(size)
+
+
+def _second(time: str) -> Column:
+    """The second of the time as a whole number above 0; 0 for a null."""
+    return F.coalesce(seconds_since(F.col(time), _EARLIEST) + 1, F.lit(0))
 
 
 def _place(time: str, tie: str) -> Column:
@@ -58,32 +73,36 @@ def _place(time: str, tie: str) -> Column:
     return (later * F.lit(Decimal(2 * _IDS)) + ids).cast("decimal(38,0)")
 
 
-def _number(n: int) -> Column:
+def _decimal(n: int) -> Column:
     return F.lit(Decimal(n)).cast("decimal(38,0)")
 
 
-def _moment(place: int) -> Column | None:
-    micros = place // (2 * _IDS) - 1
-    return F.timestamp_add("MICROSECOND", F.lit(micros), utc(_EARLIEST)) if micros >= 0 else None
+@dataclass(frozen=True)
+class _Reach:
+    """``held`` rows from ``upper`` down to ``lower`` (None: all rows) with ``skipped`` above."""
+
+    lower: int | None
+    upper: int | None
+    skipped: int
+    held: int
 
 
-def _reach(df: DataFrame, place: Column, offset: int, size: int, most: int) -> tuple[int, int, int]:
-    """(lower, upper, rows above upper): a range of ``place`` that holds the wanted rows.
+def _reach(rows: DataFrame, one: Callable, offset: int, size: int, most: int) -> _Reach:
+    """A range of ``place`` that holds the wanted rows; ``one`` writes a place as a literal.
 
     Each round splits the range in buckets and keeps those from the one of the first wanted
     row to the one of the last; only the counts of 1,024 buckets reach the driver.
     """
-    rows = df.select(place.alias("place"))
     lower, upper, total = rows.agg(F.min("place"), F.max("place"), F.count("*")).first()
-    if not total:
-        return 0, 0, 0
+    if total <= most or offset >= total:
+        return _Reach(None, None, 0, total if offset < total else 0)
     lower, upper, skipped, held = int(lower), int(upper), 0, total
     last = min(offset + size, total)
-    while held > most and upper > lower and offset < total:
+    while held > most and upper > lower:
         width = (upper - lower) // _BUCKETS + 1
-        bucket = F.call_function("div", _number(upper) - F.col("place"), _number(width))
+        bucket = F.call_function("div", one(upper) - F.col("place"), one(width))
         counts = (
-            rows.filter((F.col("place") >= _number(lower)) & (F.col("place") <= _number(upper)))
+            rows.filter((F.col("place") >= one(lower)) & (F.col("place") <= one(upper)))
             .groupBy(bucket.alias("bucket"))
             .count()
             .orderBy("bucket")
@@ -96,8 +115,8 @@ def _reach(df: DataFrame, place: Column, offset: int, size: int, most: int) -> t
             above += n
         first, end = wanted[0], wanted[-1]
         narrowed = (max(lower, upper - (end[0] + 1) * width + 1), upper - first[0] * width)
-        held = end[1] + end[2] - first[1]
+        held, skipped = end[1] + end[2] - first[1], first[1]
         if narrowed == (lower, upper):  # its ends are single values
             break
-        (lower, upper), skipped = narrowed, first[1]
-    return lower, upper, skipped
+        lower, upper = narrowed
+    return _Reach(lower, upper, skipped, held)
