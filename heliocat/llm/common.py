@@ -181,6 +181,20 @@ def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
     return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
 
 
+def smallest_hashes(rows: DataFrame, key: str, hash_: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each key, those of smallest ``hash_`` (a uniform 64-bit hash).
+
+    ``key`` has few values. A bound on the hash, from the key's count, leaves a few times
+    ``most`` rows before they are ranked, so a key with much of the rows meets in no task.
+    """
+    share = F.least(F.lit(1.0), F.lit(4.0 * most) / F.col("_n"))
+    bound = (share * (2.0**64) - 2.0**63).alias("_bound")
+    bounds = rows.groupBy(key).agg(F.count("*").alias("_n")).select(key, bound)
+    few = rows.join(F.broadcast(bounds), key).where(F.col(hash_) <= F.col("_bound")).drop("_bound")
+    ranked = few.withColumn("_rank", F.expr(f"row_number() OVER (PARTITION BY `{key}` ORDER BY `{hash_}`)"))
+    return ranked.where(F.col("_rank") <= most).drop("_rank")
+
+
 def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column from its values one after another and each row's length."""
     offsets = np.zeros(len(lengths) + 1, np.int32)

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import documents, in_small_batches, per_batch
+from .common import documents, in_small_batches, per_batch, smallest_hashes
 
 TRAIN_ROWS = 150
 TRAIN_CHARS = 20_000
@@ -239,10 +239,10 @@ def fit(rows: list[tuple[str, str]], seed: int = 5) -> Model | None:
             for k in range(size):
                 slope[:, k] += np.bincount(bucket[ok], by_type[owner[ok], k], minlength=BUCKETS)
         # expected transitions under the field against those seen; neighbours taken as a pair
-        pair = p[:-1, :, None] * trans[None] * p[1:, None, :]
-        pair /= pair.sum(axis=(1, 2), keepdims=True)
-        seen = onehot[:-1, :, None] * onehot[1:, None, :]
-        moved = ((seen - pair) * weight[:-1, None, None])[same].sum(axis=0)
+        left, right, w = p[:-1][same], p[1:][same], weight[:-1][same]
+        norm = ((left @ trans) * right).sum(axis=1)
+        seen = (onehot[:-1][same] * w[:, None]).T @ onehot[1:][same]
+        moved = seen - trans * ((left * (w / norm)[:, None]).T @ right)
         slopes = (slope, member.T @ by_type, by_type.sum(axis=0), moved)
         for value, square, g in zip((model.grams, model.in_lexicon, model.bias, model.trans), squares, slopes):
             square += g * g
@@ -255,9 +255,8 @@ def training_rows(docs: DataFrame, usable: Column, text: str, lang: str, key: st
     rows = docs.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l"), usable.alias("ok"))
     rows = rows.where("ok AND l IS NOT NULL AND length(t) BETWEEN 1 AND " + str(TRAIN_CHARS))
     rows = rows.withColumn("h", F.xxhash64("t"))
-    ranked = rows.select("l", "h").distinct()
-    ranked = ranked.withColumn("r", F.expr("row_number() OVER (PARTITION BY l ORDER BY h)"))
-    last = ranked.where(f"r <= {TRAIN_ROWS}").groupBy("l").agg(F.max("h").alias("last"))
+    distinct = rows.select("l", "h").distinct()
+    last = smallest_hashes(distinct, "l", "h", TRAIN_ROWS).groupBy("l").agg(F.max("h").alias("last"))
     taken = rows.join(F.broadcast(last), "l").where("h <= last").select("l", "h", "t").distinct()
     return [(r["t"], r["l"]) for r in taken.orderBy("l", "h", "t").collect()]
 
