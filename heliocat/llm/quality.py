@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import in_small_batches, per_batch, range_hashes, text_bytes
+from .common import in_small_batches, per_batch, range_hashes, slices, smallest_hashes, text_bytes
 
 TRAIN_ROWS = 2500
 TRAIN_CHARS = 20_000
@@ -107,6 +107,16 @@ def features(batch: pa.RecordBatch):
     return row, bucket, value, np.stack(statistics, 1)
 
 
+def all_features(batches: list[pa.RecordBatch]):
+    """The features of several batches, worked out in bounded slices."""
+    parts, before = [], 0
+    for part in slices(iter(batches)):
+        row, bucket, value, statistics = features(part)
+        parts.append((row + before, bucket, value, statistics))
+        before += part.num_rows
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 class Machine:
     """A factorisation machine over word buckets and statistic ranges."""
 
@@ -197,15 +207,13 @@ def train(
     shares = dict(marks.groupBy("y").agg(F.count("*")).collect())
     if len(shares) < 2:
         return float(next(iter(shares), 0.5))
-    ranked = marks.withColumn("r", F.expr("row_number() OVER (PARTITION BY y ORDER BY h, doc_id)"))
-    taken = ranked.where(f"r <= {TRAIN_ROWS}").select("doc_id", "y")  # 2 * TRAIN_ROWS rows at most
+    taken = smallest_hashes(marks, "y", "h", TRAIN_ROWS).select("doc_id", "y")  # 2 * TRAIN_ROWS rows at most
     rows = _inputs(docs, text, key, length).where(f"length(text) <= {TRAIN_CHARS}")
     rows = rows.join(F.broadcast(taken), "doc_id").orderBy("doc_id", "text", "y").toArrow()
     if not rows.num_rows:
         return shares[1] / (shares[0] + shares[1])
-    batch = rows.combine_chunks().to_batches()[0]
-    y = np.asarray(batch["y"]).astype(np.float64)
-    found = features(batch)
+    y = rows["y"].to_numpy().astype(np.float64)
+    found = all_features(rows.to_batches())
     edges = np.quantile(found[3], np.arange(1, CUTS) / CUTS, axis=0).T
     total = sum(shares.values())
     weight = np.where(y == 1, shares[1] / max(y.sum(), 1), shares[0] / max(len(y) - y.sum(), 1)) * len(y) / total
