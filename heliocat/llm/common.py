@@ -95,6 +95,27 @@ def attach(rows: DataFrame, facts: DataFrame, on: list[str], count: str = "n") -
     )
 
 
+def rows_of(docs: DataFrame, kept: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of ``docs``, with all its columns, for each row of ``kept`` (doc_id, sha: the text's SHA-256)."""
+    names, no_id = docs.columns, F.lit(-(1 << 63))  # stands for a null id
+    kept = kept.select(F.coalesce("doc_id", no_id).alias("_id"), F.col("sha").alias("_sha"))
+    marked = docs.withColumns(
+        {
+            "_id": F.coalesce(F.col(key).cast("long"), no_id),
+            "_sha": F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256),
+        }
+    )
+    left = marked.join(kept, ["_id", "_sha"], "left_semi")
+    # of rows equal in id and text, which are rare, one stays
+    twins = written(
+        marked.groupBy("_id", "_sha").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    )
+    if twins.isEmpty():
+        return left.select(*names)
+    one = left.join(twins, ["_id", "_sha"], "left_semi").dropDuplicates(["_id", "_sha"])
+    return left.join(twins, ["_id", "_sha"], "left_anti").select(*names).unionByName(one.select(*names))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about SLICE_BYTES of the column, or a single row."""
     for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import attach, documents, lists, per_batch, text_bytes, written
+from .common import attach, documents, lists, per_batch, rows_of, text_bytes, written
 
 #: Bytes of a chunk: never under MIN_CHUNK (but at a text's end), MEAN_CHUNK more on average, at most MAX_CHUNK.
 MIN_CHUNK, MEAN_CHUNK, MAX_CHUNK = 256, 2048, 16384
@@ -187,21 +187,5 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", bits:
 
 def drop_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows that stay, with all their columns."""
-    names, no_id = docs.columns, F.lit(-(1 << 63))  # stands for a null id
     kept = exact_groups(docs, text, key).where("kept")
-    kept = kept.select(F.coalesce("doc_id", no_id).alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumns(
-        {
-            "_id": F.coalesce(F.col(key).cast("long"), no_id),
-            "_sha": F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256),
-        }
-    )
-    left = marked.join(kept, ["_id", "_sha"], "left_semi")
-    # of rows equal in id and text, which are rare, one stays
-    twins = written(
-        marked.groupBy("_id", "_sha").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    )
-    if twins.isEmpty():
-        return left.select(*names)
-    one = left.join(twins, ["_id", "_sha"], "left_semi").dropDuplicates(["_id", "_sha"])
-    return left.join(twins, ["_id", "_sha"], "left_anti").select(*names).unionByName(one.select(*names))
+    return rows_of(docs, kept.select("doc_id", F.col("text_sha256").alias("sha")), text, key)

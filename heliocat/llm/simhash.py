@@ -16,6 +16,7 @@ ignored. A null ``doc_id`` never names a component unless all its members have o
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import attach, documents, per_batch, written
+from .common import attach, documents, per_batch, rows_of, written
 from .components import components
 
 BITS = 64
@@ -51,15 +52,21 @@ def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(h)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id, fp (the fingerprint as a long, its unsigned order kept); one row per input row."""
+def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42, digest: bool = False) -> DataFrame:
+    """doc_id, fp (the fingerprint as a long, its unsigned order kept); one row per input row.
+
+    ``digest`` adds sha, the text's SHA-256 in hex digits.
+    """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch["text"].cast(pa.binary()).to_pylist()
         values = [fingerprint(t, width, seed) - _HALF for t in texts]
-        return pa.record_batch({"doc_id": batch["doc_id"], "fp": pa.array(values, pa.int64())})
+        out = {"doc_id": batch["doc_id"], "fp": pa.array(values, pa.int64())}
+        if digest:
+            out["sha"] = pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
+        return pa.record_batch(out)
 
-    return docs.mapInArrow(per_batch(work), "doc_id long, fp long")
+    return docs.mapInArrow(per_batch(work), "doc_id long, fp long" + ", sha string" * digest)
 
 
 def _unsigned(fp: np.ndarray) -> np.ndarray:
@@ -284,6 +291,13 @@ def links(fps: DataFrame, budget: int = 2, node_rows: int = NODE_ROWS) -> DataFr
     return dealt.groupBy("unit").applyInPandas(walk, "a long, b long")
 
 
+def rooted(distinct: DataFrame, budget: int, node_rows: int) -> DataFrame:
+    """The rows of ``distinct``, one per ``fp``, with ``root``, which is equal within a component."""
+    roots = components(written(links(distinct, budget, node_rows)))  # node, root
+    found = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return found.withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(
     docs: DataFrame,
     text: str = "text",
@@ -297,12 +311,7 @@ def near_duplicates(
     distinct = written(
         rows.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
     )
-    linked = written(links(distinct, budget, node_rows))
-    roots = components(linked)  # fp, root
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
-    named = written(named)
+    named = written(rooted(distinct, budget, node_rows))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("m"))
     facts = attach(named.drop("least"), smallest, ["root"], "m").select("fp", "n", "component_id")
     unsigned = F.lpad(F.lower(F.hex(F.col("fp").bitwiseXOR(F.lit(-_HALF)))), 16, "0")
@@ -311,17 +320,23 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """The rows that stay: of each component the row with the smallest id, with all their columns."""
-    found = near_duplicates(docs, text, key, **options)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    names, no_id = docs.columns, F.lit(-(1 << 63))  # stands for a null id
-    kept = kept.select(F.coalesce("_id", no_id).alias("_id"))
-    marked = docs.withColumn("_id", F.coalesce(F.col(key).cast("long"), no_id))
-    left = marked.join(kept, "_id", "left_semi")
-    # of rows that share an id, which are rare, one stays
-    twins = written(marked.groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"))
-    if twins.isEmpty():
-        return left.select(*names)
-    one = left.join(twins, "_id", "left_semi").dropDuplicates(["_id"])
-    return left.join(twins, "_id", "left_anti").select(*names).unionByName(one.select(*names))
+def drop_near_duplicates(
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    width: int = 3,
+    budget: int = 2,
+    node_rows: int = NODE_ROWS,
+) -> DataFrame:
+    """The rows that stay, with all their columns: exactly one of each component.
+
+    It is the row with the smallest id (a null id only if the component has no other); of rows
+    that share this id the one whose text has the smallest SHA-256. An id alone does not name a
+    row: rows of several components may share it.
+    """
+    rows = fingerprints(documents(docs, text, key), width, digest=True)
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha")
+    distinct = written(rows.groupBy("fp").agg(F.min(first).alias("least")))
+    named = rooted(distinct, budget, node_rows)
+    kept = named.groupBy("root").agg(F.min("least").alias("least"))
+    return rows_of(docs, kept.select("least.doc_id", "least.sha"), text, key)

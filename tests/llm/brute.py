@@ -29,6 +29,16 @@ EDGES = [
     (None, f"no id {PASSAGE}"),
     (None, None),
 ]
+#: Rows whose ids are null or shared while their texts differ: unique ones and copies of other rows' texts.
+SHARED = [
+    *((None, f"null id {i} " + " ".join(f"n{i}x{k}" for k in range(30))) for i in range(6)),
+    *((910001, f"shared id {i} " + " ".join(f"s{i}x{k}" for k in range(30))) for i in range(6)),
+    *((910002 + i, f"null id {i} " + " ".join(f"n{i}x{k}" for k in range(30))) for i in range(2)),
+    (900001, "shared id 3 " + " ".join(f"s3x{k}" for k in range(30)) + "!"),
+    (910009, "SHARED ID 4 " + " ".join(f"S4x{k}" for k in range(30))),
+    (910009, "shared id 5 " + " ".join(f"S5x{k}" for k in range(30))),
+    (None, "NULL id 5 " + " ".join(f"n5x{k}" for k in range(30))),
+]
 #: Columns whose names the operators use inside, or return.
 CLASHES = (
     "keep_id n kept fp fingerprint component_id root best fold row_no recipe key key_a key_b shard ids parts first "
@@ -94,6 +104,28 @@ def near(data, budget: int = 2) -> Counter:
     return Counter((doc, f"{fps[i]:016x}", least[find(i)]) for i, (doc, _) in enumerate(data))
 
 
+def exact_left(data) -> list[tuple]:
+    """The rows that stay of the groups of equal texts."""
+    last = {}
+    for i, t in data:
+        last[t] = max(last.get(t, i), i, key=order)
+    return [(i, t) for t, i in last.items()]
+
+
+def near_left(data, budget: int = 2) -> list[tuple]:
+    """The rows that stay of the components of near copies."""
+    fps = [fingerprint(t) for _, t in data]
+    left, todo = [], set(range(len(data)))
+    while todo:
+        found, front = set(), {todo.pop()}
+        while front:
+            found |= front
+            front = {j for j in todo if any((fps[i] ^ fps[j]).bit_count() <= budget for i in front)}
+            todo -= front
+        left.append(min((data[i] for i in found), key=lambda r: (r[0] is None, r[0] or 0, sha(r[1]))))
+    return left
+
+
 def passages(data, window: int = 50) -> Counter:
     """(doc_id, n_words, n_removed, sha256 of the kept words)."""
     cut = [(i, t.encode().split()) for i, t in data]

@@ -1,9 +1,19 @@
 """The pipeline and the registered queries."""
 
+import zlib
+from collections import Counter
+
+import brute
 import duckdb
+import numpy as np
+import pytest
 import corpus_pipeline
 import __spark_entry__ as entry
 from compare import connect, differences
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from heliocat.llm import language_id, packing, pii, queries, simhash
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -24,6 +34,49 @@ def test_run_returns_pieces(spark):
     assert 0.5 * texts < pieces.select("doc_id").distinct().count() <= texts
 
 
+@pytest.fixture(scope="module")
+def shared_ids(spark, tmp_path_factory):
+    """A folder whose documents have null and shared ids on different texts."""
+    folder = str(tmp_path_factory.mktemp("documents"))
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = spark.createDataFrame(brute.EDGES + brute.SHARED, "doc_id long, text string").withColumns(
+        {"lang": F.lit(None).cast("string"), "source": F.lit("edge"), "n_chars": F.length("text").cast("long")}
+    )
+    docs.unionByName(rows).select(docs.columns).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    return folder
+
+
+def test_near_stage_by_id_and_text(spark, shared_ids):
+    docs = spark.read.parquet(f"{shared_ids}/documents.parquet")
+    expected = brute.near_left(brute.rows(docs))
+    assert sum(i is None for i, _ in expected) > 3 and sum(i == 910001 for i, _ in expected) > 3
+    left = simhash.drop_near_duplicates(docs)
+    assert Counter((i, brute.sha(t)) for i, t in brute.rows(left)) == Counter((i, brute.sha(t)) for i, t in expected)
+
+
+def test_run_equals_the_plain_versions(spark, shared_ids):
+    docs = spark.read.parquet(f"{shared_ids}/documents.parquet")
+    model = language_id.train(docs, queries.remainder(5) != 0)
+    data = brute.rows(docs)
+    scored = zip(data, model.label([t for _, t in data]))
+    data = [r for r, (w, p) in scored if w and p.mean(axis=0).max() >= corpus_pipeline.LEAST_LANGUAGE_SCORE]
+    data = [(i, pii.redacted(t)) for i, t in brute.near_left(brute.exact_left(data))]
+    library = Tokenizer.from_file(queries.WORD_BPE)
+    full = {}
+    for i, t in data:
+        ids = [*library.encode(t, add_special_tokens=False).ids, packing.END]
+        full.setdefault((i, len(ids)), []).append(ids)
+    pieces = corpus_pipeline.run(spark, shared_ids).collect()
+    assert Counter((r["doc_id"], r["doc_tokens"]) for r in pieces if r["start"] == 0) == Counter(
+        {k: len(v) for k, v in full.items()}
+    )
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    for r in pieces:
+        a, b = r["start"], r["start"] + r["length"]
+        assert r["ids_crc32"] in [crc(ids[a:b]) for ids in full[r["doc_id"], r["doc_tokens"]]]
+    assert sum(r["length"] for r in pieces) == sum(len(ids) for v in full.values() for ids in v)
+
+
 def test_sql(spark):
     con = connect(FOLDER)
     for name, sql in entry._llm.ORACLE.items():
