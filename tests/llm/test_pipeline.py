@@ -34,6 +34,24 @@ def test_run_returns_pieces(spark):
     assert 0.5 * texts < pieces.select("doc_id").distinct().count() <= texts
 
 
+def test_language_stage_rejects_mixtures(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    held = docs.where(queries.remainder(5) == 0).where("n_chars > 500").orderBy("doc_id").collect()
+    text = {r["lang"]: r["text"].split() for r in held}
+    assert len(text) == 4
+    part = lambda langs, n: " ".join(w for x in langs for w in text[x][:n])
+    names = sorted(text)
+    mixed = [part(names, 40), part(names[:3], 40), " ".join(w for ws in zip(*text.values()) for w in ws)]
+    two = [part([a, b], 40) for a in names for b in names if a < b]
+    clean = [part([a], n) for a in names for n in (20, 60)]
+    rows = [(-1 - i, t, "edge", "x", len(t)) for i, t in enumerate([*mixed, "12 34 !", *two, *clean])]
+    added = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    added = added.withColumn("lang", F.lit(None).cast("string"))
+    left = corpus_pipeline.language_stage(spark, docs.unionByName(added.select(docs.columns)), FOLDER)
+    assert sorted(r["text"] for r in left.where("doc_id < 0").collect()) == sorted([*two, *clean])
+    assert left.where("doc_id >= 0").count() == docs.count()
+
+
 @pytest.fixture(scope="module")
 def shared_ids(spark, tmp_path_factory):
     """A folder whose documents have null and shared ids on different texts."""
