@@ -69,6 +69,11 @@ def iban(text: str) -> bool:
     return 15 <= len(text) <= 34 and int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _byte(digits: str) -> bool:
+    """Whether a number without leading zeros is at most 255; int() refuses more than 4,300 digits."""
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def _left(text: str, at: int, allowed: frozenset, least: int) -> int:
     while at > least and text[at - 1] in allowed:
         at -= 1
@@ -86,7 +91,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 continue
             if at >= after["ip"] and (m := _IP.match(text, at)):
                 after["ip"] = m.end()
-                if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+                if all(_byte(x.lstrip("0")) for x in m[0].split(".")):
                     out["ip"].append(m.span())
             if at >= after["card"] and (m := _CARD.match(text, at)):
                 after["card"] = m.end()

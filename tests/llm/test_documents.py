@@ -235,6 +235,17 @@ def test_added_kinds_and_redaction():
     assert "DE89" not in clean and "@" not in clean and "[PHONE]" in clean and clean.startswith("see [URL].")
 
 
+def test_very_long_numbers(spark):
+    zeros = "0" * 5000
+    texts = [f"{zeros}.1.1.1", f"1.{zeros}255.{zeros}.9", f"{zeros}256.1.1.1", f"{'9' * 5000}.1.1.1"]
+    spans = [[("ip", 0, len(t))] if i < 2 else [] for i, t in enumerate(texts)]
+    assert [pii.find(t) for t in texts] == spans
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r["doc_id"], r["base_sha256"]) for r in pii.digest(docs).collect()}
+    assert found == {(i, pii.sha256_of(x)) for i, x in enumerate(spans)}
+    assert [t for _, t in sorted(brute.rows(pii.redact(docs)))] == ["[IP]", "[IP]", *texts[2:]]
+
+
 def test_redaction_keeps_rows(docs, data):
     left = pii.redact(docs)
     assert left.columns == docs.columns and left.count() == len(data)
