@@ -11,8 +11,8 @@ to the driver, weighted so that the classes keep their shares; scoring runs on a
 whole texts.
 
 Defined results. A null text counts as empty and gets the score of its (empty) features; a null
-stored length counts as the text's own. Without labelled rows of both classes every score is
-the share of the class there is (0.5 if none). Equal rows are scored each; an empty table gives
+stored length counts as the text's own. Without labels of both classes every score is the share
+of the class there is (0.5 if none); so it is if a class has no row to learn from. Equal rows are scored each; an empty table gives
 an empty result; other columns are ignored.
 """
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import in_small_batches, per_batch, range_hashes, slices, smallest_hashes, text_bytes
+from .common import in_small_batches, per_batch, range_hashes, slices, smallest_hashes, text_bytes, written
 
 TRAIN_ROWS = 2500
 TRAIN_CHARS = 20_000
@@ -188,6 +188,20 @@ def _inputs(docs: DataFrame, text: str, key: str, length: str) -> DataFrame:
     return in_small_batches(docs).select(F.col(key).cast("long").alias("doc_id"), text_.alias("text"), stored.alias("n_chars"))
 
 
+def training_rows(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """doc_id, text, n_chars, y: at most TRAIN_ROWS rows of each class, those of smallest hash of the id.
+
+    Only rows of at most TRAIN_CHARS characters are ranked, one for each id and label: of rows
+    that share an id the one of the smallest hash of its content.
+    """
+    short = rows.where(f"length(text) <= {TRAIN_CHARS}").withColumn("content", F.xxhash64("text", "n_chars"))
+    firsts = short.groupBy("doc_id").agg(F.min("content").alias("content"))
+    marked = written(firsts.join(marks.distinct(), "doc_id").withColumn("h", F.xxhash64("doc_id")))
+    taken = smallest_hashes(marked, "y", "h", TRAIN_ROWS).select("doc_id", "content", "y")
+    found = short.join(F.broadcast(taken), ["doc_id", "content"]).drop("content")
+    return found.dropDuplicates(["doc_id", "y"])  # equal rows
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -199,27 +213,23 @@ def train(
 ) -> Machine | float:
     """The machine learned from labelled rows for which ``usable`` (of ``key``) holds.
 
-    Of each class the labels of smallest hash of the id are taken. Without two classes, the
-    share of label 1.
+    Without rows of both classes to learn from, the share of label 1.
     """
     marks = labels.where(usable).select(F.col(key).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-    marks = marks.where("y IN (0, 1) AND doc_id IS NOT NULL").withColumn("h", F.xxhash64("doc_id"))
+    marks = marks.where("y IN (0, 1) AND doc_id IS NOT NULL")
     shares = dict(marks.groupBy("y").agg(F.count("*")).collect())
     if len(shares) < 2:
         return float(next(iter(shares), 0.5))
-    taken = smallest_hashes(marks, "y", "h", TRAIN_ROWS).select("doc_id", "y")  # 2 * TRAIN_ROWS rows at most
-    rows = _inputs(docs, text, key, length).where(f"length(text) <= {TRAIN_CHARS}")
-    rows = rows.join(F.broadcast(taken), "doc_id").orderBy("doc_id", "text", "y").toArrow()
-    if not rows.num_rows:
+    rows = training_rows(_inputs(docs, text, key, length), marks).orderBy("doc_id", "text", "y").toArrow()
+    if len(rows["y"].unique()) < 2:
         return shares[1] / (shares[0] + shares[1])
     y = rows["y"].to_numpy().astype(np.float64)
     found = all_features(rows.to_batches())
     edges = np.quantile(found[3], np.arange(1, CUTS) / CUTS, axis=0).T
     total = sum(shares.values())
-    weight = np.where(y == 1, shares[1] / max(y.sum(), 1), shares[0] / max(len(y) - y.sum(), 1)) * len(y) / total
+    weight = np.where(y == 1, shares[1] / y.sum(), shares[0] / (len(y) - y.sum())) * len(y) / total
     machine = Machine(edges)
-    if 0 < y.sum() < len(y):
-        machine.fit(found, y, weight)
+    machine.fit(found, y, weight)
     return machine
 
 

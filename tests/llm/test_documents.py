@@ -174,6 +174,26 @@ def test_quality(spark, docs, data):
     assert quality.train(docs, labels.limit(0), F.lit(True)) == 0.5
 
 
+def test_quality_ranks_only_rows_it_can_learn_from(spark, monkeypatch):
+    """The labels of smallest hash in class 0 have texts that are too long; one id has many rows."""
+    monkeypatch.setattr(quality, "TRAIN_ROWS", 20)
+    ids = [r["id"] for r in spark.range(200).orderBy(F.xxhash64("id")).collect()]
+    junk, good = ids[:100], ids[100:]
+    text = {i: f"buy now {i} !!! " * 5 for i in junk} | {i: f"The house of number {i} is old and quiet. " * 2 for i in good}
+    long = {i: text[i] * 400 for i in junk[:60]}
+    labels = spark.createDataFrame([(i, int(i in good)) for i in ids], "doc_id long, quality int")
+    rows = [*(text | long).items(), *[(good[0], text[good[0]])] * 200, *[(good[0], f"another {k}") for k in range(200)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = labels.withColumnRenamed("quality", "y")
+    taken = Counter(r["y"] for r in quality.training_rows(quality._inputs(docs, "text", "doc_id", "n_chars"), marks).collect())
+    assert taken == {0: 20, 1: 20}
+    found = quality.score(docs, quality.train(docs, labels, F.lit(True))).collect()
+    assert np.mean([r["score"] < 0.4 for r in found if r["doc_id"] in junk]) > 0.9
+    assert np.mean([r["score"] > 0.6 for r in found if r["doc_id"] in good[1:]]) > 0.9
+    only_long = docs.where(~F.col("doc_id").isin(junk[60:]))
+    assert quality.train(only_long, labels, F.lit(True)) == 0.5
+
+
 def test_interactions_in_linear_time_equal_all_pairs():
     rng = np.random.default_rng(1)
     machine = quality.Machine(np.zeros((quality.STATISTICS, quality.CUTS - 1)))
