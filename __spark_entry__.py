@@ -5,12 +5,14 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from heliocat import adapters as ad  # noqa: E402
+from heliocat.commits import Files  # noqa: E402
 from heliocat.constants import KP_AP_DEFAULT, KP_AP_STEPS, KP_STEP_MARGIN  # noqa: E402
 from heliocat.functions.flux import class_letter, class_number, magnitude  # noqa: E402
 from heliocat.functions.geomag import step_lookup  # noqa: E402
@@ -23,10 +25,11 @@ from heliocat.schemas import FLARES_KEY, conform_events  # noqa: E402
 from heliocat.session import shared_folder as _scratch  # noqa: E402
 from heliocat.sources import feeds, listing  # noqa: E402
 from heliocat.sources.catalog import read_catalog  # noqa: E402
-from heliocat.sources.latest_event import latest_events  # noqa: E402
+from heliocat.sources.latest_event import count_documents, latest_events  # noqa: E402
 from heliocat.sources.status_rows import arrays_to_rows, finish, read_status_rows  # noqa: E402
 from heliocat.streaming.feeds import drop_repeats, insert_stream, poll_latest, sync_arrays  # noqa: E402
-from heliocat.tables import KeyedTable, write_csv  # noqa: E402
+from heliocat.streaming.refresh import refresh_arrays  # noqa: E402
+from heliocat.tables import KeyedTable, SnapshotTable, write_csv  # noqa: E402
 from check_sql import ORACLE  # noqa: E402
 
 try:
@@ -383,16 +386,33 @@ def stream_drop_repeats(spark, d):
     """The event file, cut into files whose times go back and forth, de-duplicated as a stream."""
     folder = _scratch(spark)
     rows = ad.keyed_events(ad.table(spark, d, "events")).select("event_start", "instrument", "seq")
-    rows.withColumn("part", F.pmod(F.col("seq") * 7, F.lit(4))).repartition("part").sortWithinPartitions(
-        "seq"
-    ).write.parquet(f"{folder}/landed")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+    _back_and_forth(rows).write.parquet(f"{folder}/landed")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 100).parquet(f"{folder}/landed")
     schema = T.StructType([f for f in rows.schema.fields if f.name in FLARES_KEY])
     target = KeyedTable(spark, f"{folder}/events", schema, FLARES_KEY).create()
     drop_repeats(stream, target, ["seq"], f"{folder}/checkpoint").start().awaitTermination()
     return target.read()
 
 
+def _back_and_forth(rows: DataFrame) -> DataFrame:
+    """Rows in as many files as the table is read in, four at least, each over all of its times."""
+    files = max(4, rows.rdd.getNumPartitions())
+    return rows.withColumn("_file", F.pmod(F.xxhash64("seq"), F.lit(files))).repartition(files, "_file").drop("_file")
+
+
+def stream_forget_repeats(spark, d):
+    """The same with keys remembered for an hour; what comes later would still meet the table."""
+    folder = _scratch(spark)
+    rows = ad.keyed_events(ad.table(spark, d, "events")).select("event_start", "instrument", "seq")
+    _back_and_forth(rows).write.parquet(f"{folder}/landed")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/landed")
+    schema = T.StructType([f for f in rows.schema.fields if f.name in FLARES_KEY])
+    target = KeyedTable(spark, f"{folder}/events", schema, FLARES_KEY).create()
+    writer = drop_repeats(stream, target, ["seq"], f"{folder}/checkpoint", memory_seconds=3600)
+    writer.start().awaitTermination()
+    return target.read()
+
+
 def poll_landed_documents(spark, d):
     """Documents landed as text files, polled into the table in small batches.
 
@@ -424,8 +444,7 @@ def collapse_many_files(spark, d):
     folder = _scratch(spark)
     rows = _status_rows(spark, d).withColumn("background_flux", F.lit(0.0))
     rows = ad.with_class_chars(rows).withColumn("flare_class", F.array_join("flare_class", ""))
-    place = F.expr("row_number() OVER (PARTITION BY half ORDER BY pos) - 1")
-    halves = rows.withColumn("half", (F.col("pos") % 2).cast("int")).withColumn("pos", place.cast("long"))
+    halves = rows.withColumn("half", (F.col("pos") % 2).cast("int")).withColumn("pos", F.expr("pos DIV 2"))
     for half in (0, 1):
         halves.filter(F.col("half") == half).drop("half").write.parquet(f"{folder}/file-{half}")
     found = collapse.collapse_events(read_status_rows(spark, f"{folder}/file-*"))
@@ -437,7 +456,7 @@ def sync_array_files(spark, d):
     folder = _scratch(spark)
     target = KeyedTable(spark, f"{folder}/flares").create()
     files = ad.array_files(ad.table(spark, d, "events")).drop("file")
-    files.repartition(10).write.parquet(f"{folder}/landed")
+    files.repartition(max(10, files.rdd.getNumPartitions())).write.parquet(f"{folder}/landed")
     sync_arrays(
         spark, f"{folder}/landed", target, f"{folder}/checkpoint", files.schema,
         fills={"integrated_flux": ad.FILL}, max_files=4,
@@ -451,7 +470,8 @@ def catalog_from_files(spark, d):
     raw = ad.catalog(ad.table(spark, d, "orders"))
     (
         raw.withColumn("Instrumento", F.trim(F.regexp_replace("Instrumento", r"\s+", " ")))
-        .repartitionByRange(4, "ordinal").sortWithinPartitions("ordinal").drop("ordinal")
+        .repartitionByRange(max(4, raw.rdd.getNumPartitions()), "ordinal")
+        .sortWithinPartitions("ordinal").drop("ordinal")
         .write.option("sep", "\t").option("header", True).csv(folder)
     )
     renamed = normalise.rename_catalog(read_catalog(spark, folder, with_ordinal=True))
@@ -479,14 +499,122 @@ def load_counts(spark, d):
     rows = rows.withColumn("source", F.when(F.col("seq") % 50 != 0, F.col("source")).otherwise("?"))
     steps = [
         ("dry run", table.count_fresh(rows)),
-        ("load", table.insert_ignore(rows, bulk=True)),
+        ("load", table.insert_ignore(rows)),
         ("again", table.insert_ignore(rows)),
     ]
     counts = [(n, r.read, r.inserted, r.rejected) for n, r in steps]
-    counts.append(("table", table.read().count(), 0, spark.read.parquet(table.rejects_path).count()))
+    counts.append(("table", table.read().count(), 0, table.read_rejects().count()))
     return spark.createDataFrame(counts, "step string, read long, inserted long, rejected long")
 
 
+def _keyed_batch(spark, d) -> DataFrame:
+    """Incoming events for a table whose key may have a null; each twice, with one place for all."""
+    _, incoming = ad.existing_and_incoming(ad.table(spark, d, "events"))
+    return incoming.unionByName(incoming).withColumn("place", F.lit(1))
+
+
+def _key_table(spark, d, **options) -> KeyedTable:
+    schema = T.StructType.fromJson(_keyed_batch(spark, d).select(*FLARES_KEY, "value").schema.jsonValue())
+    return KeyedTable(spark, f"{_scratch(spark)}/events", schema, FLARES_KEY, **options).create()
+
+
+def insert_null_keys(spark, d):
+    """Rows without an instrument all stay, equal ones too, in one batch or in several."""
+    table, batch = _key_table(spark, d), _keyed_batch(spark, d)
+    table.insert_ignore(batch.filter("seq % 3 = 0"), ["place", "seq"])
+    table.insert_ignore(batch.filter("seq % 3 <> 0"), ["place", "seq"])
+    return table.read().select("event_start", "instrument")
+
+
+def insert_accounts(spark, d):
+    """What becomes of each row: of a first batch, of one that overlaps it, and of that run again."""
+    table, batch = _key_table(spark, d), _keyed_batch(spark, d)
+    rows = batch.withColumn("event_start", F.when(F.col("seq") % 50 != 0, F.col("event_start")))
+    steps = [
+        (name, table.insert_ignore(rows.filter(some), ["place", "seq"], batch_name=name.split()[0]))
+        for name, some in (("first", "seq % 3 = 0"), ("second", "seq % 2 = 0"), ("second again", "seq % 2 = 0"))
+    ]
+    counts = [(n, r.read, r.inserted, r.held, r.repeated, r.rejected) for n, r in steps]
+    counts.append(("stored", table.read().count(), 0, 0, 0, table.read_rejects().count()))
+    return spark.createDataFrame(counts, "step string, read long, inserted long, held long, repeated long, rejected long")
+
+
+def concurrent_inserts(spark, d):
+    """Two writers insert overlapping halves at once; each key is there once."""
+    table, rows = _key_table(spark, d), _keyed_batch(spark, d)
+    halves = [rows.filter("seq % 3 <> 0"), rows.filter("seq % 3 <> 1")]
+
+    def write(half: DataFrame) -> None:
+        KeyedTable(spark, table.path, table.schema, table.key).insert_ignore(half, ["place", "seq"])
+
+    with ThreadPoolExecutor(2) as writers:
+        list(writers.map(write, halves))
+    return table.read().select("event_start", "instrument")
+
+
+def stored_pages(spark, d):
+    """The first page and one in the middle of a stored table, from the files around them."""
+    table = KeyedTable(spark, f"{_scratch(spark)}/flares", slice_rows=2000).create()
+    table.insert_ignore(_catalog_batch(spark, d))
+    middle = table.read().count() // 20 + 1
+    pages = [
+        table.read_page(page, 10).select(
+            F.lit(name).alias("page"),
+            F.row_number().over(Window.orderBy(F.desc("event_start"), F.desc("id"))).alias("place"),
+            "event_start",
+        )
+        for name, page in (("first", 1), ("middle", middle))
+    ]
+    return pages[0].unionByName(pages[1])
+
+
+def refresh_rewritten_file(spark, d):
+    """Array files that hold some events, refreshed, then written anew with all, refreshed again."""
+    folder = _scratch(spark)
+    target = KeyedTable(spark, f"{folder}/flares").create()
+    files = ad.array_files(ad.table(spark, d, "events"))
+    number = max(4, files.rdd.getNumPartitions())
+    parts = files.withColumn("b", F.pmod(F.xxhash64("file"), F.lit(number))).repartition(number, "b")
+    schema = files.drop("file").schema
+    moves = Files(spark, folder)
+    for name, some in (("early", "CAST(file AS BIGINT) % 3 = 0"), ("late", "true")):
+        parts.filter(some).drop("file").write.partitionBy("b").parquet(f"{folder}/{name}")
+        for b in moves.names(f"{folder}/{name}"):
+            for file in moves.names(f"{folder}/{name}/{b}") if b.startswith("b=") else ():
+                if file.endswith(".parquet"):
+                    moves.replace(f"{folder}/{name}/{b}/{file}", f"{folder}/landed/events-{b[2:]}.parquet")
+        refresh_arrays(spark, f"{folder}/landed", target, schema, fills={"integrated_flux": ad.FILL}, glob="*.parquet")
+    return target.read().select("event_start", "instrument", "source")
+
+
+def refused_documents(spark, d):
+    """Documents landed, good and refused, and the reasons that the table keeps."""
+    table = KeyedTable(spark, f"{_scratch(spark)}/flares").create()
+    number = F.col("event_id")
+    text = (
+        F.when(number % 7 == 0, "<html>").when(number % 11 == 0, "[ ]").when(number % 13 == 0, F.concat("value", F.lit("]x")))
+        .when(number % 17 != 0, F.col("value"))
+    )
+    docs = ad.documents(ad.table(spark, d, "events")).withColumn("value", text)
+    rows = latest_events(docs, keep=("event_id",), refused=True)
+    table.insert_ignore(normalise.normalise_latest(rows, keep=("event_id", "element")), ["event_id", "element"])
+    kept = table.read_rejects("event_id long").filter("reject_reason LIKE 'document%'")
+    reasons = kept.groupBy(F.col("reject_reason").alias("what")).agg(F.count("*").alias("documents"))
+    counts = count_documents(rows, "event_id").select(F.expr("stack(3, 'landed', landed, 'good', good, 'refused', refused) AS (what, documents)"))
+    return counts.unionByName(reasons)
+
+
+def lookup_feeds(spark, d):
+    """Three feeds on top of a lookup, merged at once in one commit."""
+    lookup, feed = ad.lookup_and_feed(ad.table(spark, d, "events"))
+    table = SnapshotTable(spark, f"{_scratch(spark)}/indices").create()
+    table.upsert(lookup.withColumn("seq", F.lit(0)), ["kp_index", "ap_index"])
+    odd = feed.filter("seq % 2 = 1").select("date", (F.col("sunspot_number") / 2.0).alias("f10_7_flux"), "seq")
+    kp = feed.filter("day(date) % 2 = 0").select("date", F.lit(1.5).alias("kp_index"), F.lit(6).alias("ap_index"), "seq")
+    table.upsert_all([(feed, ["sunspot_number"], ["source"]), (odd, ["f10_7_flux"], []), (kp, ["kp_index", "ap_index"], [])])
+    return table.read().drop("created_at")
+
+
 def stored_ids(spark, d):
     """Default ids of a loaded table: all different, all rows stamped."""
     table = KeyedTable(spark, f"{_scratch(spark)}/flares").create()
@@ -596,6 +724,14 @@ _REGISTERED = [
     stream_insert_ignore,
     stream_latest_events,
     stream_drop_repeats,
+    stream_forget_repeats,
+    insert_null_keys,
+    insert_accounts,
+    concurrent_inserts,
+    stored_pages,
+    refresh_rewritten_file,
+    refused_documents,
+    lookup_feeds,
     poll_landed_documents,
     sync_array_files,
 ]

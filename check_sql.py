@@ -488,3 +488,66 @@ SELECT id, CASE WHEN id % 3 <> 0 THEN xrsb_flux_peak END AS xrsb_flux_peak,
        CASE WHEN id % 5 <> 0 THEN integrated_flux END AS integrated_flux FROM flares"""
 
 ORACLE["poll_landed_documents"] = f"WITH {_MAPPED} SELECT DISTINCT event_start, instrument FROM mapped"
+
+ORACLE["stream_forget_repeats"] = ORACLE["stream_drop_repeats"]
+
+_TWICE = f"""{KEYED}, twice AS (SELECT * FROM incoming UNION ALL SELECT * FROM incoming)"""
+ORACLE["insert_null_keys"] = f"""WITH {_TWICE}
+SELECT DISTINCT event_start, instrument FROM twice WHERE instrument IS NOT NULL
+UNION ALL SELECT event_start, NULL FROM twice WHERE instrument IS NULL"""
+
+ORACLE["concurrent_inserts"] = f"""WITH {_TWICE}
+SELECT DISTINCT event_start, instrument FROM twice WHERE instrument IS NOT NULL
+UNION ALL SELECT event_start, NULL FROM twice WHERE instrument IS NULL
+UNION ALL SELECT event_start, NULL FROM twice WHERE instrument IS NULL AND seq % 3 = 2"""
+
+
+def _account(step: str, rows: str, held: str) -> str:
+    """One row of counts; ``held`` gives the keys that are in the table before."""
+    return f"""SELECT '{step}' AS step, count(*) AS read,
+       count(*) FILTER (NOT bad AND instrument IS NULL)
+         + count(DISTINCT (event_start, instrument)) FILTER (NOT bad AND instrument IS NOT NULL AND NOT there) AS inserted,
+       count(DISTINCT (event_start, instrument)) FILTER (NOT bad AND instrument IS NOT NULL AND there) AS held,
+       count(*) FILTER (NOT bad AND instrument IS NOT NULL)
+         - count(DISTINCT (event_start, instrument)) FILTER (NOT bad AND instrument IS NOT NULL) AS repeated,
+       count(*) FILTER (bad) AS rejected
+FROM (SELECT *, seq % 50 = 0 AS bad, {held} AS there FROM twice WHERE {rows})"""
+
+
+_FIRST_KEYS = "(event_start, instrument) IN (SELECT (event_start, instrument) FROM twice WHERE seq % 3 = 0 AND seq % 50 <> 0 AND instrument IS NOT NULL)"
+ORACLE["insert_accounts"] = f"""WITH {_TWICE}, steps AS (
+{_account("first", "seq % 3 = 0", "false")}
+UNION ALL {_account("second", "seq % 2 = 0", _FIRST_KEYS)})
+SELECT * FROM steps
+UNION ALL SELECT 'second again', * EXCLUDE (step) FROM steps WHERE step = 'second'
+UNION ALL SELECT 'stored', sum(inserted)::BIGINT, 0, 0, 0, sum(rejected)::BIGINT FROM steps"""
+
+ORACLE["stored_pages"] = f"""WITH {_LOADED.replace('ordinal % 50 = 0 OR ', '')}, kept AS (
+  SELECT event_start, row_number() OVER (ORDER BY event_start DESC) AS n
+  FROM (SELECT DISTINCT event_start, instrument FROM batch WHERE NOT bad)),
+middle AS (SELECT 10 * (count(*) // 20) AS skipped FROM kept)
+SELECT 'first' AS page, CAST(n AS INTEGER) AS place, event_start FROM kept WHERE n <= 10
+UNION ALL SELECT 'middle', CAST(n - skipped AS INTEGER), event_start FROM kept, middle WHERE n > skipped AND n <= skipped + 10"""
+
+ORACLE["refresh_rewritten_file"] = ORACLE["sync_array_files"]
+
+ORACLE["refused_documents"] = """WITH told AS (
+  SELECT CASE WHEN event_id % 7 = 0 THEN 'document is no array' WHEN event_id % 11 = 0 THEN 'document has no event'
+              WHEN event_id % 13 = 0 THEN 'document is no JSON' WHEN event_id % 17 = 0 THEN 'document is empty' END AS what
+  FROM events)
+SELECT 'landed' AS what, count(*) AS documents FROM told
+UNION ALL SELECT 'good', count(*) FILTER (what IS NULL) FROM told
+UNION ALL SELECT 'refused', count(what) FROM told
+UNION ALL SELECT what, count(*) FROM told WHERE what IS NOT NULL GROUP BY what"""
+
+ORACLE["lookup_feeds"] = f"""WITH lookup AS (
+  SELECT CAST(ts AS DATE) AS date, {exact_mean('least(value / 10e0, 9e0)')} AS kp
+  FROM events WHERE ts < '2024-01-20' GROUP BY 1),
+feed AS (
+  SELECT CAST(ts AS DATE) AS date, CAST(floor(arg_max(value, event_id) + 0.5e0) AS INTEGER) AS sn,
+         floor(arg_max(value, event_id) FILTER (event_id % 2 = 1) + 0.5e0) / 2e0 AS flux, day(date) % 2 = 0 AS even
+  FROM events WHERE ts >= '2024-01-10' GROUP BY 1)
+SELECT date, sn AS sunspot_number, flux AS f10_7_flux, CASE WHEN even THEN 1.5e0 ELSE {round2('kp')} END AS kp_index,
+       CASE WHEN even THEN 6 WHEN kp IS NOT NULL THEN CAST({kp_to_ap('kp')} AS INTEGER) END AS ap_index,
+       CASE WHEN kp IS NULL THEN 'SILSO' END AS source
+FROM lookup FULL JOIN feed USING (date)"""

@@ -6,7 +6,7 @@ Subpackages:
 * ``sources``    readers for the catalog, status rows, feeds and listings
 * ``operators``  DataFrame operators: collapse, eras, merges, joins, statistics
 * ``plans``      whole pipelines and the read queries built from operators
-* ``streaming``  Structured Streaming jobs on top of the merges
+* ``streaming``  Structured Streaming jobs and the ledger of landed files, on top of the merges
 
 All event times are ``timestamp_ntz`` holding UTC wall-clock time, so no result
 depends on the session time zone.

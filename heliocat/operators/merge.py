@@ -12,7 +12,7 @@ from heliocat.schemas import EVENTS, FLARES_KEY, align
 from heliocat.session import shared_folder
 
 
-def _has_key(key: list[str]) -> Column:
+def has_key(key: list[str]) -> Column:
     return reduce(and_, [F.col(k).isNotNull() for k in key])
 
 
@@ -41,34 +41,21 @@ def insert_ignore(
     """Rows of ``batch`` that an insert-if-absent would add.
 
     The first row per key in arrival order wins. A key with a null never equals another, so
-    such rows are all kept: ``order``, which tells the rows of a batch apart, is then part of
-    their key and spreads them. The batch is read once, and the window and the anti-join
-    share one shuffle of it.
+    such rows are all kept, equal ones too: they pass by the window and the anti-join and are
+    not shuffled, in however many batches they come. The window and the anti-join of the
+    others share one shuffle.
 
     ``nullable`` names the key columns that may be null in the batch; without it all may.
     ``unique`` says that no whole key comes twice in ``existing``; without it the keys
     are made distinct before they are shuffled.
     """
     nullable = key if nullable is None else nullable
-    held = existing.select(*key).filter(_has_key(key))
+    held = existing.select(*key).filter(has_key(key))
     held = held if unique else held.distinct()
     if not nullable:
         return first_per_key(batch, key, order).join(held, key, "left_anti")
-    marked = batch.withColumn(OWN, own_place(nullable, order))
-    firsts = first_per_key(marked, [*key, OWN], order)
-    # the empty text, but not as a literal: that would leave the join key, and with it the
-    # partitioning that the window and the join share
-    none = F.left(F.col(key[0]).cast("string"), F.lit(0))
-    return firsts.join(held.withColumn(OWN, none), [*key, OWN], "left_anti").drop(OWN)
-
-
-#: column with what stands for the key of a row whose key has a null
-OWN = "_own"
-
-
-def own_place(key: list[str], order: list[str]) -> Column:
-    """A row's place in its batch if its key has a null, else the empty text."""
-    return F.when(_has_key(key), F.lit("")).otherwise(F.to_json(F.struct(*order)))
+    firsts = first_per_key(batch.filter(has_key(nullable)), key, order)
+    return firsts.join(held, key, "left_anti").unionByName(batch.filter(~has_key(nullable)))
 
 
 def exists_in(df: DataFrame, table: DataFrame, key: list[str]) -> DataFrame:
@@ -110,6 +97,44 @@ def upsert_columns(
     return align(merged, existing.schema)
 
 
+Feed = tuple[DataFrame, list[str], list[str]]
+
+
+def last_of_feeds(feeds: list[Feed], key: list[str] = ["date"], seq: str = "seq") -> DataFrame:
+    """One row per key with the last row of each feed that has it, as ``_feed0``, ``_feed1``, ...
+
+    A feed is its rows, the columns it updates and those it only sets on insert. All feeds go
+    through one shuffle, after each task has kept one row per key and feed.
+    """
+    parts = [
+        rows.filter(has_key(key)).select(*key, F.struct(*given, *only).alias(f"_feed{i}"), F.col(seq).alias(f"_seq{i}"))
+        for i, (rows, given, only) in enumerate(feeds)
+    ]
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return united.groupBy(*key).agg(
+        *[F.max_by(f"_feed{i}", f"_seq{i}").alias(f"_feed{i}") for i in range(len(feeds))]
+    )
+
+
+def merge_feeds(existing: DataFrame, last: DataFrame, feeds: list[Feed], key: list[str] = ["date"]) -> DataFrame:
+    """The table after inserting or updating by key from ``last``, the feeds' last rows.
+
+    The same as ``upsert_columns`` feed by feed, with one join.
+    """
+    joined = existing.withColumn("_old", F.lit(True)).join(last, key, "full_outer")
+    there, changed = F.col("_old").isNotNull(), {c: F.col(c) for c in existing.columns}
+    for i, (_, given, only) in enumerate(feeds):
+        feed = f"_feed{i}"
+        has = F.col(feed).isNotNull()
+        changed |= {c: F.when(has, F.col(f"{feed}.{c}")).otherwise(changed[c]) for c in given}
+        changed |= {c: F.when(has & ~there, F.col(f"{feed}.{c}")).otherwise(changed[c]) for c in only}
+        there = there | has
+    if "created_at" in existing.columns:
+        changed["created_at"] = F.when(F.col("_old"), F.col("created_at")).otherwise(F.current_timestamp())
+    merged = joined.select(*[F.col(k) for k in key], *[v.alias(c) for c, v in changed.items() if c not in key])
+    return align(merged, existing.schema)
+
+
 def observations_to_events(observations: DataFrame, seq: str = "id") -> DataFrame:
     """Older observation rows in event columns, and ``seq``, their arrival order."""
     c = F.col
@@ -152,7 +177,7 @@ def migrate_observations(
 
 def refuse_repeats(events: DataFrame, flares: DataFrame, key: list[str] = FLARES_KEY) -> None:
     """Raise if a key that ``flares`` does not hold comes twice in ``events``."""
-    twice = events.filter(_has_key(key)).groupBy(*key).count().filter("count > 1")
+    twice = events.filter(has_key(key)).groupBy(*key).count().filter("count > 1")
     fresh = twice.join(flares.select(*key), key, "left_anti").first()
     if fresh is not None:
         raise ValueError(f"observations repeat a key: {fresh.asDict()}")
@@ -186,14 +211,14 @@ def assign_ids(
     """Give rows an ``id``.
 
     ``hash``       from the key, the same on every run; rows with a null in the key add
-                   their ``order``. 64 bits: expect a shared id only among billions, so look
+                   their ``order``, which must tell them apart. 64 bits: expect a shared id only among billions, so look
                    a row up by id and start there (``get_flare``).
     ``increment``  unique and above ``after``, with gaps; not the same on every run.
     ``dense``      ``after + 1, after + 2, ...`` in key order; costs a global sort, whose
                    result is written to the shared checkpoint folder.
     """
     if mode == "hash":
-        salt = [F.when(~_has_key(key), F.col(c)) for c in order]
+        salt = [F.when(~has_key(key), F.col(c)) for c in order]
         return df.withColumn("id", F.xxhash64(*key, *salt))
     if mode == "increment":
         return df.withColumn("id", F.monotonically_increasing_id() + F.lit(after + 1))

@@ -96,9 +96,15 @@ def is_complete(max_time: str = "max_time", end_time: str = "end_time") -> Colum
 
 
 def normalise_latest(events: DataFrame, keep: tuple = (), **site) -> DataFrame:
-    """Latest-event records to unified columns; unfinished events are left out."""
-    mapped = events.filter(is_complete()).select(
+    """Latest-event records to unified columns; unfinished events are left out.
+
+    Rows with a ``reject_hint`` stay for the table to reject.
+    """
+    hint = ["reject_hint"] if "reject_hint" in events.columns else []
+    wanted = F.col("reject_hint").isNotNull() | is_complete() if hint else is_complete()
+    mapped = events.filter(wanted).select(
         *keep,
+        *hint,
         parse_utc(F.col("begin_time")).alias("event_start"),
         parse_utc(F.col("max_time")).alias("event_peak"),
         parse_utc(F.col("end_time")).alias("event_end"),
@@ -111,7 +117,7 @@ def normalise_latest(events: DataFrame, keep: tuple = (), **site) -> DataFrame:
             "metadata"
         ),
     )
-    return align(add_sun_position(mapped, "event_peak", **site), EVENTS, list(keep))
+    return align(add_sun_position(mapped, "event_peak", **site), EVENTS, [*keep, *hint])
 
 
 def normalise_legacy(events: DataFrame, keep: tuple = (), **site) -> DataFrame:

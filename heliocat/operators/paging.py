@@ -36,12 +36,15 @@ def newest_first(
 ) -> DataFrame:
     """Rows ``offset .. offset + size`` by ``time``, then ``tie``, both descending, nulls last.
 
-    Counts per range of the sort key, round by round, find a range of at most ``top_rows``
+    Down to row ``top_rows`` each task keeps that many rows. Further down counts per range of the
+    sort key, round by round, find a range of at most ``top_rows``
     rows (or one page and the rows equal to its ends) that holds the page at any depth; only
     these rows are sorted. The key is the second; if rows of one second are too many, the
     time and the tie as one number.
     """
     most = max(top_rows, size)
+    if offset + size <= most:
+        return df.orderBy(F.desc(time), F.desc(tie)).offset(offset).limit(size)
     for place, one in ((_second(time), F.lit), (_place(time, tie), _decimal)):
         found = _reach(df.select(place.alias("place")), one, offset, size, most)
         if not found.held:  # the list ends above the page

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heliocat.constants import ARRAY_FILE_SUFFIX, CATALOG_END_ORDINAL
 from heliocat.operators.collapse import StatusColumns, collapse_events
 from heliocat.operators.eras import merge_eras
-from heliocat.operators.merge import observations_to_events, refuse_repeats
+from heliocat.operators.merge import Feed, observations_to_events, refuse_repeats
 from heliocat.operators.normalise import (
     is_complete,
     label_source,
@@ -75,7 +75,7 @@ def load_history(
     )
     if dry_run:
         return table.count_fresh(united, ARRIVAL)
-    return table.insert_ignore(united, ARRIVAL, bulk=True)
+    return table.insert_ignore(united, ARRIVAL)
 
 
 def sync_status_rows(table: KeyedTable, rows: DataFrame, label: str = "GOES-19") -> InsertResult:
@@ -86,10 +86,12 @@ def sync_status_rows(table: KeyedTable, rows: DataFrame, label: str = "GOES-19")
 def store_legacy(table: KeyedTable, documents: DataFrame) -> InsertResult:
     """The older path: one object per document, known by its start alone.
 
-    ``documents`` carries ``value`` and ``seq``, the order of arrival.
+    ``documents`` carries ``value`` and ``seq``, the order of arrival. Documents that hold no
+    object become rejects.
     """
-    events = latest_events(documents, mode="legacy", keep=("seq",)).filter(is_complete())
-    return table.insert_ignore(normalise_legacy(events, keep=("seq",)))
+    events = latest_events(documents, mode="legacy", keep=("seq",), refused=True)
+    wanted = events.filter(F.col("reject_hint").isNotNull() | is_complete())
+    return table.insert_ignore(normalise_legacy(wanted, keep=("seq", "reject_hint")))
 
 
 def migrate(table: KeyedTable, observations: DataFrame, strict: bool = False) -> int:
@@ -105,15 +107,27 @@ def migrate(table: KeyedTable, observations: DataFrame, strict: bool = False) ->
 
 
 def load_sunspots(spark: SparkSession, table: SnapshotTable, path: str) -> int:
-    return table.upsert(read_sunspots(spark, path), ["sunspot_number"], insert_only=["source"])
+    return table.upsert_all([_sunspots(spark, path)])
 
 
 def load_f10_7(spark: SparkSession, table: SnapshotTable, path: str) -> int:
-    return table.upsert(read_f10_7(spark, path), ["f10_7_flux"])
+    return table.upsert_all([_f10_7(spark, path)])
 
 
 def load_kp(spark: SparkSession, table: SnapshotTable, path: str) -> int:
-    return table.upsert(read_kp(spark, path), ["kp_index", "ap_index"])
+    return table.upsert_all([_kp(spark, path)])
+
+
+def _sunspots(spark: SparkSession, path: str) -> Feed:
+    return read_sunspots(spark, path), ["sunspot_number"], ["source"]
+
+
+def _f10_7(spark: SparkSession, path: str) -> Feed:
+    return read_f10_7(spark, path), ["f10_7_flux"], []
+
+
+def _kp(spark: SparkSession, path: str) -> Feed:
+    return read_kp(spark, path), ["kp_index", "ap_index"], []
 
 
 def load_indices(
@@ -123,10 +137,11 @@ def load_indices(
     f10_7_path: str | None = None,
     kp_path: str | None = None,
 ) -> int:
-    """All feeds in turn; without the last two only sunspot numbers."""
-    version = load_sunspots(spark, table, sunspot_path)
-    if f10_7_path:
-        version = load_f10_7(spark, table, f10_7_path)
-    if kp_path:
-        version = load_kp(spark, table, kp_path)
-    return version
+    """All feeds, one on top of the other, in one merge and one commit; gives its number.
+
+    Without the last two only sunspot numbers. Days of other years are not touched.
+    """
+    feeds = [_sunspots(spark, sunspot_path)]
+    feeds += [_f10_7(spark, f10_7_path)] if f10_7_path else []
+    feeds += [_kp(spark, kp_path)] if kp_path else []
+    return table.upsert_all(feeds)

@@ -49,16 +49,21 @@ def latest_events(
     mode: str = "all",
     schema: T.StructType = LATEST_EVENT,
     keep: tuple = (),
+    refused: bool = False,
 ) -> DataFrame:
     """Events of each document, with ``element``, their place in it.
 
+    With ``refused`` a document without any element is one row without event and element, and
+    an element that is no object a row without event, both with a ``reject_hint``; so each
+    document is seen in the result of the one parse.
+
     ``all``     every element of the array
     ``latest``  the first element only
     ``legacy``  the single object of the older reading
     """
     raw = F.col(column)
     if mode == "legacy":
-        events = F.array(parse_single(raw, schema))
+        events = F.filter(F.array(parse_single(raw, schema)), lambda e: e.isNotNull())
     elif mode == "latest":
         events = F.slice(parse_array(raw, T.ArrayType(schema)), 1, 1)
     elif mode == "all":
@@ -66,8 +71,35 @@ def latest_events(
     else:
         raise ValueError(f"unknown mode: {mode}")
     # exploded in every mode: filters on the fields then stay above the one parse
+    if not refused:
+        return (
+            documents.select(*keep, F.posexplode(events).alias("element", "_event"))
+            .filter("_event IS NOT NULL")
+            .select(*keep, "element", "_event.*")
+        )
+    why = F.when(F.col("element").isNull(), F.col("_why")).when(F.col("_event").isNull(), "element is no object")
+    return documents.select(
+        *keep, refusal(raw, mode).alias("_why"), F.posexplode_outer(events).alias("element", "_event")
+    ).select(*keep, "element", "_event.*", why.alias("reject_hint"))
+
+
+def refusal(raw: Column, mode: str = "all") -> Column:
+    """Why a document that gives no element gives none, by its text."""
+    text = trim_blank(raw)
     return (
-        documents.select(*keep, F.posexplode(events).alias("element", "_event"))
-        .filter("_event IS NOT NULL")
-        .select(*keep, "element", "_event.*")
+        F.when(raw.isNull() | (text == ""), "document is empty")
+        .when(F.lit(mode != "legacy") & ~text.startswith("["), "document is no array")
+        .when(F.lit(mode != "legacy") & text.rlike(r"^\[\s*\]?$"), "document has no event")
+        .otherwise("document is no JSON")
+    )
+
+
+def count_documents(rows: DataFrame, file: str = "file") -> DataFrame:
+    """One row: documents landed, those with an element, and those refused. ``rows``: as
+    ``latest_events`` gives them with ``refused``."""
+    document = rows.groupBy(file).agg(F.count("element").alias("_n"))
+    return document.agg(
+        F.count("*").alias("landed"),
+        F.count_if(F.col("_n") > 0).alias("good"),
+        F.count_if(F.col("_n") == 0).alias("refused"),
     )

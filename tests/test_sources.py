@@ -17,7 +17,7 @@ from heliocat.operators.normalise import (
 )
 from heliocat.sources import feeds, listing
 from heliocat.sources.catalog import read_catalog
-from heliocat.sources.latest_event import latest_events, read_documents
+from heliocat.sources.latest_event import count_documents, latest_events, read_documents
 from heliocat.sources.listing import first_links
 from heliocat.sources.status_rows import read_status_rows
 
@@ -234,6 +234,27 @@ def test_documents_of_every_shape(spark):
         latest_events(docs, mode="other")
 
 
+def test_refused_documents_are_rows_with_a_reason(spark):
+    good = json.dumps([event()])
+    docs = documents(
+        spark, good, good[:-1], "[]", json.dumps(event()), "garbage", "", "[", None, good + " x", "[null, 3]", f"[null,{good[1:]}",
+    )
+    for mode in ("all", "latest"):
+        rows = latest_events(docs, mode=mode, keep=("doc",), refused=True)
+        refused = {r["doc"]: r["reject_hint"] for r in rows.filter("element IS NULL").collect()}
+        no_array, no_event, empty, no_json = ("document " + x for x in ("is no array", "has no event", "is empty", "is no JSON"))
+        assert refused == {
+            2: no_event, 3: no_array, 4: no_array, 5: empty, 6: no_event, 7: empty, 8: no_json, 9: no_json,
+        }
+        counted = count_documents(rows, "doc").first()
+        assert counted["landed"] == 11 == counted["good"] + counted["refused"] and counted["refused"] == 8
+        events = rows.filter("reject_hint IS NULL").drop("reject_hint")
+        assert sorted(events.collect()) == sorted(latest_events(docs, mode=mode, keep=("doc",)).collect())
+    assert rows.filter("reject_hint = 'element is no object'").count() == 1
+    legacy = latest_events(documents(spark, good, "x", None), mode="legacy", keep=("doc",), refused=True)
+    assert {r["doc"]: r["reject_hint"] for r in legacy.collect()} == {0: None, 1: no_json, 2: empty}
+
+
 def test_whole_documents_are_read(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([event()], indent=1)[:-1])
     assert latest_events(read_documents(spark, str(tmp_path))).count() == 1

@@ -2,7 +2,11 @@
 
 import datetime as dt
 import json
+import os
+import time
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F, types as T
@@ -15,6 +19,7 @@ from heliocat.streaming.feeds import (
     poll_trigger,
     sync_arrays,
 )
+from heliocat.streaming.refresh import refresh_arrays, refresh_latest
 from heliocat.sources.latest_event import read_documents
 from heliocat.tables import KeyedTable
 from test_sources import STATUS, event
@@ -56,6 +61,90 @@ def test_polling(spark, table, tmp_path):
     assert {k[:2] for k in key(latest_to_events(docs))} == {k[:2] for k in expected}
 
 
+def land(path, rows):
+    """Array rows as one file of a folder, written anew if it is there."""
+    names = ["flare_id", "status", "time", "xrsb_flux", "integrated_flux", "flare_class"]
+    columns = dict(zip(names, (list(c) for c in zip(*rows))))
+    pq.write_table(pa.table({n: [v] for n, v in columns.items()}), path)
+
+
+ARRAYS = (
+    "flare_id array<bigint>, status array<string>, time array<double>, xrsb_flux array<double>, "
+    "integrated_flux array<double>, flare_class array<string>"
+)
+
+
+def test_refresh_reads_a_file_written_anew(spark, table, tmp_path):
+    """Two events of a file, then four under the same name, then the same again."""
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    land(landed / "flsum[19].parquet", STATUS[:7])
+    assert [r.inserted for r in refresh_arrays(spark, str(landed), table, T._parse_datatype_string(ARRAYS))] == [2]
+    assert refresh_arrays(spark, str(landed), table, T._parse_datatype_string(ARRAYS)) == []
+    land(landed / "flsum[19].parquet", STATUS)
+    os.utime(landed / "flsum[19].parquet", (2e9, 2e9))
+    (result,) = refresh_arrays(spark, str(landed), table, T._parse_datatype_string(ARRAYS))
+    assert (result.read, result.inserted, result.held) == (4, 2, 2)
+    assert refresh_arrays(spark, str(landed), table, T._parse_datatype_string(ARRAYS)) == [] and table.read().count() == 4
+    assert table.read_ledger().count() == 2
+
+
+def test_a_failed_refresh_leaves_its_files_to_the_next(spark, table, tmp_path, monkeypatch):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    for i in range(5):
+        (landed / f"{i}.json").write_text(json.dumps([event(satellite=i)]))
+        os.utime(landed / f"{i}.json", (1e9 + i, 1e9 + i))
+    publish = table._log.publish
+    monkeypatch.setattr(table._log, "publish", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        refresh_latest(spark, str(landed), table)
+    monkeypatch.setattr(table._log, "publish", publish)
+    assert table.read().isEmpty()
+    assert [r.inserted for r in refresh_latest(spark, str(landed), table, max_files=2)] == [2, 2, 1]
+    # one more event in a document that is there already
+    (landed / "0.json").write_text(json.dumps([event(satellite=0), event(satellite=77)]))
+    assert [r.inserted for r in refresh_latest(spark, str(landed), table)] == [1]
+
+
+def test_refused_documents_are_counted(spark, table, tmp_path):
+    """Two bad files beside one good, by stream and by refresh."""
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    (landed / "good.json").write_text(json.dumps([event()]))
+    (landed / "bad.json").write_text("<html>")
+    (landed / "none.json").write_text("[]")
+    run(poll_latest(spark, str(landed), table, str(tmp_path / "checkpoint"), seconds=None))
+    assert table.read().count() == 1
+    reasons = {r["file"].rsplit("/")[-1]: r["reject_reason"] for r in table.read_rejects("file string").collect()}
+    assert reasons == {"bad.json": "document is no array", "none.json": "document has no event"}
+    (result,) = refresh_latest(spark, str(landed), KeyedTable(spark, str(tmp_path / "other")).create())
+    assert (result.read, result.inserted, result.rejected) == (3, 1, 2)
+
+
+def test_memory_of_keys_is_bounded(spark, tmp_path):
+    """Rows in files of any order arrive, repeats go, and keys are forgotten after their time."""
+    ddl = "event_start timestamp_ntz, instrument string, note double, seq long"
+    path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    schema = T.StructType([*T._parse_datatype_string(ddl).fields[:3]])
+    table = KeyedTable(spark, out, schema, ["event_start", "instrument"]).create()
+    states = []
+    for n, day in enumerate((30, 2, 16, 2)):
+        start = dt.datetime(2024, 1, day, 0, 0, 0, 123456)
+        rows = [(start, f"i{k}", float(n), 10 * n + k) for k in range(5)] + [(start, f"i{k}", -1.0, 100 + k) for k in range(5)]
+        rows += [(start, None, float("nan"), 99), (dt.datetime(2020, 1, 1), "same", 0.5, n)]
+        spark.createDataFrame(rows[::-1], ddl).coalesce(2).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(ddl).parquet(path)
+        query = run(drop_repeats(stream, table, ["seq"], checkpoint, memory_seconds=1))
+        states.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        time.sleep(1.2)
+    found = sorted((r["event_start"].day, r["instrument"] or "", r["note"]) for r in table.read().collect())
+    keyed = [f for f in found if f[1]]
+    assert len(keyed) == 16 and {f[2] for f in keyed} == {0.0, 1.0, 2.0, 0.5}  # the first of each key
+    assert len(found) == 20  # those without an instrument all stay
+    assert max(states) <= 12  # two files' keys at most, never all
+
+
 def test_daily_refresh(spark, table, tmp_path):
     names = {"flare_id": "bigint", "status": "string", "time": "double", "xrsb_flux": "double",
              "integrated_flux": "double", "flare_class": "string"}
