@@ -15,6 +15,7 @@ from heliocat.constants import (
     LEGACY_CORRECTION_FACTOR,
     SITE_LATITUDE,
     SITE_LONGITUDE,
+    SUN_TERMS,
 )
 
 
@@ -67,25 +68,44 @@ def seconds(ts: str) -> str:
 
 
 def sun(df: str, ts: str, keep: str) -> str:
-    """``keep`` columns of ``df`` with altitude and azimuth at ``ts``."""
+    """``keep`` columns of ``df`` with altitude and azimuth at ``ts``, one step of the almanac per level."""
     lat = f"radians({num(SITE_LATITUDE)})"
+    terms = ", ".join(f"{{'size': {x}e0, 'phase': {num(y)}, 'rate': {num(z)}}}" for x, y, z in SUN_TERMS)
+    year = "(2000e0 + n / 365.25e0)"
+    old, new = f"({year} - 1975e0)", f"({year} - 2000e0)"
+    far = f"(({year} - 1820e0) / 100e0)"
+    delta = f"""CASE WHEN {year} BETWEEN 1961 AND 1986 THEN 45.45e0 + {old} * (1.067e0 + {old} * ({num(-1 / 260)} + {old} * {num(-1 / 718)}))
+      WHEN {year} BETWEEN 1986 AND 2005 THEN 63.86e0 + {new} * (0.3345e0 + {new} * (-0.060374e0 + {new} * (0.0017275e0
+           + {new} * (0.000651814e0 + {new} * 0.00002373599e0))))
+      WHEN {year} BETWEEN 2005 AND 2050 THEN 62.92e0 + {new} * (0.32217e0 + {new} * 0.005589e0)
+      ELSE -20e0 + 32e0 * {far} * {far} END"""
     return f"""
-    SELECT {keep}, {round6('degrees(alt)')} AS altitude,
+    SELECT {keep}, {round6(f'alt - {num(8.794 / 3600)} / dist * cos(radians(alt))')} AS altitude,
            {round6('CASE WHEN degrees(az) < 0 THEN degrees(az) + 360e0 ELSE degrees(az) END')} AS azimuth
     FROM (
-      SELECT *, asin(sin({lat}) * sin(dec) + cos({lat}) * cos(dec) * cos(h)) AS alt,
+      SELECT *, degrees(asin(sin({lat}) * sin(dec) + cos({lat}) * cos(dec) * cos(h))) AS alt,
              atan2(-1e0 * cos(dec) * sin(h),
-                   sin(dec) * cos({lat}) - cos(dec) * sin({lat}) * cos(h)) AS az
+                   sin(dec) * cos({lat}) - cos(dec) * sin({lat}) * cos(h)) AS az,
+             1.00014e0 - 0.01671e0 * cos(g) - 0.00014e0 * cos(2e0 * g) AS dist
       FROM (
         SELECT *, asin(sin(obl) * sin(lon)) AS dec,
-               radians(280.46061837e0 + 360.98564736629e0 * n + {num(SITE_LONGITUDE)})
+               radians(280.46061837e0 + 360.98564736629e0 * n + 0.000387933e0 * (n / 36525e0) * (n / 36525e0)
+                       + nut * cos(obl) + {num(SITE_LONGITUDE)})
                - atan2(cos(obl) * sin(lon), cos(lon)) AS h
         FROM (
-          SELECT *, radians(280.460e0 + 0.9856474e0 * n + 1.915e0 * sin(g) + 0.020e0 * sin(2e0 * g)) AS lon,
-                 radians(23.439e0 - 0.0000004e0 * n) AS obl
+          SELECT *, radians(geo + nut + (0.0000974e0 * cos(radians(177.63e0 + 35999.01848e0 * c)) - 0.005575e0)) AS lon
           FROM (
-            SELECT *, radians(357.528e0 + 0.9856003e0 * n) AS g
-            FROM (SELECT *, CAST({seconds(ts)} AS DOUBLE) / 86400e0 AS n FROM {df})
+            SELECT *, 282.7771834e0 + 36000.76953744e0 * c + 5.729577951308232e-06 * list_sum(list_transform(
+                        [{terms}], lambda p: p.size * sin(radians(p.phase + p.rate * c)))) AS geo,
+                   -0.004778e0 * sin(radians(124.90e0 - 1934.134e0 * c))
+                     - 0.0003667e0 * sin(radians(201.11e0 + 72001.5377e0 * c)) AS nut,
+                   radians(23.4392911e0 - 0.0130042e0 * c + 0.002556e0 * cos(radians(125.04452e0 - 1934.136261e0 * c))
+                     + 0.000157e0 * cos(radians(560.933e0 + 72001.5396e0 * c))) AS obl,
+                   radians(357.528e0 + 0.9856003e0 * n) AS g
+            FROM (
+              SELECT *, (n + ({delta}) / 86400e0) / 36525e0 AS c
+              FROM (SELECT *, CAST({seconds(ts)} AS DOUBLE) / 86400e0 AS n FROM {df})
+            )
           )
         )
       )
