@@ -3,13 +3,15 @@
 A merge can only join bytes that stand next to each other inside some vocabulary token. So
 between two bytes that never do, a cut is certain, and the fragments between certain cuts are
 encoded independently. All new fragments of a batch are merged together in numpy: each round
-every fragment does its merge of lowest rank. A bounded cache keeps the ids of words seen,
-known by their hash, length and sum of bytes.
+every fragment does its merge of lowest rank. A bounded cache keeps the ids of words seen.
+Words of up to 16 bytes are known by their bytes, as two numbers and the length; a hash only
+finds them. Longer ones are keys of a dictionary, up to a length beyond which none is kept.
 
 Reads a ``tokenizers`` JSON file of byte-level BPE with word ends. For texts beyond the Latin
 letters the library's own normaliser and splitter cut the words; the ids are always made here.
 Null and empty texts have no ids. Strings of special tokens in a text become those tokens, as
-in the library.
+in the library. Equal rows are encoded each; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .common import documents, per_batch, range_hashes
+from .common import documents, mix, per_batch
 
 #: Words whose ids a Python worker keeps; beyond that the cache starts anew.
 CACHE_WORDS = 400_000
+#: Bytes of words that are known as two numbers; words of more bytes that are kept, and the longest kept.
+_SHORT, _LONG_WORDS, _LONGEST = 16, 50_000, 256
 _PLAIN = 0x180  # texts of characters below this need no library call
 _NEVER = np.iinfo(np.int32).max
 
@@ -112,9 +116,10 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        """Known words: hash (sorted), bytes and sum of bytes, and where their ids lie in the pool."""
+        """Known words: hash (sorted), their bytes and length, and where their ids lie in the pool."""
         self.known = np.zeros(0, np.uint64)
-        self.check = np.zeros((0, 2), np.int64)
+        self.check = np.zeros((0, 3), np.uint64)
+        self.long: dict[bytes, tuple[int, int]] = {}
         self.place = np.zeros((0, 2), np.int64)
         self.pool = np.zeros(0, np.uint32)
 
@@ -182,25 +187,62 @@ class Encoder:
 
     def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of lower-case texts of plain characters; each distinct word is merged once."""
-        data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
-        start, end = plain_words(data)
+        joined = b" ".join([*texts, bytes(_SHORT)])
+        data = np.frombuffer(joined, np.uint8)
+        start, end = plain_words(data[: -_SHORT or None])
         ends = np.cumsum([len(t) + 1 for t in texts])
         if not len(start):
             return [np.zeros(0, np.uint32)] * len(texts)
-        sums = np.concatenate([[0], np.cumsum(data, dtype=np.int64)])
-        check = np.stack([end - start, sums[end] - sums[start]], 1)
-        hashes, first, which = np.unique(
-            range_hashes(data, start, end), return_index=True, return_inverse=True
-        )
+        place = np.empty((len(start), 2), np.int64)
+        short = end - start <= _SHORT
+        if not self._short_places(data, start[short], (end - start)[short], place, short):
+            return [self._by_word(t.decode()) for t in texts]
+        long = np.flatnonzero(~short)
+        more = np.zeros(0, np.uint32)
+        if len(long):
+            place[long], more = self._long_places([joined[a:b] for a, b in zip(start[long].tolist(), end[long].tolist())])
+        pool = np.concatenate([self.pool, more]) if len(more) else self.pool
+        size = place[:, 1]
+        stop = np.cumsum(size)
+        flat = pool[np.arange(stop[-1]) + np.repeat(place[:, 0] - (stop - size), size)]
+        words_before = np.searchsorted(start, ends)
+        cuts = np.concatenate([[0], stop])[words_before]
+        return np.split(flat, cuts[:-1])
+
+    def _long_places(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of words lie, and ids to be put behind the pool, of words that are not kept."""
+        new = [w for w in dict.fromkeys(words) if w not in self.long]
+        kept = [w for w in new if len(w) <= _LONGEST and len(self.long) < _LONG_WORDS]
+        rest = [w for w in new if len(w) > _LONGEST or len(self.long) >= _LONG_WORDS]
+        ids, counts = self.merge([*kept, *rest])
+        ends = np.cumsum(counts)
+        begins = len(self.pool) + ends - counts
+        there = dict(zip([*kept, *rest], zip(begins.tolist(), counts.tolist())))
+        self.long |= {w: there[w] for w in kept}
+        n = int(ends[len(kept) - 1]) if kept else 0
+        self.pool = np.concatenate([self.pool, ids[:n]])
+        return np.array([self.long.get(w) or there[w] for w in words], np.int64), ids[n:]
+
+    def _short_places(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, out: np.ndarray, rows: np.ndarray) -> bool:
+        """Where the ids of short words lie, into ``out[rows]``; False if two words share a hash."""
+        if not len(start):
+            return True
+        letters = np.lib.stride_tricks.sliding_window_view(data, _SHORT)[start]
+        letters = letters * (np.arange(_SHORT) < size[:, None])
+        check = np.empty((len(start), 3), np.uint64)
+        check[:, :2] = letters.view("<u8")
+        check[:, 2] = size
+        hash_ = mix(check[:, 0] * np.uint64(0x9E3779B97F4A7C15) + mix(check[:, 1] + check[:, 2]))
+        hashes, first, which = np.unique(hash_, return_index=True, return_inverse=True)
         if len(self.known) + len(hashes) > CACHE_WORDS:
             self._forget()
         at = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
         new = np.flatnonzero(self.known[at] != hashes) if len(self.known) else np.arange(len(hashes))
         if len(new):
-            a, size = start[first[new]], (end - start)[first[new]]
-            offset = np.cumsum(size) - size
-            raw = data[np.arange(size.sum()) + np.repeat(a - offset, size)]
-            ids, counts = self._merged(raw, size)
+            a, sizes = start[first[new]], size[first[new]]
+            offset = np.cumsum(sizes) - sizes
+            raw = data[np.arange(sizes.sum()) + np.repeat(a - offset, sizes)]
+            ids, counts = self._merged(raw, sizes)
             place = np.stack([len(self.pool) + np.cumsum(counts) - counts, counts], 1)
             self.pool = np.concatenate([self.pool, ids])
             known = np.concatenate([self.known, hashes[new]])
@@ -210,14 +252,9 @@ class Encoder:
             self.place = np.concatenate([self.place, place])[order]
             at = np.searchsorted(self.known, hashes)
         if (self.check[at[which]] != check).any():  # two words with one hash
-            return [self._by_word(t.decode()) for t in texts]
-        place = self.place[at[which]]
-        size = place[:, 1]
-        stop = np.cumsum(size)
-        flat = self.pool[np.arange(stop[-1]) + np.repeat(place[:, 0] - (stop - size), size)]
-        words_before = np.searchsorted(start, ends)
-        cuts = np.concatenate([[0], stop])[words_before]
-        return np.split(flat, cuts[:-1])
+            return False
+        out[rows] = self.place[at[which]]
+        return True
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words one after another, and each word's number of ids."""

@@ -230,6 +230,36 @@ def test_encoding_of_random_texts(library):
     assert [g.tolist() for g in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def thue_morse(n, pair):
+    return "".join(pair[i.bit_count() & 1] for i in range(n))
+
+
+def test_words_are_known_by_their_bytes(spark, library):
+    """Thue-Morse words and their complements collide in any polynomial hash modulo a power of two."""
+    texts = [thue_morse(n, p) for n in (8, 16, 17, 64, 256, 257, 512, 1024, 2048, 4096) for p in ("ab", "ba")]
+    texts += [f"{a} {b}" for a in texts[:6] for b in texts[:6]]
+    got = bpe.Encoder(VOCABULARY).encode(texts)
+    assert [g.tolist() for g in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    docs = spark.createDataFrame(list(enumerate(texts[14:18])), "doc_id long, text string")
+    found = {r["doc_id"]: r["ids_sha256"] for r in bpe.digests(docs.coalesce(1), VOCABULARY).collect()}
+    exp = [library.encode(t, add_special_tokens=False).ids for t in texts[14:18]]
+    assert found == {i: brute.sha(" ".join(map(str, ids))) for i, ids in enumerate(exp)}
+
+
+@pytest.mark.parametrize("words", [400_000, 300])
+def test_many_random_texts(library, monkeypatch, words):
+    """100,000 texts of short and long words through one encoder, whose caches start anew at times."""
+    monkeypatch.setattr(bpe, "CACHE_WORDS", words)
+    monkeypatch.setattr(bpe, "_LONG_WORDS", max(5, words // 100))
+    rng = random.Random(12)
+    model, count = bpe.Encoder(VOCABULARY), 100_000 if words > 1000 else 5000
+    pool = ["".join(rng.choice("abcdefgeeennrst\x00éü'") for _ in range(rng.choice([1, 3, 7, 15, 16, 17, 30, 300]))) for _ in range(1000)]
+    for at in range(0, count, 1000):
+        texts = [" ".join(rng.choice(pool) for _ in range(rng.randrange(5))) + str(at) for _ in range(1000)]
+        got = model.encode(texts)
+        assert [g.tolist() for g in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_cuts_are_where_no_token_joins():
     model = bpe.encoder(VOCABULARY)
     inside = {(a, b) for t in model.vocab for a, b in zip(t.removesuffix(model.end), t.removesuffix(model.end)[1:])}
