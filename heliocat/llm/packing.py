@@ -1,6 +1,8 @@
 """Lexical retrieval packing of documents into windows of a fixed number of tokens.
 
-Documents are dealt to shards of bounded size, those with the same rare token together. Each
+Documents are dealt to shards of bounded size, those with the same rare token together: a random
+order in which a token comes early the rarer its place in the vocabulary makes it likely to be
+(byte pairs are merged by their frequency, so rarity grows as the logarithm of the place). Each
 shard has a BM25 inverted index over token ids, with document frequencies and mean length of
 the whole corpus. A seed document queries it; its unused neighbours, best first, fill the rest
 of its window. A document that crosses the end of a window is cut there and seeds the next
@@ -14,13 +16,14 @@ empty table gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import encoder
-from .common import documents, give_back, per_batch, written
+from .common import documents, give_back, slices, written
 
 WINDOW = 2048
 END = 1
@@ -34,66 +37,59 @@ PIECES = (
 
 
 def tokenised(docs: DataFrame, path: str, end: int = END) -> DataFrame:
-    """doc_id, n, ids (little-endian, two bytes each if the vocabulary allows, else four)."""
+    """doc_id, n, ids (little-endian, two bytes each if the vocabulary allows, else four), key, df.
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+    ``key`` is the document's token that is first in ``_order``. The last row of a task has only
+    ``df``: in how many of its documents each token stands.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder(path)
-        kind = _kind(model)
-        ids = [np.append(x, end).astype(kind) for x in model.encode(batch["text"].to_pylist())]
-        return pa.record_batch(
-            {
-                "doc_id": batch["doc_id"],
-                "n": pa.array([len(x) for x in ids], pa.int64()),
-                "ids": pa.array([x.tobytes() for x in ids], pa.binary()),
-            }
-        )
+        kind, size = _kind(model), max([*model.token, end]) + 1
+        order, seen = _order(size), np.zeros(size, np.int64)
+        token_at = np.argsort(order)
+        for batch in slices(batches):
+            ids, keys = [np.append(x, end).astype(kind) for x in model.encode(batch["text"].to_pylist())], []
+            for x in ids:
+                terms = np.unique(x)
+                seen[terms] += 1
+                keys.append(token_at[order[terms].min()])
+            yield pa.record_batch(
+                {
+                    "doc_id": batch["doc_id"],
+                    "n": pa.array([len(x) for x in ids], pa.int64()),
+                    "ids": pa.array([x.tobytes() for x in ids], pa.binary()),
+                    "key": pa.array(keys, pa.int32()),
+                    "df": pa.nulls(len(ids), pa.list_(pa.int64())),
+                }
+            )
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()))
+        last = [pa.array([x], k) for x, k in zip((None, None, None, None, seen), kinds)]
+        yield pa.record_batch(last, ["doc_id", "n", "ids", "key", "df"])
+        give_back()
 
-    return docs.mapInArrow(per_batch(work), "doc_id long, n long, ids binary")
+    return docs.mapInArrow(run, "doc_id long, n long, ids binary, key int, df array<long>")
 
 
-def _kind(model) -> str:
-    return "<u2" if max(model.token) < 1 << 16 else "<u4"
+def _order(size: int) -> np.ndarray:
+    """Each token's place in a random order, weighted by the logarithm of its place in the vocabulary."""
+    drawn = np.random.default_rng(7).exponential(size=size) / np.log(np.arange(size) + 2.0)
+    return np.argsort(np.argsort(drawn))
 
 
-def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a batch, and where each row's begin."""
-    raw = column.to_pylist()
-    sizes = np.array([len(x) for x in raw], np.int64) // np.dtype(kind).itemsize
-    return np.frombuffer(b"".join(raw), kind), np.cumsum(sizes) - sizes
+def _kind(model) -> str:
+    return "<u2" if max(model.token) < 1 << 16 else "<u4"
 
 
-def document_frequencies(table: DataFrame, size: int, kind: str) -> np.ndarray:
+def document_frequencies(table: DataFrame, size: int) -> np.ndarray:
     """In how many documents each token stands; as many numbers as the vocabulary has tokens."""
-
-    def count(batches):
-        seen = np.zeros(size, np.int64)
-        for batch in batches:
-            for raw in batch["ids"].to_pylist():
-                seen[np.unique(np.frombuffer(raw, kind))] += 1
-        term = np.flatnonzero(seen)
-        if len(term):
-            yield pa.record_batch({"term": pa.array(term), "df": pa.array(seen[term])})
-
     out = np.zeros(size, np.int64)
-    found = table.select("ids").mapInArrow(count, "term long, df long")
-    for term, df in found.groupBy("term").agg(F.sum("df")).collect():
+    counts = table.select(F.posexplode("df").alias("term", "df")).where("df > 0")
+    for term, df in counts.groupBy("term").agg(F.sum("df")).collect():
         out[term] = df
     return out
 
 
-def _with_key(table: DataFrame, order: np.ndarray, kind: str) -> DataFrame:
-    """Adds ``key``: the document's token that is first in ``order``, which favours rare ones."""
-    token_at = np.argsort(order).astype(np.int32)
-    shared = table.sparkSession.sparkContext.broadcast((order, token_at))
-
-    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
-        order, token_at = shared.value
-        flat, starts = _flat(batch["ids"], kind)
-        return batch.append_column("key", pa.array(token_at[np.minimum.reduceat(order[flat], starts)]))
-
-    return table.mapInArrow(per_batch(add, "ids"), f"{table._jdf.schema().toDDL()}, key int")
-
-
 def _deal(tokens: list[tuple[int, int]], most: int) -> list[tuple[int, int, int]]:
     """(key, first shard, number of shards): small keys share a shard, large ones have several."""
     out, shard, filled = [], 0, 0
@@ -204,13 +200,11 @@ def pack(
     table = tokenised(documents(docs, text, key), path)
     # the row number spreads the rows of a large key; it is fixed once the table is written
     table = written(table.withColumn("row_no", F.monotonically_increasing_id()))
-    n_docs, n_tokens = table.agg(F.count("*"), F.sum("n")).first()
-    df = document_frequencies(table, size, kind)
+    n_docs, n_tokens = table.agg(F.count("n"), F.sum("n")).first()
+    df = document_frequencies(table, size)
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5)) if n_docs else np.zeros(size)
     mean_length = (n_tokens or 1) / max(n_docs, 1)
-    rng = np.random.default_rng(7)
-    order = np.argsort(np.argsort(rng.exponential(size=size) / np.maximum(idf, 1e-9))).astype(np.int32)
-    keyed = _with_key(table, order, kind)
+    keyed = table.drop("df").where("n IS NOT NULL")
     tokens = [tuple(r) for r in keyed.groupBy("key").agg(F.sum("n")).collect()]  # a row per token at most
     plan = spark.createDataFrame(_deal(tokens, shard_tokens), "key int, first long, parts long")
     spread = F.pmod(F.xxhash64("row_no"), "parts")
