@@ -113,6 +113,38 @@ def marginals(emission: np.ndarray, doc: np.ndarray, trans: np.ndarray) -> np.nd
     return out / out.sum(axis=1, keepdims=True)
 
 
+def transitions(emission: np.ndarray, doc: np.ndarray, trans: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Expected transitions of several chains, each weighted by its left word; the start counts by its shares.
+
+    A pair of neighbours has the probability forward state x transition x emission x backward
+    state, scaled to 1. The chains are short, as they are all held at once.
+    """
+    total, size = emission.shape
+    starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    length = np.diff(starts, append=total)
+    n, steps = len(starts), int(length.max())
+    row = np.repeat(np.arange(n), length)
+    col = np.arange(total) - starts[row]
+    e, there, w = np.ones((n, steps, size)), np.zeros((n, steps), bool), np.zeros((n, steps))
+    e[row, col], there[row, col], w[row, col] = emission, True, weight
+    ahead = np.empty((n, steps, size))
+    state = np.ones((n, size))
+    for t in range(steps):
+        state = _scaled((state @ trans) * e[:, t])
+        ahead[:, t] = state
+    back = np.ones((n, size))
+    out = np.zeros((size, size))
+    for t in reversed(range(steps - 1)):
+        after = e[:, t + 1] * back
+        pair = ahead[:, t, :, None] * trans * after[:, None, :]
+        pair *= (w[:, t] * there[:, t + 1] / pair.sum(axis=(1, 2)))[:, None, None]
+        out += pair.sum(axis=0)
+        back = np.where(there[:, t + 1, None], _scaled(after @ trans.T), back)
+    first = ahead[:, 0] * back
+    first *= (w[:, 0] / first.sum(axis=1))[:, None]
+    return out + trans / trans.sum(axis=0) * first.sum(axis=0)
+
+
 def _scaled(x: np.ndarray) -> np.ndarray:
     return x / x.max(axis=1, keepdims=True)
 
@@ -225,8 +257,10 @@ def fit(rows: list[tuple[str, str]], seed: int = 5) -> Model | None:
     # how often a language's words appear must not decide: each language weighs the same
     weight = (1 / np.bincount(gold, minlength=size) / size).astype(np.float64)[gold]
     same = chain[1:] == chain[:-1]
+    starts = np.flatnonzero(np.concatenate([[True], ~same]))
     squares = [np.full(x.shape, 1e-8) for x in (model.grams, model.in_lexicon, model.bias, model.trans)]
     onehot = np.eye(size)[gold]
+    seen = (onehot[:-1][same] * weight[:-1][same, None]).T @ onehot[1:][same]
     for _ in range(ROUNDS):
         scores = model.word_scores(types)
         e = np.exp(np.maximum(scores - scores.max(axis=1, keepdims=True), -30))[token].astype(np.float64)
@@ -238,11 +272,9 @@ def fit(rows: list[tuple[str, str]], seed: int = 5) -> Model | None:
         for bucket, ok in zip(grams, valid):
             for k in range(size):
                 slope[:, k] += np.bincount(bucket[ok], by_type[owner[ok], k], minlength=BUCKETS)
-        # expected transitions under the field against those seen; neighbours taken as a pair
-        left, right, w = p[:-1][same], p[1:][same], weight[:-1][same]
-        norm = ((left @ trans) * right).sum(axis=1)
-        seen = (onehot[:-1][same] * w[:, None]).T @ onehot[1:][same]
-        moved = seen - trans * ((left * (w / norm)[:, None]).T @ right)
+        # transitions seen against those expected under the field; a start is one from any label
+        begun = (onehot[starts] * weight[starts, None]).sum(axis=0)
+        moved = seen + trans / trans.sum(axis=0) * begun - transitions(e, chain, trans, weight)
         slopes = (slope, member.T @ by_type, by_type.sum(axis=0), moved)
         for value, square, g in zip((model.grams, model.in_lexicon, model.bias, model.trans), squares, slopes):
             square += g * g
