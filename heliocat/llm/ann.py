@@ -34,6 +34,8 @@ PROBE, PROBE_LEAST = 0.45, 3000
 #: Entries of a cell on average, and the most centroids of a half.
 CELL_ROWS, MOST_CENTROIDS = 3, 256
 BLOCK_VECTORS, BLOCK_QUERIES = 4000, 2000
+#: Walks of a task, until there are MOST_TASKS such tasks.
+WALKS, MOST_TASKS = 50, 4096
 
 
 def usable(df: DataFrame, vector: str, key: str) -> DataFrame:
@@ -105,8 +107,10 @@ def search(
     size, n = len(first["vec"]), rows.count()
     half = (size + 1) // 2
     bound = max(1, min(SAMPLE, SAMPLE_FLOATS // size))
-    sample = rows.orderBy(F.xxhash64("vec_id", "vec"), "vec_id").limit(bound)
-    points = np.array([r["vec"] for r in sample.select("vec").collect()])
+    # by a bound on a uniform hash, so that what is sent does not grow with the tasks
+    limit = int(min(1.0, bound / n) * 2.0**64) - (1 << 63) - 1
+    sample = rows.select("vec", F.xxhash64("vec_id", "vec").alias("h")).where(F.col("h") <= F.lit(limit)).collect()
+    points = np.array([r["vec"] for r in sorted(sample, key=lambda r: (r["h"], r["vec"]))[:bound]])
     wide = int(min(MOST_CENTROIDS, max(1, round((n / CELL_ROWS) ** 0.5))))
     halves = [centroids(points[:, :half], wide), centroids(points[:, half:], wide)]
     model = spark.sparkContext.broadcast(halves)
@@ -147,7 +151,10 @@ def search(
 
     queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vec").alias("vec"))
     schema = "band int, cols array<int>, query_id long, query array<double>"
-    visits = written(queries.repartition("vec_id").mapInArrow(visit, schema))
+    queries = written(queries)
+    # by a count of its own, so that adaptive execution does not put all walks into one task
+    tasks = min(MOST_TASKS, -(-queries.count() // WALKS) or 1)
+    visits = written(queries.repartition(tasks, "vec_id").mapInArrow(visit, schema))
     in_band = {i: int(c) for i, c in enumerate(counts.sum(axis=1)) if c}
     asked = {r["band"]: r["m"] for r in visits.groupBy("band").agg(F.count("*").alias("m")).collect()}
     parts = [(i, -(-c // BLOCK_VECTORS), -(-asked[i] // BLOCK_QUERIES)) for i, c in in_band.items() if i in asked]

@@ -160,6 +160,39 @@ def test_marginals_equal_the_plain_chain():
         assert np.allclose(p / p.sum(axis=1, keepdims=True), got[doc == d])
 
 
+def test_transition_gradient_by_finite_differences():
+    """Seen less expected transitions are the slope of the chains' log-likelihood."""
+    rng = np.random.default_rng(2)
+    sizes = [64, 1, 17, 2]
+    doc = np.repeat(np.arange(4), sizes)
+    e, theta, gold = rng.random((84, 4)) + 0.05, rng.normal(size=(4, 4)), rng.integers(0, 4, 84)
+
+    def likelihood(theta):
+        total = 0.0
+        for d in range(4):
+            x, y = e[doc == d], gold[doc == d]
+            state = np.ones(4)
+            scale = 0.0
+            for row in x:
+                state = (state @ np.exp(theta)) * row
+                scale += np.log(state.sum())
+                state /= state.sum()
+            path = np.log(np.exp(theta)[:, y[0]].sum()) + np.log(x[np.arange(len(y)), y]).sum() + theta[y[:-1], y[1:]].sum()
+            total += path - scale
+        return total
+
+    trans, onehot = np.exp(theta), np.eye(4)[gold]
+    same = doc[1:] == doc[:-1]
+    starts = np.flatnonzero(np.concatenate([[True], ~same]))
+    seen = onehot[:-1][same].T @ onehot[1:][same] + trans / trans.sum(axis=0) * onehot[starts].sum(axis=0)
+    slope = seen - language_id.transitions(e, doc, trans, np.ones(84))
+    for i in range(4):
+        for j in range(4):
+            step = np.zeros((4, 4))
+            step[i, j] = 1e-5
+            assert abs((likelihood(theta + step) - likelihood(theta - step)) / 2e-5 - slope[i, j]) < 1e-4
+
+
 def test_quality(spark, docs, data):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     labels = labels.unionByName(spark.createDataFrame([(None, 1, 0), (900001, None, 0)], labels.schema))
@@ -325,6 +358,44 @@ def test_packing(docs, data, library, shard_tokens):
     assert all(n >= 1 for n in pieces.values())
 
 
+def greedy(docs, idf, mean_length, window):
+    """Plain BM25: a seed's best unused neighbours fill the rest of its window; who crosses its end seeds the next."""
+    unused, order, filled = list(range(len(docs))), [], 0
+
+    def score(query, doc):
+        counts = Counter(docs[doc].tolist())
+        norm = packing.K1 * (1 - packing.B + packing.B * len(docs[doc]) / mean_length)
+        return sum(idf[t] * counts[t] * (packing.K1 + 1) / (counts[t] + norm) for t in set(docs[query].tolist()) if counts[t])
+
+    while unused:
+        if not filled:
+            order.append(unused.pop(0))
+            filled = len(docs[order[-1]]) % window
+            continue
+        seed = order[-1]
+        for doc in sorted(unused, key=lambda d: (-round(score(seed, d), 9), d)):
+            unused.remove(doc)
+            order.append(doc)
+            filled += len(docs[doc])
+            if filled >= window:
+                filled %= window
+                break
+        else:
+            return order
+    return order
+
+
+def test_packing_order_against_plain_greedy():
+    rng = np.random.default_rng(9)
+    for window in (40, 100):
+        docs = [rng.zipf(1.3, rng.integers(1, 70)) % 200 for _ in range(70)]
+        df = np.zeros(200)
+        for d in docs:
+            df[np.unique(d)] += 1
+        idf = np.log1p((70 - df + 0.5) / (df + 0.5))
+        assert packing.packing_order(docs, idf, 35.0, window) == greedy(docs, idf, 35.0, window)
+
+
 def test_neighbours_fill_the_seeds_window():
     rng = np.random.default_rng(8)
     topics = [rng.integers(k * 100, k * 100 + 100, 4000) for k in range(5)]

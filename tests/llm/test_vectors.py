@@ -41,12 +41,21 @@ def test_few_and_none(spark):
 
 
 def test_recall(spark):
+    """The given vectors and as many again turned and shifted, so that the cells left out count: defaults."""
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
-    got = ann.search(df, probe=0.45, probe_least=10).collect()
-    found = {(r["query_id"], r["vec_id"]) for r in got}
-    exp = {(q, i) for q, _, i, _ in brute(rows, 100, 10)}
-    assert len(found & exp) / len(exp) > 0.8  # of 2,000 rows; 0.9 and more with the default least number
+    rows = np.array([r["embedding"] for r in df.orderBy("vec_id").collect()])
+    rng = np.random.default_rng(4)
+    turns = [np.linalg.qr(rng.normal(size=(rows.shape[1],) * 2))[0] for _ in range(4)]
+    every = np.concatenate([rows, *(rows @ t for t in turns)])
+    assert ann.PROBE * len(every) > ann.PROBE_LEAST  # else all is reranked
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(every.tolist())], "vec_id long, embedding array<double>")
+    found = {(r["query_id"], r["vec_id"]) for r in ann.search(table).collect()}
+    exp = set()
+    for q in range(0, len(every), 100):
+        d = np.sqrt(((every - every[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        exp |= {(q, int(i)) for i in np.lexsort((np.arange(len(every)), d))[:10]}
+    assert len(found & exp) / len(exp) >= 0.9
 
 
 def test_walk_is_by_summed_distance():
