@@ -9,7 +9,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from heliocat.commits import CommitLog, Files, State
-from heliocat.functions.times import seconds_since
+from heliocat.functions.times import exact_seconds_since, seconds_since
 from heliocat.operators.merge import assign_ids, has_key, insert_ignore, last_of_feeds, merge_feeds
 from heliocat.operators.paging import newest_first, page_offset
 from heliocat.operators.predicates import all_of, between, moment
@@ -154,7 +154,8 @@ class KeyedTable:
         first, and how many rows of other files lie above them. Files are found by their counts.
         """
         listed = self._parts("files", self._log.latest(), _FILES)
-        micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+        # as numbers that do not depend on the session's zone
+        micros = lambda c: (exact_seconds_since(F.col(c)) * 1_000_000).cast("long")
         places = listed.select("file", "rows", (-micros("last")).alias("top"), (-micros("first")).alias("end"))
         above = Window.orderBy("top").rangeBetween(Window.unboundedPreceding, -1)
         whole = Window.orderBy("end").rangeBetween(Window.unboundedPreceding, Window.currentRow)
