@@ -497,6 +497,7 @@ def load_counts(spark, d):
     rows = _catalog_batch(spark, d)
     # every fiftieth row does not fit the table
     rows = rows.withColumn("source", F.when(F.col("seq") % 50 != 0, F.col("source")).otherwise("?"))
+    rows = _stored(rows, _scratch(spark))
     steps = [
         ("dry run", table.count_fresh(rows)),
         ("load", table.insert_ignore(rows)),
@@ -507,6 +508,12 @@ def load_counts(spark, d):
     return spark.createDataFrame(counts, "step string, read long, inserted long, rejected long")
 
 
+def _stored(rows: DataFrame, path: str) -> DataFrame:
+    """Rows written once, so that what reads them several times does not compute them anew."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _keyed_batch(spark, d) -> DataFrame:
     """Incoming events for a table whose key may have a null; each twice, with one place for all."""
     _, incoming = ad.existing_and_incoming(ad.table(spark, d, "events"))
@@ -596,7 +603,7 @@ def refused_documents(spark, d):
         .when(number % 17 != 0, F.col("value"))
     )
     docs = ad.documents(ad.table(spark, d, "events")).withColumn("value", text)
-    rows = latest_events(docs, keep=("event_id",), refused=True)
+    rows = _stored(latest_events(docs, keep=("event_id",), refused=True), _scratch(spark))
     table.insert_ignore(normalise.normalise_latest(rows, keep=("event_id", "element")), ["event_id", "element"])
     kept = table.read_rejects("event_id long").filter("reject_reason LIKE 'document%'")
     reasons = kept.groupBy(F.col("reject_reason").alias("what")).agg(F.count("*").alias("documents"))
