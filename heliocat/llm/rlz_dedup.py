@@ -5,8 +5,8 @@ in the order of its documents' ids. A segment is factored greedily against the b
 all windows of earlier segments: where an indexed window starts, the factor is extended as far
 as the words agree; behind a factor the windows that straddle its end are looked up too. Words
 no factor covers enter the index. Factors that point into a smaller document become spans to
-remove. An anchor too large for one block has several, and every open window is matched against
-all of them by its digest.
+remove. An anchor too large for one block has several; each gives its indexed windows as a sorted
+run of 128-bit digests, and every block's windows are looked up in all the others' by binary search.
 
 Defined results. Words are runs of anything but the six ASCII white spaces, unchanged; null and
 empty texts have none. A window counts only if a document with a smaller id has it: the first

@@ -4,8 +4,9 @@ A window is a fixed number of consecutive units (bytes or words). Its anchor is
 of the grams in it, so equal windows have equal anchors wherever they stand. Consecutive
 windows with one anchor form a segment. Only segments whose anchor occurs more than once can
 hold a repeated window; all segments of an anchor go to one shard, which compares them
-exactly. An anchor with more text than a shard takes is split into several shards; what they
-don't find within themselves is matched across them by window digests.
+exactly. An anchor with more text than a shard takes is split into several shards. Each of them
+gives its windows as one sorted run of digests, cut into ranges; the runs of a range are merged by
+binary search, and what was found goes back to the shards as numbers of their windows.
 
 A row is known by 128 bits of its id and text, so no stored row number is needed and equal rows
 get equal results.
@@ -16,12 +17,17 @@ from __future__ import annotations
 import hashlib
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import KEY, attach, content_key, give_back, per_batch, range_hashes, runs, union, written
 
 #: Bytes of segments that one shard compares.
 SHARD_BYTES = 3 << 20
+#: Ranges of digests per shard of a split anchor; more make the merging tasks smaller.
+RANGES = 4
+#: A shard's window in a sorted run: its digest and number, the least document and times (2: or more).
+ENTRY = np.dtype([("digest", "S16"), ("window", "<i4"), ("times", "<i4"), ("doc", "<i8")])
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -138,7 +144,8 @@ def repeated(docs: DataFrame, matcher: Matcher, shard_bytes: int = SHARD_BYTES):
         anchors = grouped.agg(*total, F.sum("seen").alias("seen")).where("seen > 1")
     parts = F.ceil(F.col("all_bytes") / shard_bytes).cast("int")
     anchors = written(anchors.select("anchor", "n", "all_bytes", parts.alias("parts")))
-    found_bytes = anchors.agg(F.sum("all_bytes")).first()[0] or 0
+    found_bytes, most_parts = anchors.agg(F.sum("all_bytes"), F.max("parts")).first()
+    found_bytes = found_bytes or 0
     shards = max(1, -(-found_bytes // shard_bytes))
     marked = attach(posts.select(*KEY, "anchor", "first", "last"), anchors.drop("all_bytes"), ["anchor"])
     wanted = marked.groupBy(*KEY).agg(F.collect_set(F.struct("anchor", "first", "last", "parts")).alias("posts"))
@@ -170,7 +177,7 @@ def repeated(docs: DataFrame, matcher: Matcher, shard_bytes: int = SHARD_BYTES):
             "bucket": F.when(split, F.col("anchor")).otherwise(F.pmod("anchor", F.lit(shards))),
             "part": F.when(split, 1 + F.pmod(F.xxhash64(*KEY, "first"), "parts")).otherwise(0).cast("int"),
         }
-    ).drop("parts")
+    )
 
     def compare(group: pa.Table) -> pa.Table:
         try:
@@ -178,23 +185,73 @@ def repeated(docs: DataFrame, matcher: Matcher, shard_bytes: int = SHARD_BYTES):
         finally:
             give_back()
 
-    result = "key_a long, key_b long, start long, stop long, digest binary, doc long"
+    result = "key_a long, key_b long, start long, stop long, bucket long, part int, range int, body binary"
     found = written(dealt.groupBy("bucket", "part").applyInArrow(compare, result))
-    spans = found.where("digest IS NULL").select(*KEY, "start", "stop")
-    # split anchors: windows that one shard did not match may have their match in another
-    crossing = found.where("digest IS NOT NULL")
-    met = crossing.groupBy("digest").agg(F.min("doc").alias("least"), F.count("*").alias("n"))
-    across = crossing.where("key_a IS NOT NULL").join(met.where("n > 1"), "digest")
-    if matcher.between:
-        across = across.where("least < doc")
-    return table.drop("posts"), touched.drop("posts"), spans.unionByName(across.select(*KEY, "start", "stop"))
+    spans = found.where("bucket IS NULL").select(*KEY, "start", "stop")
+    if (most_parts or 0) > 1:
+        spans = spans.unionByName(across(found.where("bucket IS NOT NULL"), matcher))
+    return table.drop("posts"), touched.drop("posts"), spans
+
+
+def across(found: DataFrame, matcher: Matcher) -> DataFrame:
+    """The spans that shards of a split anchor repeat of one another."""
+    between, window = matcher.between, matcher.window
+
+    def look_up(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        runs_ = [np.frombuffer(b, ENTRY) for b in group["body"].to_pylist()]
+        whole, out = merged(runs_), []
+        for run in runs_:
+            held = whole[np.searchsorted(whole["digest"], run["digest"])]
+            again = held["doc"] < run["doc"] if between else (held["times"] > 1) & (run["times"] == 1)
+            out.append(run["window"][again].tobytes())
+        bodies = pa.chunked_array([pa.array(out, pa.binary())])
+        table = pa.table({"bucket": group["bucket"], "part": group["part"], "body": bodies})
+        return table.filter(pc.greater(pc.binary_length(table["body"]), 0))
+
+    def give(opened: pa.Table, windows: pa.Table) -> pa.Table:
+        numbers = np.frombuffer(b"".join(windows["body"].to_pylist()), "<i4")
+        rows, starts, stops = [], [], []
+        for i, body in enumerate(opened["body"].to_pylist() if len(numbers) else ()):
+            at = opened["start"][i].as_py()
+            for a, b in zip(*runs(np.isin(np.frombuffer(body, "<i4"), numbers))):
+                rows.append(i), starts.append(at + int(a)), stops.append(at + int(b) - 1 + window)
+        taken = {c: opened[c].take(pa.array(rows, pa.int64())) for c in KEY}
+        return pa.table(taken | {"start": pa.array(starts, pa.int64()), "stop": pa.array(stops, pa.int64())})
+
+    sorted_runs = found.where("range IS NOT NULL").select("bucket", "part", "range", "body")
+    windows = sorted_runs.groupBy("bucket", "range").applyInArrow(look_up, "bucket long, part int, body binary")
+    opened = found.where("range IS NULL").select("bucket", "part", *KEY, "start", "body")
+    both = opened.groupBy("bucket", "part").cogroup(windows.groupBy("bucket", "part"))
+    return both.applyInArrow(give, "key_a long, key_b long, start long, stop long")
+
+
+def merged(sorted_runs: list[np.ndarray]) -> np.ndarray:
+    """One sorted run of several: digests once each, with the least document and all times (2: or more)."""
+    while len(sorted_runs) > 1:
+        odd = sorted_runs[len(sorted_runs) & ~1 :]
+        sorted_runs = [_merged(a, b) for a, b in zip(sorted_runs[::2], sorted_runs[1::2])] + odd
+    return sorted_runs[0]
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    if len(a) < len(b):
+        a, b = b, a
+    a, at = a.copy(), np.searchsorted(a["digest"], b["digest"])
+    held = at < len(a)
+    held[held] = a["digest"][at[held]] == b["digest"][held]
+    same, twin = at[held], b[held]
+    a["doc"][same] = np.minimum(a["doc"][same], twin["doc"])
+    a["times"][same] = np.minimum(a["times"][same] + twin["times"], 2)
+    return np.insert(a, at[~held], b[~held])
 
 
 def compared(group: pa.Table, matcher: Matcher) -> pa.Table:
     """The spans that a shard's segments repeat, and what a split anchor tells its other shards.
 
-    That is, for each window not found repeated here: its digest, document and place. Where
-    any second occurrence counts, each class of windows that did repeat gives one digest more.
+    That is a sorted run of the shard's windows, in ranges of digests, and for each segment the
+    numbers of its windows that no segment here repeats (-1 for the others). Such a window's
+    document is the least that the shard has it in.
     """
     group = group.combine_chunks()
     bodies, anchors = group["body"].to_pylist(), group["anchor"].to_pylist()
@@ -222,8 +279,8 @@ def compared(group: pa.Table, matcher: Matcher) -> pa.Table:
     np.minimum.at(lowest, flat, least[owner])
     class_of = dict(zip(order.tolist(), found))
     digests: dict[int, bytes] = {}
-    rows, starts, stops, marks = [], [], [], []
-    open_rows, open_at, open_digest = [], [], []
+    rows, starts, stops = [], [], []
+    open_rows, open_windows = [], []
     for i, d in enumerate(which.tolist()):
         at = int(first[i])
         if alone[d]:
@@ -236,25 +293,33 @@ def compared(group: pa.Table, matcher: Matcher) -> pa.Table:
         for a, b in zip(*runs(again)):
             rows.append(i), starts.append(at + int(a)), stops.append(at + int(b) - 1 + matcher.window)
         if split:
-            free = np.flatnonzero(~again)
-            told = free if matcher.between else np.arange(len(kind))  # classes other shards hear of
-            new = {c: k for k, c in zip(told.tolist(), kind[told].tolist()) if c not in digests}
+            new = {c: k for k, c in enumerate(kind.tolist()) if c not in digests}
             for c, window in zip(new, matcher.windows(bodies[i], list(new.values()))):
                 digests[c] = hashlib.blake2b(window, digest_size=16).digest()
-            open_rows += [i] * len(free)
-            open_at += (at + free).tolist()
-            open_digest += [digests[c] for c in kind[free].tolist()]
-    if split and not matcher.between:
-        marks = [digests[c] for c in np.flatnonzero(seen > 1).tolist()]
+            if not again.all():
+                open_rows.append(i)
+                open_windows.append(np.where(again, -1, kind).astype("<i4").tobytes())
+    run = np.zeros(len(digests), ENTRY)
+    run["window"], run["digest"] = list(digests), list(digests.values())
+    run["doc"], run["times"] = lowest[run["window"]], np.minimum(seen[run["window"]], 2)
+    run = run[np.argsort(run["digest"])]
+    ranges = group["parts"][0].as_py() * RANGES
+    range_of = run["digest"].copy().view(">u4")[::4].astype(np.int64) * ranges >> 32
+    cuts = np.flatnonzero(np.diff(range_of, prepend=-1, append=ranges))
+    pieces = [run[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+
     at = pa.array(rows + open_rows, pa.int64())
-    blank = [None] * len(marks)
+    no_rows, no_spans, no_pieces = [None] * len(rows), [None] * len(open_rows), [None] * len(pieces)
+    shard = len(open_rows) + len(pieces)
     return pa.table(
-        {c: pa.chunked_array([*group[c].take(at).chunks, pa.nulls(len(marks), pa.int64())], pa.int64()) for c in KEY}
+        {c: pa.chunked_array([*group[c].take(at).chunks, pa.nulls(len(pieces), pa.int64())], pa.int64()) for c in KEY}
         | {
-            "start": pa.array(starts + open_at + blank, pa.int64()),
-            "stop": pa.array(stops + [x + matcher.window for x in open_at] + blank, pa.int64()),
-            "digest": pa.array([None] * len(rows) + open_digest + marks, pa.binary()),
-            "doc": pa.array([None] * len(rows) + doc[open_rows].tolist() + blank, pa.int64()),
+            "start": pa.array(starts + first[open_rows].tolist() + no_pieces, pa.int64()),
+            "stop": pa.array(stops + no_spans + no_pieces, pa.int64()),
+            "bucket": pa.array(no_rows + [group["bucket"][0].as_py()] * shard, pa.int64()),
+            "part": pa.array(no_rows + [group["part"][0].as_py()] * shard, pa.int32()),
+            "range": pa.array(no_rows + no_spans + range_of[cuts[:-1]].tolist(), pa.int32()),
+            "body": pa.array(no_rows + open_windows + pieces, pa.binary()),
         }
     )
 

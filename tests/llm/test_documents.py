@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from heliocat.llm import bpe, exact_dedup, language_id, packing, pii, quality, rlz_dedup, simhash, suffix_dedup
+from heliocat.llm import bpe, exact_dedup, language_id, packing, pii, quality, rlz_dedup, segments, simhash, suffix_dedup
 
 FOLDER = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -99,6 +99,23 @@ def test_suffix_arrays(docs, data, shard_bytes):
     assert counted(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.strings(data)
 
 
+def test_sorted_runs_of_shards_merge():
+    rng = random.Random(5)
+    plain, some = {}, []
+    for part in range(5):
+        run = np.zeros(rng.randrange(60), segments.ENTRY)
+        names = sorted(rng.sample([bytes([a, b]) * 7 + bytes([a, 0]) for a in range(9) for b in range(9)], len(run)))
+        run["digest"], run["window"] = names, range(len(run))
+        run["times"], run["doc"] = rng.choices([1, 2], k=len(run)), rng.sample(range(99), len(run))
+        some.append(run)
+        for name, times, doc in zip(names, run["times"].tolist(), run["doc"].tolist()):
+            before = plain.get(name, (0, doc))
+            plain[name] = min(before[0] + times, 2), min(before[1], doc)
+    whole = segments.merged(some)
+    found = zip(whole["digest"].tolist(), whole["times"].tolist(), whole["doc"].tolist())
+    assert [(d.ljust(16, b"\0"), n, m) for d, n, m in found] == [(d, *plain[d]) for d in sorted(plain)]
+
+
 def test_suffix_order_and_common_prefixes():
     rng = random.Random(2)
     text = bytes(rng.choice(b"ab\x00") for _ in range(600)) + b"abab" * 300
