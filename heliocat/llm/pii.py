@@ -8,7 +8,8 @@ account numbers behind a cue word (IBANs by their check digits).
 
 Spans are code points, the end exclusive. Of one kind they do not overlap; a candidate that
 fails its check is dropped and the search goes on behind it. Null and empty texts have no
-span; equal rows each get their result; other columns are ignored by ``spans``.
+span; equal rows each get their result; an empty table gives an empty result; other columns are
+ignored by ``spans`` and kept by ``redact``.
 """
 
 from __future__ import annotations

@@ -18,6 +18,7 @@ from . import (
     quality,
     rlz_dedup,
     simhash,
+    sql,
     suffix_dedup,
 )
 
@@ -123,6 +124,8 @@ QUERIES = {
 
 #: SQL with the same results, where SQL can express them.
 ORACLE = {
+    "op3_suffix_arrays": sql.SUFFIX_ARRAYS,
+    "op4_simhash_trie": sql.SIMHASH,
     "op6_chunk_recipes": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
         SELECT doc_id,
@@ -265,4 +268,5 @@ ORACLE = {
           SELECT *, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST) AS rank
           FROM scored WHERE score > 0)
         SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20""",
+    "op13_minhash_lists": sql.MINHASH,
 }
