@@ -96,24 +96,28 @@ def attach(rows: DataFrame, facts: DataFrame, on: list[str], count: str = "n") -
 
 
 def rows_of(docs: DataFrame, kept: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of ``docs``, with all its columns, for each row of ``kept`` (doc_id, sha: the text's SHA-256)."""
-    names, no_id = docs.columns, F.lit(-(1 << 63))  # stands for a null id
-    kept = kept.select(F.coalesce("doc_id", no_id).alias("_id"), F.col("sha").alias("_sha"))
-    marked = docs.withColumns(
-        {
-            "_id": F.coalesce(F.col(key).cast("long"), no_id),
-            "_sha": F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256),
-        }
-    )
-    left = marked.join(kept, ["_id", "_sha"], "left_semi")
-    # of rows equal in id and text, which are rare, one stays
-    twins = written(
-        marked.groupBy("_id", "_sha").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    """One row of ``docs``, with all its columns, for each row of ``kept`` (doc_id, sha: the text's SHA-256).
+
+    Of rows equal in id and text the one stays whose other columns come first as JSON; an empty
+    text stands before a null one.
+    """
+    no_id, on = F.lit(-(1 << 63)), ["id", "sha"]  # stands for a null id
+    kept = kept.select(F.coalesce("doc_id", no_id).alias("id"), "sha")
+    # the row's own columns are one, so that their names cannot clash
+    marked = docs.select(
+        F.coalesce(F.col(key).cast("long"), no_id).alias("id"),
+        F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256).alias("sha"),
+        F.struct(*docs.columns).alias("row"),
     )
+    left = marked.join(kept, on, "left_semi")
+    # such rows are rare
+    twins = written(marked.groupBy(*on).agg(F.count("*").alias("n")).where("n > 1").drop("n"))
     if twins.isEmpty():
-        return left.select(*names)
-    one = left.join(twins, ["_id", "_sha"], "left_semi").dropDuplicates(["_id", "_sha"])
-    return left.join(twins, ["_id", "_sha"], "left_anti").select(*names).unionByName(one.select(*names))
+        return left.select("row.*")
+    others = F.to_json(F.struct(*[F.col("row")[c].alias(c) for c in docs.columns if c != text]))
+    place = F.struct(others, F.col("row")[text].isNull())
+    one = left.join(twins, on, "left_semi").groupBy(*on).agg(F.min_by("row", place).alias("row"))
+    return left.join(twins, on, "left_anti").select("row.*").unionByName(one.select("row.*"))
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:

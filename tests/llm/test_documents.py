@@ -427,6 +427,33 @@ def test_neighbours_fill_the_seeds_window():
     assert np.mean([d % 5 == w[0] % 5 for w in windows for d in w[1:]]) > 0.75
 
 
+def test_text_of_many_megabytes(spark, docs, library):
+    """Long texts are worked on whole: what their last part holds counts."""
+    one = max((r["text"] for r in docs.where("lang = 'en'").select("text").collect()), key=len)
+    other = max((r["text"] for r in docs.where("lang = 'de'").select("text").collect()), key=len)
+    times = (4 << 20) // len(one) + 1
+    text = f"{one} " * times + f"{other} " * (3 * times * len(one) // len(other))
+    long = spark.createDataFrame([(1, text), (2, one)], "doc_id long, text string")
+    model = language_id.train(docs, F.lit(True))
+    assert [r["lang_pred"] for r in language_id.predict(long, model).orderBy("doc_id").collect()] == ["de", "en"]
+    scorer = quality.train(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"), F.lit(True))
+    assert all(0 <= r["score"] <= 1 for r in quality.score(long, scorer).collect())
+    ids = [*library.encode(text, add_special_tokens=False).ids, packing.END]
+    found = packing.pack(long, VOCABULARY).where("doc_id = 1").orderBy("start").collect()
+    assert sum(r["length"] for r in found) == len(ids) and {r["doc_tokens"] for r in found} == {len(ids)}
+    for r in found:
+        piece = np.array(ids[r["start"] : r["start"] + r["length"]], "<u4")
+        assert zlib.crc32(piece.tobytes()) == r["ids_crc32"]
+
+
+def test_ties_are_settled_the_same_way(spark, docs):
+    """Equal rows, and rows whose languages are as likely, get one result on every run."""
+    model = language_id.train(docs, F.lit(True))
+    rows = spark.createDataFrame([(i, "a b c 1 é") for i in range(40)], "doc_id long, text string")
+    found = {(r["lang_pred"], r["score"]) for n in (1, 4) for r in language_id.predict(rows.repartition(n), model).collect()}
+    assert len(found) == 1
+
+
 def test_empty_table(spark, docs):
     none = docs.limit(0)
     model = language_id.train(docs, F.lit(True))

@@ -13,7 +13,7 @@ from compare import connect, differences
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from heliocat.llm import language_id, packing, pii, queries, simhash
+from heliocat.llm import exact_dedup, language_id, packing, pii, queries, simhash
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -72,6 +72,29 @@ def test_near_stage_by_id_and_text(spark, shared_ids):
     assert Counter((i, brute.sha(t)) for i, t in brute.rows(left)) == Counter((i, brute.sha(t)) for i, t in expected)
 
 
+def test_kept_rows_keep_their_values(spark):
+    """Of rows equal in id and text one stays, the same however they lie; names used inside clash."""
+    rows = [
+        (1, "one", "fr", 7, 5), (1, "one", "de", 8, 4), (1, "one", "de", 9, 3), (0, "one", "de", 0, 0),
+        (2, None, "en", 1, 1), (2, "", "en", 1, 1), (None, "two", None, 2, 2), (None, "two", "en", 2, 2),
+        (3, "three", "en", 3, 3),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _id int, sha int")
+    expected = [(1, "one", "de", 8, 4), (2, "", "en", 1, 1), (3, "three", "en", 3, 3)]
+    for parts in (1, 4):
+        left = exact_dedup.drop_copies(docs.repartition(parts))
+        assert left.columns == docs.columns
+        found = [tuple(r) for r in left.collect()]
+        assert sorted(r for r in found if r[0]) == expected
+        # without a language the JSON begins with the number, which stands before the language's name
+        assert [r for r in found if not r[0]] == [(None, "two", None, 2, 2)]
+
+
+def test_run_of_an_empty_table(spark, tmp_path):
+    spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_run_equals_the_plain_versions(spark, shared_ids):
     docs = spark.read.parquet(f"{shared_ids}/documents.parquet")
     model = language_id.train(docs, queries.remainder(5) != 0)
