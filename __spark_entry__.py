@@ -20,7 +20,7 @@ from heliocat.functions.numeric import round_half_up  # noqa: E402
 from heliocat.functions.solar import add_sun_position  # noqa: E402
 from heliocat.operators import collapse, eras, merge, normalise, predicates, statistics  # noqa: E402
 from heliocat.operators.lookups import attach_indices  # noqa: E402
-from heliocat.plans import queries as q, series  # noqa: E402
+from heliocat.plans import loads, queries as q, series  # noqa: E402
 from heliocat.schemas import FLARES_KEY, conform_events  # noqa: E402
 from heliocat.session import shared_folder as _scratch  # noqa: E402
 from heliocat.sources import feeds, listing  # noqa: E402
@@ -106,6 +106,14 @@ def catalog_cut_counts(spark, d):
     return kept.select("kept", (every.scalar() - F.col("kept")).alias("removed"))
 
 
+def history_accounts(spark, d):
+    """What becomes of the rows of three sources when they are united, by source and reason."""
+    renamed = normalise.rename_catalog(ad.catalog(ad.table(spark, d, "orders")))
+    middle = renamed.agg(F.expr("CAST(max(ordinal) DIV 2 AS BIGINT)")).first()[0]
+    _, second, third = ad.eras(ad.table(spark, d, "orders"))
+    return loads.history_accounts(renamed, second, third, end_ordinal=middle, last_start=ad.ERA_CUT)
+
+
 def merge_eras(spark, d):
     parts = ad.eras(ad.table(spark, d, "orders"))
     return eras.merge_eras(*parts, last_start=ad.ERA_CUT).select(
@@ -678,6 +686,7 @@ _REGISTERED = [
     overlap_window,
     list_flares_filtered,
     catalog_cut_counts,
+    history_accounts,
     list_flares_far_page,
     list_flares_deep_page,
     list_flares_total,

@@ -462,6 +462,19 @@ ORACLE["catalog_cut_counts"] = f"""WITH {CATALOG}, middle AS (SELECT max(ordinal
 SELECT count(*) FILTER (ordinal < m) AS kept, count(*) FILTER (ordinal >= m) AS removed
 FROM catalog, middle WHERE {_ERA}"""
 
+ORACLE["history_accounts"] = f"""WITH {CATALOG}, middle AS (SELECT max(ordinal) // 2 AS m FROM catalog),
+all_flares AS (SELECT event_start FROM (WITH {FLARES} SELECT * FROM flares)),
+fates AS (
+  SELECT 'SWPC' AS source, CASE WHEN ordinal >= m THEN 'behind the catalog' WHEN event_peak IS NULL THEN 'without a peak'
+                                WHEN {_ERA} THEN 'offered' ELSE 'before the catalog' END AS fate
+  FROM catalog, middle
+  UNION ALL
+  SELECT 'GOES-16', CASE WHEN event_start < '1999-06-01' THEN 'offered' ELSE 'in the last era' END
+  FROM all_flares WHERE event_start >= '1997-01-01' AND event_start < '2000-01-01'
+  UNION ALL
+  SELECT 'GOES-19', 'offered' FROM all_flares WHERE event_start >= '1999-06-01')
+SELECT source, fate, count(*) AS events FROM fates GROUP BY source, fate"""
+
 ORACLE["list_flares_deep_page"] = f"""WITH {FLARES}
 SELECT * FROM flares ORDER BY event_start DESC, id DESC LIMIT 1000 OFFSET 8000"""
 

@@ -49,6 +49,16 @@ def rename_catalog(raw: DataFrame, formats: tuple = TIME_FORMATS) -> DataFrame:
     return hinted.withColumns(times).drop(*[f"_{c}" for c in _TIMES])
 
 
+def catalog_fate(end_ordinal: int | None = None, ordinal: str = "ordinal") -> Column:
+    """What ``normalise_catalog`` does with a row of the renamed catalog; rows to reject are offered."""
+    cuts = F.when(F.col("reject_hint").isNotNull(), "offered")
+    if end_ordinal is not None:
+        inside = F.coalesce(F.col(ordinal) < end_ordinal, F.lit(False))
+        cuts = F.when(~inside, "behind the catalog").when(F.col("reject_hint").isNotNull(), "offered")
+    cuts = cuts.when(F.col("event_peak").isNull(), "without a peak")
+    return cuts.when(F.col("event_peak") < utc(CATALOG_START), "before the catalog").otherwise("offered")
+
+
 def normalise_catalog(
     renamed: DataFrame,
     source: str = "SWPC",

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heliocat.constants import ARRAY_FILE_SUFFIX, CATALOG_END_ORDINAL
+from heliocat.constants import ARRAY_FILE_SUFFIX, CATALOG_END_ORDINAL, GOES_19_START
+from heliocat.functions.times import utc
 from heliocat.operators.collapse import StatusColumns, collapse_events
-from heliocat.operators.eras import merge_eras
+from heliocat.operators.eras import merge_eras, union_sources
 from heliocat.operators.merge import Feed, observations_to_events, refuse_repeats
 from heliocat.operators.normalise import (
+    catalog_fate,
     is_complete,
     label_source,
     normalise_catalog,
@@ -45,6 +47,27 @@ def unified_catalog(
     )
 
 
+def history_accounts(
+    catalog: DataFrame,
+    middle: DataFrame,
+    last: DataFrame,
+    end_ordinal: int | None = CATALOG_END_ORDINAL,
+    last_start: str = GOES_19_START,
+) -> DataFrame:
+    """source, fate, events: what becomes of every row of the three sources before the insert.
+
+    ``catalog`` is as ``rename_catalog`` gives it, the others as ``array_events`` does. The insert of
+    the united sources reads those of fate ``offered``; the others are cut, for the reason given.
+    """
+    early = F.when(F.col("event_start") < utc(last_start), "offered").otherwise("in the last era")
+    parts = [
+        catalog.select(F.lit("SWPC").alias("source"), catalog_fate(end_ordinal).alias("fate")),
+        middle.select("source", early.alias("fate")),
+        last.select("source", F.lit("offered").alias("fate")),
+    ]
+    return union_sources(*parts, rank=None).groupBy("source", "fate").agg(F.count("*").alias("events"))
+
+
 def links_to_fetch(
     pages: DataFrame, held: DataFrame, suffix: str = ARRAY_FILE_SUFFIX, refresh: bool = False
 ) -> DataFrame:

@@ -10,9 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from heliocat import commits
+from heliocat.operators.normalise import rename_catalog
 from heliocat.plans import loads
 from heliocat.plans.queries import latest_flare
 from heliocat.schemas import EVENTS, FLARES, OBSERVATIONS
+from heliocat.sources.catalog import read_catalog
 from heliocat.tables import InsertResult, KeyedTable, SnapshotTable, _last_of_each, observation_table, write_csv
 from test_operators import observation
 from test_sources import HEADER, STATUS, STATUS_DDL, catalog_line, event
@@ -311,6 +313,29 @@ def test_history(spark, table, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == table.read().count()
 
 
+def test_rows_that_the_eras_cut_are_counted(spark, tmp_path):
+    """Cut rows and offered ones are all rows of the sources; the offered are what an insert reads."""
+    peaks = [None, "1973-12-31 00:00:00", "1974-01-01 12:00:00", "2016-01-01 00:00:00", "no time", "2016-01-02 00:00:00"]
+    lines = [catalog_line("2016-01-01 00:00:00", p or "", "2016-01-01 01:00:00", "7e-6") for p in peaks]
+    (tmp_path / "catalog.dat").write_text("\n".join([HEADER, *lines]) + "\n")
+    raw = read_catalog(spark, str(tmp_path / "catalog.dat"), with_ordinal=True)
+    rows = spark.createDataFrame([(*r, i) for i, r in enumerate(STATUS)], STATUS_DDL).withColumn("background_flux", F.lit(0.0))
+    middle = rows.withColumn("time", F.col("time") + 6e8).unionByName(
+        rows.withColumns({"time": F.col("time") + 9e8, "flare_id": F.col("flare_id") + 10**6})
+    )
+    last = rows.withColumn("time", F.col("time") + 8e8)
+    events = loads.array_events(middle, "GOES-16"), loads.array_events(last, "GOES-19")
+    found = loads.history_accounts(rename_catalog(raw), *events, end_ordinal=5)
+    counts = {(r["source"], r["fate"]): r["events"] for r in found.collect()}
+    assert counts == {
+        ("SWPC", "without a peak"): 1, ("SWPC", "before the catalog"): 1, ("SWPC", "behind the catalog"): 1,
+        ("SWPC", "offered"): 3, ("GOES-16", "offered"): 4, ("GOES-16", "in the last era"): 4, ("GOES-19", "offered"): 4,
+    }
+    table = KeyedTable(spark, str(tmp_path / "flares")).create()
+    read = table.count_fresh(loads.unified_catalog(raw, middle, last, 5), loads.ARRIVAL).read
+    assert read == sum(n for (_, fate), n in counts.items() if fate == "offered")
+
+
 def test_lookup_feeds_in_turn(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "indices")).create()
     assert table.version() == 0 and table.read().isEmpty()
