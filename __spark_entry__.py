@@ -424,18 +424,18 @@ def stream_forget_repeats(spark, d):
 def poll_landed_documents(spark, d):
     """Documents landed as text files, polled into the table in small batches.
 
-    A landed file holds the elements of 200 documents as one array.
+    A landed file holds the elements of 200 documents as one array; all lie in one folder.
     """
     folder = _scratch(spark)
     target = KeyedTable(spark, f"{folder}/flares").create()
-    elements = F.regexp_extract("value", r"^\[(.*?)\]?$", 1)
+    elements = F.btrim("value", F.lit("[]"))
     arrays = (
         ad.documents(ad.table(spark, d, "events"))
         .groupBy(F.expr("event_id DIV 200").alias("part"))
-        .agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(elements)), ","), F.lit("]")).alias("value"))
+        .agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(elements)), ","), F.lit("]")).alias("value"))
     )
-    arrays.repartition("part").write.partitionBy("part").text(f"{folder}/landed")
-    poll_latest(spark, f"{folder}/landed/*", target, f"{folder}/checkpoint", None).start().awaitTermination()
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{folder}/landed")
+    poll_latest(spark, f"{folder}/landed", target, f"{folder}/checkpoint", None).start().awaitTermination()
     return target.read().select("event_start", "instrument")
 
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
+_BLANKS = " \t\r\n\f\v"
+
 
 def strip(text: Column) -> Column:
     """Trim all white space, not only blanks."""
@@ -11,8 +16,9 @@ def strip(text: Column) -> Column:
 
 
 def trim_blank(text: Column) -> Column:
-    """Trim ASCII white space; no pattern, so it is cheap on long text."""
-    return F.btrim(text, F.lit(" \t\r\n\f\v"))
+    """Trim ASCII white space; no pattern, and text without any at its ends is not gone through."""
+    at_an_end = reduce(or_, [f(blank) for blank in _BLANKS for f in (text.startswith, text.endswith)])
+    return F.when(at_an_end, F.btrim(text, F.lit(_BLANKS))).otherwise(text)
 
 
 def join_chars(chars: Column) -> Column:

@@ -17,6 +17,7 @@ from heliocat.operators.collapse import StatusColumns
 from heliocat.operators.merge import has_key
 from heliocat.operators.normalise import normalise_latest
 from heliocat.plans.loads import array_events
+from heliocat.session import list_in_few_tasks
 from heliocat.sources.latest_event import latest_events
 from heliocat.sources.status_rows import arrays_to_rows, finish
 from heliocat.tables import KeyedTable
@@ -34,6 +35,7 @@ def poll_trigger(seconds: int | None = POLL_SECONDS) -> dict:
 
 def read_document_stream(spark: SparkSession, path: str, max_files: int = 10_000) -> DataFrame:
     """Landed documents, at most ``max_files`` per micro-batch; the rest comes in the next."""
+    list_in_few_tasks(spark)
     return (
         spark.readStream.option("maxFilesPerTrigger", max_files)
         .text(path, wholetext=True)
@@ -83,6 +85,7 @@ def sync_arrays(
     Each file holds whole events, so they are collapsed inside the micro-batch of at most
     ``max_files`` files.
     """
+    list_in_few_tasks(spark)
     files = (
         spark.readStream.format(format)
         .schema(schema)

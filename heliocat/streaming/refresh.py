@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from heliocat.operators.collapse import StatusColumns
 from heliocat.plans.loads import array_events
+from heliocat.session import list_in_few_tasks
 from heliocat.sources.status_rows import arrays_to_rows, finish
 from heliocat.streaming.feeds import DOCUMENT_ORDER, latest_to_events
 from heliocat.tables import InsertResult, KeyedTable
@@ -48,6 +49,7 @@ def refresh(
     its files to the next.
     """
     spark, results = table.spark, []
+    list_in_few_tasks(spark)
     while True:
         pending = changed_files(landed_files(spark, folder, glob), table.read_ledger())
         first = pending.select("path", "length", F.unix_micros("modified").alias("micros"))

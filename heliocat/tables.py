@@ -341,13 +341,14 @@ class KeyedTable:
             .option("parquet.bloom.filter.adaptive.enabled", "true")
             .parquet(self._folder("data", name))
         )
-        lies = F.element_at(F.split("_metadata.file_path", f"/data/part={name}"), -1)
+        lies = F.element_at(F.split("_path", f"/data/part={name}"), -1)
         listed = (
             self.spark.read.schema(self._stored)
             .option("basePath", self._folder("data"))
             .parquet(self._folder("data", name))
-            .groupBy(F.concat(F.lit(f"part={name}"), lies).alias("file"))
+            .groupBy(F.col("_metadata.file_path").alias("_path"))
             .agg(F.count("*").alias("rows"), F.min(self.time).alias("first"), F.max(self.time).alias("last"))
+            .select(F.concat(F.lit(f"part={name}"), lies).alias("file"), "rows", "first", "last")
         )
         found = self._written(listed, "files", name).agg(F.sum("rows"), F.min("first"), F.max("last")).first()
         there = [name] if found[0] else []

@@ -11,6 +11,8 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F, types as T
 
+import __spark_entry__ as entry
+from heliocat.session import LISTING, LISTING_TASKS, list_in_few_tasks
 from heliocat.streaming.feeds import (
     drop_repeats,
     keep_running,
@@ -61,6 +63,42 @@ def test_polling(spark, table, tmp_path):
     assert {k[:2] for k in key(latest_to_events(docs))} == {k[:2] for k in expected}
 
 
+def widest_stage(spark, query):
+    """The most tasks of a stage of a streaming query."""
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(str(query.runId))]
+    return max(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds if tracker.getStageInfo(s))
+
+
+def test_a_task_looks_up_many_files(spark, table, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    for i in range(LISTING_TASKS + 50):
+        (landed / f"{i}.json").write_text(json.dumps([event(satellite=i)]))
+    was = spark.conf.get(LISTING)
+    try:
+        spark.conf.unset(LISTING)
+        query = run(poll_latest(spark, str(landed), table, str(tmp_path / "checkpoint"), seconds=None))
+        assert widest_stage(spark, query) <= LISTING_TASKS and table.read().count() == LISTING_TASKS + 50
+        spark.conf.set(LISTING, "7")
+        list_in_few_tasks(spark)
+        assert spark.conf.get(LISTING) == "7"
+    finally:
+        spark.conf.set(LISTING, was)
+
+
+def test_landed_documents_lie_in_one_folder(spark, tmp_path, monkeypatch):
+    """As many files as there are stretches of 200 documents, and no folder below the one polled."""
+    folder = tmp_path / "run"
+    monkeypatch.setattr(entry, "_scratch", lambda spark: str(folder))
+    entry.poll_landed_documents(spark, entry.SMOKE_DIR)
+    assert not [f for f in (folder / "landed").iterdir() if f.is_dir()]
+    texts = [f.read_text() for f in (folder / "landed").glob("part-*")]
+    ids = [r[0] for r in spark.read.parquet(f"{entry.SMOKE_DIR}/events.parquet").select("event_id").collect()]
+    assert len(texts) == len({i // 200 for i in ids}) > 1
+    assert sum(len(json.loads(t)) for t in texts) == 2 * len(ids)
+
+
 def land(path, rows):
     """Array rows as one file of a folder, written anew if it is there."""
     names = ["flare_id", "status", "time", "xrsb_flux", "integrated_flux", "flare_class"]
