@@ -99,6 +99,24 @@ def test_suffix_arrays(docs, data, shard_bytes):
     assert counted(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.strings(data)
 
 
+@pytest.mark.parametrize("window", [50, 400])
+def test_classes_of_near_copies(window):
+    """Strings equal over more than a window and then not; each class is one window's bytes."""
+    rng, wrong = random.Random(2), 0
+    for _ in range(5):
+        base = bytes(rng.choices(b"ab", k=6 * window))
+        bodies = [bytearray(base) for _ in range(12)]
+        for body in bodies:
+            for _ in range(rng.randrange(1, 6)):
+                body[rng.randrange(len(body))] = rng.choice(b"abc")
+        class_of, window_of = {}, {}
+        for body, kinds in zip(map(bytes, bodies), suffix_dedup.Bytes(window, 8).classes(list(map(bytes, bodies)))):
+            for at, kind in enumerate(kinds.tolist()):
+                here = body[at : at + window]
+                wrong += class_of.setdefault(here, kind) != kind or window_of.setdefault(kind, here) != here
+    assert wrong == 0
+
+
 def test_sorted_runs_of_shards_merge():
     rng = random.Random(5)
     plain, some = {}, []
