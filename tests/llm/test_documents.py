@@ -117,6 +117,19 @@ def test_classes_of_near_copies(window):
     assert wrong == 0
 
 
+@pytest.mark.parametrize("window", [16, 50, 400])
+def test_classes_of_strings_that_end_in_zero_bytes(window):
+    """Zero bytes at a shard's end are no end; each class is one window's bytes."""
+    wrong = 0
+    for bodies in ([b"x" + bytes(window + 1)], [bytes(window + 5) + b"q", b"q" + bytes(window)], [b"ab" + bytes(3 * window)]):
+        class_of, window_of = {}, {}
+        for body, kinds in zip(bodies, suffix_dedup.Bytes(window, 8).classes(bodies)):
+            for at, kind in enumerate(kinds.tolist()):
+                here = body[at : at + window]
+                wrong += class_of.setdefault(here, kind) != kind or window_of.setdefault(kind, here) != here
+    assert wrong == 0
+
+
 def test_sorted_runs_of_shards_merge():
     rng = random.Random(5)
     plain, some = {}, []
